@@ -132,7 +132,10 @@ def sample_features(samples: Column) -> list[Column]:
 
     mean = ratio(total(lengths), count)
     variance = ratio(total(F.transform(lengths, lambda x: (x - mean) * (x - mean))), count)
-    columns = [share(lambda v, k=kind: looks_like(v, k)) for kind in PATTERNS]
+    def fits(kind):
+        return lambda v: looks_like(v, kind)
+
+    columns = [share(fits(kind)) for kind in PATTERNS]
     columns += [
         ratio(F.size(F.array_distinct(F.transform(samples, F.lower))).cast("double"), count),
         mean,

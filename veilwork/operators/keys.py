@@ -11,7 +11,7 @@ _SEPARATOR = "\x1f"
 
 def stable_hash(*columns: Column) -> Column:
     """A non-negative 60-bit hash that other engines can reproduce from MD5."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns]
+    parts = [F.coalesce(c.cast("string"), F.lit("\x1e")) for c in columns]
     digest = F.md5(F.concat_ws(_SEPARATOR, *parts).cast("binary"))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 

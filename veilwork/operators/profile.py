@@ -58,40 +58,27 @@ def column_samples(
     """
     row_hash = default_row_hash(df) if row_hash is None else row_hash
     rows = df.withColumn("_hash", row_hash)
+    # One small row per column, and at most k values for it: both fit on the driver.
     counts = column_counts(df) if counts is None else counts
-    # One small row per column; the lowest hash limit that still gives each enough rows.
-    limits = counts.select(
-        "column_name",
-        F.when(
-            F.col("non_null_records") > _CANDIDATES,
-            (F.lit(float(_HASH_RANGE)) * (F.lit(float(_CANDIDATES)) / F.col("non_null_records"))),
-        )
-        .otherwise(F.lit(float(_HASH_RANGE)))
-        .cast("bigint")
-        .alias("_limit"),
-        "non_null_records",
-    )
-    exact = _pick(rows, df.columns, k, limits)
-    return counts.select("column_name").join(exact, "column_name", "left").select(
-        "column_name", F.coalesce("samples", F.array().cast("array<string>")).alias("samples")
+    sizes = {r["column_name"]: r["non_null_records"] for r in counts.collect()}
+    # The lowest hash limit that can be expected to give a column enough rows.
+    limits = {c: _HASH_RANGE if n <= _CANDIDATES else _HASH_RANGE * _CANDIDATES // n for c, n in sizes.items()}
+    samples: dict[str, list[str]] = {c: [] for c in df.columns}
+    open_columns = [c for c in df.columns if sizes[c]]
+    while open_columns:
+        found = _lowest(rows, open_columns, k, limits).collect()
+        samples |= {r["column_name"]: r["samples"] for r in found}
+        open_columns = [
+            c for c in open_columns if limits[c] < _HASH_RANGE and len(samples[c]) < min(k, sizes[c])
+        ]
+        # Uneven hashes (many copies of few rows): widen the search for those columns.
+        for c in open_columns:
+            limits[c] = min(limits[c] * 64, _HASH_RANGE)
+    return df.sparkSession.createDataFrame(
+        list(samples.items()), "column_name string, samples array<string>"
     )
 
 
-def _pick(rows: DataFrame, columns: list[str], k: int, limits: DataFrame) -> DataFrame:
-    found = {r["column_name"]: (r["_limit"], r["non_null_records"]) for r in limits.collect()}
-    while True:
-        chosen = _lowest(rows, columns, k, {c: v[0] for c, v in found.items()})
-        if all(limit >= _HASH_RANGE for limit, _ in found.values()):
-            return chosen
-        got = {r["column_name"]: r["n"] for r in chosen.select("column_name", F.size("samples").alias("n")).collect()}
-        short = [c for c, (limit, n) in found.items() if got.get(c, 0) < min(k, n) and limit < _HASH_RANGE]
-        if not short:
-            return chosen
-        # Hashes were uneven (many copies of few rows): widen those columns and look again.
-        for c in short:
-            found[c] = (min(found[c][0] * 64, _HASH_RANGE), found[c][1])
-
-
 def _lowest(rows: DataFrame, columns: list[str], k: int, limits: dict[str, int]) -> DataFrame:
     # Candidate rows first, so that only they are unpivoted.
     tests = [F.col(c).isNotNull() & (F.col("_hash") < limits[c]) for c in columns]
