@@ -167,9 +167,9 @@ ORACLES = {
         WITH log AS ({AUDIT}) SELECT user_id, count(*) AS accesses, count(*) FILTER (result = 'DENIED') AS denied,
           min(ts) AS first_access, max(ts) AS last_access FROM log GROUP BY 1""",
     "stream_audit": f"""
-        WITH log AS ({AUDIT}) SELECT date_trunc('day', ts) AS window_start, role, resource, action, result, count(*) AS accesses
-        FROM log GROUP BY ALL
-        HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        WITH log AS ({AUDIT}), days AS (SELECT date_trunc('day', ts) AS window_start, role, resource, action, result,
+          count(*) AS accesses FROM log GROUP BY ALL)
+        SELECT * FROM days WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
 }
 for _column, _query in (("domain", "sensitivity_by_domain"), ("pii_type", "sensitivity_by_type")):
     ORACLES[_query] = SCAN + f"""SELECT {_column}, count(*) FILTER (sensitivity_level = 'HIGH') AS HIGH,

@@ -1,13 +1,13 @@
 """Field cleaners: raw text in, cleaned value or NULL out. A cleaner never rejects a row.
 
-Each cleaner has two halves. `to_*` takes text that is already tidy (or stripped, for
-names), and `clean_*` does both steps. Tables use the halves in two projections, so
+Each cleaner has two halves. `to_*` takes text that is already tidy (stripped only for
+names, with plain digits for numbers), and `clean_*` does both steps. Tables use the halves in two projections, so
 that the regular expressions of the first one are not inlined many times over.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilwork.functions.text import (
@@ -72,9 +72,9 @@ PLACES = (
 _DAY = "3[01]|[12][0-9]|0[1-9]|[1-9]"
 _MONTH = "1[0-2]|0[1-9]|[1-9]"
 _DAY_FIRST = rf"\A({_DAY})([/.-])({_MONTH})\2"
-DAY_FIRST_LONG = _DAY_FIRST + r"([0-9]{4})\z"
+DAY_FIRST_LONG = _DAY_FIRST + r"((?!0000)[0-9]{4})\z"
 DAY_FIRST_SHORT = _DAY_FIRST + r"([0-9]{2})\z"
-YEAR_FIRST = rf"\A([0-9]{{4}})-({_MONTH})-({_DAY}| [1-9])\z"
+YEAR_FIRST = rf"\A((?!0000)[0-9]{{4}})-({_MONTH})-({_DAY}| [1-9])\z"
 
 
 def is_missing(c: Column) -> Column:
@@ -87,7 +87,20 @@ def is_missing_number(c: Column) -> Column:
     return c.isNull() | F.isnan(c)
 
 
-# ---- halves that take tidy text -------------------------------------------------
+# ---- first halves ---------------------------------------------------------------
+
+
+def stripped_text(c: Column) -> Column:
+    """Trimmed text with its inner whitespace; empty text becomes NULL."""
+    return F.nullif(strip(c), F.lit(""))
+
+
+def number_text(c: Column) -> Column:
+    """Tidy text with digits of any script as 0-9 and without digit-group underscores."""
+    return ascii_digits(replace_literal(tidy(c), "_", ""))
+
+
+# ---- second halves --------------------------------------------------------------
 
 
 def to_name(stripped: Column) -> Column:
@@ -124,12 +137,11 @@ def to_date(text: Column) -> Column:
         )
         .when(text.rlike(YEAR_FIRST), replace_literal(text, " ", ""))
     )
-    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
+    return iso.try_cast("date")
 
 
-def to_int(text: Column) -> Column:
+def to_int(number: Column) -> Column:
     """Integers, also written as 1001.0 or 1e3; anything fractional becomes NULL."""
-    number = ascii_digits(replace_literal(text, "_", ""))
     scaled = number.try_cast("decimal(38,18)")
     is_zero = matches(number, r"[-+]?[0.]+([eE].*)?")
     return F.when(
@@ -146,19 +158,18 @@ def _to_double(text: Column) -> Column:
     return F.when(matches(text, DECIMAL_NUMBER), text.try_cast("double"))
 
 
-def to_amount(text: Column) -> Column:
+def to_amount(number: Column) -> Column:
     """Money with optional rupee sign and thousands separators; negatives are kept."""
-    return _to_double(ascii_digits(F.trim(F.translate(text, "₹,_", ""))))
+    return _to_double(F.trim(F.translate(number, "₹,", "")))
 
 
-def to_percentage(text: Column) -> Column:
-    bare = F.trim(F.regexp_replace(text, r"%+\z", ""))
-    number = _to_double(ascii_digits(replace_literal(bare, "_", "")))
-    return F.when(number.between(0, 100), number)
+def to_percentage(number: Column) -> Column:
+    value = _to_double(F.trim(F.rtrim(number, F.lit("%"))))
+    return F.when(value.between(0, 100), value)
 
 
-def to_age(text: Column) -> Column:
-    years = to_int(text)
+def to_age(number: Column) -> Column:
+    years = to_int(number)
     return F.when(years.between(0, 120), years.cast("int"))
 
 
@@ -187,15 +198,16 @@ def to_record_number(text: Column) -> Column:
     return F.when(matches(text, RECORD_NUMBER), text)
 
 
-def place_of(address: Column) -> Column:
-    """struct(city, state) of the first listed place the address mentions, else NULL."""
-    low = F.lower(address)
-    found = None
-    for needle, city, state in PLACES:
-        value = F.struct(F.lit(city).alias("city"), F.lit(state).alias("state"))
-        hit = F.contains(low, F.lit(needle))
-        found = F.when(hit, value) if found is None else found.when(hit, value)
-    return found
+def place_of(address: str) -> Column:
+    """struct(city, state) of the first listed place the named column mentions, else NULL.
+
+    Written as SQL text, since building 31 branches call by call is slow.
+    """
+    branches = " ".join(
+        f"WHEN contains(lower({address}), '{needle}') THEN named_struct('city', '{city}', 'state', '{state}')"
+        for needle, city, state in PLACES
+    )
+    return F.expr(f"CASE {branches} END")
 
 
 # ---- cleaners that take raw text ------------------------------------------------
@@ -204,7 +216,7 @@ clean_text = tidy
 
 
 def clean_name(c: Column) -> Column:
-    return to_name(F.nullif(strip(c), F.lit("")))
+    return to_name(stripped_text(c))
 
 
 def clean_email(c: Column) -> Column:
@@ -228,19 +240,19 @@ def clean_date(c: Column) -> Column:
 
 
 def clean_int(c: Column) -> Column:
-    return to_int(tidy(c))
+    return to_int(number_text(c))
 
 
 def clean_amount(c: Column) -> Column:
-    return to_amount(tidy(c))
+    return to_amount(number_text(c))
 
 
 def clean_percentage(c: Column) -> Column:
-    return to_percentage(tidy(c))
+    return to_percentage(number_text(c))
 
 
 def clean_age(c: Column) -> Column:
-    return to_age(tidy(c))
+    return to_age(number_text(c))
 
 
 def clean_upper(c: Column) -> Column:
@@ -271,14 +283,12 @@ def clean_medical_record_number(c: Column) -> Column:
     return to_record_number(tidy(c))
 
 
-def clean_location(c: Column) -> Column:
-    """struct(address, city, state); all three NULL for an empty address."""
-    address = tidy(c)
-    place = place_of(address)
-    return F.struct(
-        address.alias("address"),
-        place["city"].alias("city"),
-        place["state"].alias("state"),
+def with_location(rows: DataFrame, column: str = "address") -> DataFrame:
+    """Tidy the address column and add city and state; all NULL for an empty address."""
+    tidied = rows.withColumn(column, tidy(F.col(column)))
+    placed = tidied.withColumn("_place", place_of(column))
+    return placed.select(
+        *rows.columns, F.col("_place.city").alias("city"), F.col("_place.state").alias("state")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilwork.functions.cleaners import EMAIL
-from veilwork.functions.text import ANY_DIGIT, DECIMAL, SPACES, matches, replace_literal, strip
+from veilwork.functions.text import ANY_DIGIT, DECIMAL, NOT_ASCII, SPACES, matches, replace_literal, strip
 
 # Whole-value formats.
 PATTERNS = {
@@ -44,19 +44,35 @@ PROFILE_FEATURES = (
 )
 
 
+# Lengths a format can have; they rule out most values before the expression is tried.
+LENGTHS = {
+    "phone": (10, 14),
+    "date": (8, 10),
+    "credit_card": (13, 38),
+    "bank_account": (8, 18),
+    "medical_record": (5, 24),
+}
+
+
 def looks_like(c: Column, kind: str) -> Column:
     """Does the whole value have the named format? NULL counts as no."""
     value = replace_literal(c, " ", "") if kind == "credit_card" else c
-    return F.coalesce(matches(value, PATTERNS[kind]), F.lit(False))
+    test = matches(value, PATTERNS[kind])
+    if kind == "email":
+        test = F.contains(c, F.lit("@")) & test
+    elif kind in LENGTHS:
+        test = F.length(value).between(*LENGTHS[kind]) & test
+    return F.coalesce(test, F.lit(False))
 
 
 def has_digit(c: Column) -> Column:
-    return F.coalesce(c.rlike(ANY_DIGIT), F.lit(False))
+    found = c.rlike("[0-9]") | (c.rlike(NOT_ASCII) & c.rlike(ANY_DIGIT))
+    return F.coalesce(found, F.lit(False))
 
 
-def word_count(c: Column) -> Column:
-    """Number of whitespace-separated words."""
-    return F.size(F.filter(F.split(c, SPACES), lambda w: w != ""))
+def word_count(stripped: Column) -> Column:
+    """Number of whitespace-separated words of a stripped, non-empty value."""
+    return F.regexp_count(stripped, F.lit(SPACES)) + 1
 
 
 def split_samples(c: Column) -> Column:

@@ -9,11 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as whitespace in text values.
-SPACE_CLASS = (
-    r"\t\n\x0b\f\r\x1c-\x1f\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACES = f"[{SPACE_CLASS}]+"
-EDGE_SPACES = rf"\A{SPACES}|{SPACES}\z"
+# One table lookup for the first 256 characters, and the rest only inside its range.
+_LOW = "".join(f"\\x{ord(c):02x}" for c in SPACE_CHARS if ord(c) < 256)
+_HIGH = "".join(f"\\u{ord(c):04x}" for c in SPACE_CHARS if ord(c) >= 256)
+SPACES = f"[{_LOW}[\\u1680-\\u3000&&[{_HIGH}]]]+"
 
 
 def _unicode_digits() -> tuple[str, str, str]:
@@ -34,6 +38,7 @@ _DECIMALS, _DECIMAL_VALUES, _OTHER_DIGITS = _unicode_digits()
 # A decimal digit of any script; and any character with a digit value (superscripts too).
 DECIMAL = r"\p{Nd}"
 ANY_DIGIT = rf"[\p{{Nd}}{_OTHER_DIGITS}]"
+NOT_ASCII = r"[^\x00-\x7f]"
 
 
 def matches(c: Column, pattern: str) -> Column:
@@ -43,7 +48,7 @@ def matches(c: Column, pattern: str) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove whitespace of any kind at both ends."""
-    return F.regexp_replace(c, EDGE_SPACES, "")
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def collapse(c: Column) -> Column:

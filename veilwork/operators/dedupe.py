@@ -21,8 +21,8 @@ def first_per_key(rows: DataFrame, key: Iterable[str], order: Iterable[str]) ->
 
 
 def first_ids(rows: DataFrame, key: str, row_id: str) -> DataFrame:
-    """The row id that claims each key: a plain aggregate, combined before the shuffle."""
-    return rows.groupBy(key).agg(F.min(row_id).alias(row_id)).select(row_id)
+    """(key, row id) of the first row of each key: an aggregate, combined before the shuffle."""
+    return rows.groupBy(key).agg(F.min(row_id).alias(row_id))
 
 
 def signature(df: DataFrame, columns: Iterable[str]) -> Column:

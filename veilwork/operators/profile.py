@@ -105,53 +105,57 @@ def _lowest(rows: DataFrame, columns: list[str], k: int, limits: dict[str, int])
 def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:
     """The 18 profile features and null share of every column, over all its values.
 
-    One pass: rows are unpivoted inside the scan stage and reduced to one partial row per
-    column and task. Uniqueness is approximate unless `exact_unique`, which has to shuffle
-    the distinct values.
+    With approximate uniqueness this is one pass that leaves the scan as one partial row
+    per column and task. `exact_unique` has to shuffle the distinct values anyway, so they
+    are counted first and each distinct value is tested once.
     """
-    value = strip(F.col("value"))
-    long = unpivot_text(df).select("column_name", value.alias("value"))
-    present = F.nullif(F.col("value"), F.lit(""))
-    long = long.select("column_name", present.alias("value"))
-    lowered = F.lower("value")
-    length = F.length("value").cast("double")
-    distinct = F.count_distinct(lowered) if exact_unique else F.approx_count_distinct(lowered)
-    filled = F.col("value").isNotNull()
-    hits = [
-        F.count_if(looks_like(F.col("value"), kind)).alias(name)
-        for kind, name in zip(PATTERNS, PROFILE_FEATURES)
-    ]
+    stripped = unpivot_text(df).select("column_name", strip(F.col("value")).alias("value"))
+    long = stripped.select("column_name", F.nullif(F.col("value"), F.lit("")).alias("value"))
+    if exact_unique:
+        long = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        distinct = F.count_distinct(F.lower("value"))
+    else:
+        long = long.withColumn("_n", F.lit(1).cast("bigint"))
+        distinct = F.approx_count_distinct(F.lower("value"))
+    n, value = F.col("_n"), F.col("value")
+    length = F.length(value).cast("double")
+
+    def total(test: Column) -> Column:
+        return F.sum(F.when(test, n).otherwise(0))
+
     raw = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count("value").alias("values"),
-        *hits,
+        F.sum(n).alias("records"),
+        total(value.isNotNull()).alias("values"),
+        *[total(looks_like(value, kind)).alias(name) for kind, name in zip(PATTERNS, PROFILE_FEATURES)],
         distinct.alias("_distinct"),
-        F.avg(length).alias("_avg"),
+        F.sum(n * length).alias("_length"),
+        F.sum(n * length * length).alias("_squares"),
         F.min(length).alias("_min"),
         F.max(length).alias("_max"),
-        F.stddev_pop(length).alias("_std"),
-        F.avg(F.when(filled, word_count(F.col("value")).cast("double"))).alias("_words"),
-        F.count_if(has_digit(F.col("value"))).alias("_digits"),
+        F.sum(n * word_count(value)).alias("_words"),
+        total(has_digit(value)).alias("_digits"),
     )
-    n = F.col("values")
+    count = F.col("values")
+    mean = ratio(F.col("_length"), count)
+    variance = ratio(F.col("_squares"), count) - mean * mean
+    shares = [ratio(F.col(name), count).alias(name) for name in PROFILE_FEATURES[:9]]
 
-    def or_zero(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0.0))
+    def or_zero(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0.0))
 
-    shares = [ratio(F.col(name), n).alias(name) for name in PROFILE_FEATURES[:9]]
     return raw.select(
         "column_name",
         "records",
         "values",
-        ratio(F.col("records") - n, F.col("records")).alias("null_ratio"),
+        ratio(F.col("records") - count, F.col("records")).alias("null_ratio"),
         *shares,
-        F.least(ratio(F.col("_distinct"), n), F.lit(1.0)).alias("unique_ratio"),
-        or_zero("_avg").alias("avg_length"),
-        or_zero("_min").alias("min_length"),
-        or_zero("_max").alias("max_length"),
+        F.least(ratio(F.col("_distinct"), count), F.lit(1.0)).alias("unique_ratio"),
+        or_zero(mean).alias("avg_length"),
+        or_zero(F.col("_min")).alias("min_length"),
+        or_zero(F.col("_max")).alias("max_length"),
         F.lit(0.0).alias("null_or_empty"),
-        n.cast("double").alias("sample_count"),
-        or_zero("_std").alias("std_length"),
-        or_zero("_words").alias("avg_word_count"),
-        ratio(F.col("_digits"), n).alias("digit_value_ratio"),
+        count.cast("double").alias("sample_count"),
+        or_zero(F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_length"),
+        or_zero(ratio(F.col("_words"), count)).alias("avg_word_count"),
+        ratio(F.col("_digits"), count).alias("digit_value_ratio"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from veilwork.sources.tables import TableStore
 Warehouse = dict[tuple[str, str], DataFrame]
 
 CATALOG_BUCKETS = 64
+COUNTS_SCHEMA = "column_name string, records_scanned bigint, non_null_records bigint"
+SIDE_BY_SIDE = 4  # tables scanned at the same time
 CALENDAR = (dt.date(2020, 1, 1), dt.date(2035, 12, 31))
 
 SCHEMAS = {
@@ -126,21 +129,25 @@ def scan_inputs(tables: Warehouse, row_hashes: dict[tuple[str, str], Column] | N
     """(schema_name, table_name, column_name, records_scanned, non_null_records, samples).
 
     Two passes per table, whatever its number of columns: one aggregate of counts and one
-    filtered read of sample rows. Tables are independent and can run side by side.
+    filtered read of sample rows. Tables are scanned several at a time.
     """
-    out = None
+    row_hashes = row_hashes or {}
+
+    def one(item: tuple[tuple[str, str], DataFrame]) -> list[tuple]:
+        name, df = item
+        # One row per column: small enough to settle on the driver and use twice.
+        counts = column_counts(df).collect()
+        known = df.sparkSession.createDataFrame(counts, COUNTS_SCHEMA)
+        samples = column_samples(df, row_hash=row_hashes.get(name), counts=known)
+        found = {r["column_name"]: r["samples"] for r in samples.collect()}
+        return [(*name, *c, found[c["column_name"]]) for c in counts]
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        rows = [row for part in pool.map(one, tables.items()) for row in part]
     spark = next(iter(tables.values())).sparkSession
-    for (schema, table), df in tables.items():
-        counts = column_counts(df)
-        # Counted once: one row per column, used to pick samples and again in the result.
-        counts = spark.createDataFrame(counts.collect(), counts.schema)
-        row_hash = (row_hashes or {}).get((schema, table))
-        samples = column_samples(df, row_hash=row_hash, counts=counts)
-        part = counts.join(samples, "column_name").select(
-            F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "*"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    return spark.createDataFrame(
+        rows, f"schema_name string, table_name string, {COUNTS_SCHEMA}, samples array<string>"
+    )
 
 
 def column_features(inputs: DataFrame, inventory: DataFrame) -> DataFrame:

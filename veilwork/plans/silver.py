@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilwork.functions import cleaners as C
-from veilwork.functions.text import strip, tidy
 from veilwork.operators.dedupe import first_ids, first_per_key
 from veilwork.operators.joins import absent_from
 from veilwork.schemas import DOMAINS, Domain
@@ -44,12 +43,11 @@ def clean_fields(bronze: DataFrame, domain: Domain, only: set[str] | None = None
     parsed = ["_bronze_id"]
     for f in fields:
         raw = F.col(f.name) if f.name in have else F.lit(None).cast("string")
-        text = F.nullif(strip(raw), F.lit("")) if f.keep_inner_space else tidy(raw)
-        trimmed.append(text.alias(f.name))
+        trimmed.append(f.prepare(raw).alias(f.name))
         value = f.parse(F.col(f.name)) if f.parse else F.col(f.name)
         parsed.append(value.alias(f.name))
     if any(f.name == "address" for f in fields):
-        place = C.place_of(F.col("address"))
+        place = C.place_of("address")
         parsed.append(place.alias("_place"))
     out = bronze.select(*trimmed).select(*parsed)
     if "_place" in out.columns:
@@ -81,6 +79,16 @@ def row_fault(domain: Domain) -> Column:
     )
 
 
+def with_claim(rows: DataFrame, domain: Domain) -> DataFrame:
+    """Add `_fault` and `_claim`, the key a row asks for: NULL where it has a fault.
+
+    Faulty rows are kept and all claim NULL. Filtering them out first would evaluate the
+    cleaners once more, in a filter pushed down to the scan.
+    """
+    faulted = rows.withColumn("_fault", row_fault(domain))
+    return faulted.withColumn("_claim", F.when(F.col("_fault").isNull(), F.col(domain.primary_key)))
+
+
 def cleaned(bronze: DataFrame, domain: Domain, as_of: dt.date) -> DataFrame:
     rows = apply_date_rules(clean_fields(bronze, domain), domain, as_of)
     return rows.select("_bronze_id", *domain.source_columns, "city", "state")
@@ -95,8 +103,8 @@ def accepted(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFram
     """
     if silver is not None:
         bronze = absent_from(bronze, silver, ["_bronze_id"])
-    valid = cleaned(bronze, domain, as_of).where(row_fault(domain).isNull())
-    unique = first_per_key(valid, [domain.primary_key], ["_bronze_id"])
+    rows = with_claim(cleaned(bronze, domain, as_of), domain)
+    unique = first_per_key(rows, ["_claim"], ["_bronze_id"]).where("_fault IS NULL").drop("_fault", "_claim")
     return unique if silver is None else absent_from(unique, silver, [domain.primary_key])
 
 
@@ -109,24 +117,19 @@ def classified(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFr
     if silver is not None:
         bronze = absent_from(bronze, silver, ["_bronze_id"])
     rows = cleaned(bronze, domain, as_of).withColumn("_fault", row_fault(domain))
-    keys = apply_faults_only(bronze, domain)
+    # Two columns are enough to find the winners. The group of the faulty rows has one too,
+    # which does no harm, as their reason is their fault.
+    keys = with_claim(clean_fields(bronze, domain, {domain.primary_key, "first_name"}), domain)
+    winners = first_ids(keys, "_claim", "_bronze_id")
     if silver is not None:
-        winners = first_per_key(keys, [domain.primary_key], ["_bronze_id"])
-        winners = absent_from(winners, silver, [domain.primary_key]).select("_bronze_id")
-    else:
-        winners = first_ids(keys, domain.primary_key, "_bronze_id")
+        known = silver.select(F.col(domain.primary_key).alias("_claim"))
+        winners = absent_from(winners, known, ["_claim"])
     winners = winners.select(F.col("_bronze_id").alias("_winner"))
     joined = rows.join(winners, rows["_bronze_id"] == winners["_winner"], "left")
     reason = F.coalesce("_fault", F.when(F.col("_winner").isNull(), DUPLICATE_PK))
     return joined.withColumn("reject_reason", reason).drop("_fault", "_winner")
 
 
-def apply_faults_only(bronze: DataFrame, domain: Domain) -> DataFrame:
-    """(_bronze_id, primary key) of the rows without a critical fault; reads two columns."""
-    few = clean_fields(bronze, domain, {domain.primary_key, "first_name"})
-    return few.where(row_fault(domain).isNull()).select("_bronze_id", domain.primary_key)
-
-
 def rejected(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFrame | None = None) -> DataFrame:
     """Quarantine view: the refused rows with their reason."""
     return classified(bronze, domain, as_of, silver).where("reject_reason IS NOT NULL")
@@ -135,8 +138,7 @@ def rejected(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFram
 def batch_stats(bronze: DataFrame, domain: Domain) -> DataFrame:
     """One row of counts for a batch with no Silver state, from two columns only."""
     few = clean_fields(bronze, domain, {domain.primary_key, "first_name"})
-    few = few.withColumn("_fault", row_fault(domain))
-    per_key = few.groupBy(F.when(F.col("_fault").isNull(), F.col(domain.primary_key)).alias("_pk")).agg(
+    per_key = with_claim(few, domain).groupBy(F.col("_claim").alias("_pk")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_fault") == INVALID_PK).alias("bad_pk"),
         F.count_if(F.col("_fault") == MISSING_NAME).alias("no_name"),

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilwork.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -16,8 +18,13 @@ def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
-        return fn
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
+        return run
 
     return register
 

@@ -48,8 +48,7 @@ _column_query(
 
 @query("clean_location")
 def _(spark, folder):
-    rows = raw_domain(spark, folder, "education")
-    return rows.select("_bronze_id", C.clean_location(F.col("address")).alias("p")).select("_bronze_id", "p.*")
+    return C.with_location(raw_domain(spark, folder, "education").select("_bronze_id", "address"))
 
 
 @query("clean_text_documents")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from veilwork.functions import masks as M
 from veilwork.operators.keys import stable_hash
 from veilwork.operators.profile import column_counts
 from veilwork.plans import access, gold, reports, rules, silver
-from veilwork.plans.star import star_in_memory
+from veilwork.plans.star import dimension_rows, fact_rows
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
 from veilwork.queries.warehouse import BUCKETS, silver_rows
@@ -24,11 +25,20 @@ AT = dt.datetime(2026, 1, 1, 12, 0, 0)
 def warehouse(spark, folder, names=SCANNED):
     """Star tables of some domains, written once so that every scan pass reads them back."""
     out = {}
+
+    def settle(item):
+        table_name, df = item
+        return table_name, materialize(df, table_name)
+
     for name in names:
         # Settled first, since each star table is derived from it.
         rows = materialize(silver_rows(spark, folder, name), f"silver-{name}")
-        for table_name, df in star_in_memory(rows, DOMAINS[name], BUCKETS).items():
-            out[f"star_{name}", table_name] = materialize(df, table_name)
+        spec = DOMAINS[name]
+        lazy = {d.name: dimension_rows(rows, d, buckets=BUCKETS) for d in spec.dims}
+        with ThreadPoolExecutor(4) as pool:
+            dims = dict(pool.map(settle, lazy.items()))
+        tables = dims | {spec.fact.name: materialize(fact_rows(rows, spec, dims), spec.fact.name)}
+        out |= {(f"star_{name}", table_name): df for table_name, df in tables.items()}
     return out
 
 

@@ -11,6 +11,7 @@ from veilwork.plans import silver
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, raw_domain, table
 from veilwork.schemas import DOMAINS
+from veilwork.session import materialize
 
 
 @query("split_samples")
@@ -129,7 +130,7 @@ def _(spark, folder):
 @query("column_samples_sparse")
 def _(spark, folder):
     """Samples of a table with many NULLs and few distinct values."""
-    rows = _silver(spark, folder, "marketing").drop("age")
+    rows = materialize(_silver(spark, folder, "marketing").drop("age"), "silver-marketing")
     samples = column_samples(rows, row_hash=stable_hash(F.col("_bronze_id")))
     return samples.select("column_name", F.array_join("samples", "|").alias("samples"))
 

@@ -17,12 +17,12 @@ LINEAGE = ("_source_file", "_ingestion_batch_id", "_ingested_at")
 
 @dataclass(frozen=True)
 class Field:
-    """A source column, its cleaned type, and the cleaner half that takes tidy text."""
+    """A source column, its cleaned type, and the two halves of its cleaner."""
 
     name: str
     dtype: str = "string"
     parse: Parser | None = None
-    keep_inner_space: bool = False  # names are checked before inner spaces are collapsed
+    prepare: Parser = C.clean_text
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ class Domain:
 
 
 def _name(name: str) -> Field:
-    return Field(name, "string", C.to_name, keep_inner_space=True)
+    return Field(name, "string", C.to_name, C.stripped_text)
 
 
 _CONTACT = (
@@ -123,12 +123,12 @@ BANKING = Domain(
     name="banking",
     primary_key="customer_id",
     fields=(
-        Field("customer_id", "bigint", C.to_int),
+        Field("customer_id", "bigint", C.to_int, C.number_text),
         *_CONTACT,
         _BIRTH,
         Field("account_number", "string", C.to_record_number),
         Field("account_type", "string", C.to_account_type),
-        Field("balance", "double", C.to_amount),
+        Field("balance", "double", C.to_amount, C.number_text),
         _ADDRESS,
     ),
     routing=frozenset({"customer_id", "account_number", "account_type", "balance"}),
@@ -150,14 +150,14 @@ EDUCATION = Domain(
     name="education",
     primary_key="student_id",
     fields=(
-        Field("student_id", "bigint", C.to_int),
+        Field("student_id", "bigint", C.to_int, C.number_text),
         *_CONTACT,
         _BIRTH,
         _ADDRESS,
         Field("course"),
         Field("department"),
         Field("enrollment_date", "date", C.to_date),
-        Field("percentage", "double", C.to_percentage),
+        Field("percentage", "double", C.to_percentage, C.number_text),
     ),
     routing=frozenset({"student_id", "course", "department", "enrollment_date", "percentage"}),
     dims=(
@@ -175,7 +175,7 @@ MEDICAL = Domain(
     name="medical",
     primary_key="patient_id",
     fields=(
-        Field("patient_id", "bigint", C.to_int),
+        Field("patient_id", "bigint", C.to_int, C.number_text),
         *_CONTACT,
         _BIRTH,
         _ADDRESS,
@@ -206,10 +206,10 @@ MARKETING = Domain(
     name="marketing",
     primary_key="customer_id",
     fields=(
-        Field("customer_id", "bigint", C.to_int),
+        Field("customer_id", "bigint", C.to_int, C.number_text),
         *_CONTACT,
         _ADDRESS,
-        Field("age", "int", C.to_age),
+        Field("age", "int", C.to_age, C.number_text),
         Field("gender", "string", C.to_gender),
         Field("campaign_name"),
         Field("campaign_date", "date", C.to_date),
