@@ -32,6 +32,7 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_CHARS = rf"[+{DECIMAL} ()-]+"
 MOBILE = rf"[6-9]{DECIMAL}{{9}}"
 RECORD_NUMBER = "[A-Za-z0-9][A-Za-z0-9_-]{2,49}"
+SCALED_INTEGER = r"[-+]?([0-9]+(\.[0-9]{0,18})?|\.[0-9]{1,18})[eE][-+]?[0-9]+|[-+]?\.0+"
 DECIMAL_NUMBER = r"[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?"
 
 # Place names looked for in an address. Earlier entries win.
@@ -148,7 +149,7 @@ def to_int(number: Column) -> Column:
         matches(number, r"[-+]?[0-9]+(\.0*)?"),
         F.regexp_replace(number, r"\.0*\z", "").try_cast("bigint"),
     ).when(
-        matches(number, DECIMAL_NUMBER) & (scaled == F.floor(scaled)) & ((scaled != 0) | is_zero),
+        matches(number, SCALED_INTEGER) & (scaled == F.floor(scaled)) & ((scaled != 0) | is_zero),
         scaled.try_cast("bigint"),
     )
 

@@ -148,7 +148,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Text only, with patterns, and the full feature set, on one split."""
     rows = train.with_features(training_rows(spark, folder)[1])
-    return train.compare(rows, max_iter=200).metrics
+    return train.compare(rows, max_iter=40).metrics
 
 
 @query("neural_comparison")
@@ -162,7 +162,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Every warehouse column classified by a model fitted on all training rows, with rules."""
     tables, rows = training_rows(spark, folder)
-    model = train.fit(train.with_features(rows), max_iter=200)
+    model = train.fit(train.with_features(rows), max_iter=60)
     features = materialize(features_of(spark, tables), "features")
     by_model = train.as_scan(model)(features)
     combined = gold.scan_outcome(combine(classify_by_rules(features), by_model))
