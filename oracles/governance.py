@@ -110,7 +110,7 @@ _all = "_bronze_id, " + ", ".join(X.FIELDS["banking"]) + ", city, state"
 ORACLES = {
     "column_inventory": f"""
         WITH {_STARS}, counted AS ({' UNION ALL '.join(_counted)})
-        SELECT i.*, records_scanned, non_null_records FROM {_INVENTORY} JOIN counted USING (schema_name, table_name, column_name)""",
+        SELECT i.* REPLACE (CAST(i.ordinal_position AS BIGINT) AS ordinal_position), records_scanned, non_null_records FROM {_INVENTORY} JOIN counted USING (schema_name, table_name, column_name)""",
     "rule_classify_columns": SCAN
     + """SELECT schema_name, table_name, column_name, pii_type, round(confidence, 6) AS confidence, detection_method,
          records_scanned, pii_detected, pii_records_detected FROM outcome""",

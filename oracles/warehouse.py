@@ -121,6 +121,7 @@ ORACLES |= {
         SELECT DISTINCT p_partkey FROM part
         WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48)""",
     "aligned_columns": "SELECT doc_id, n_chars, quality, toxic FROM documents JOIN labels USING (doc_id)",
+    "csv_export": f"WITH {silver_ctes('banking')} SELECT customer_id, email, address FROM silver_banking",
     "bronze_ingest": " UNION ALL ".join(
         f"SELECT '{n}' AS domain, count(*) AS rows, count(*) AS ids, 1::BIGINT AS batches, "
         f"count(*) FILTER (contains(email, '@')) AS emails FROM ({VIEWS[n]}) v"

@@ -28,11 +28,9 @@ def first_ids(rows: DataFrame, key: str, row_id: str) -> DataFrame:
 def signature(df: DataFrame, columns: Iterable[str]) -> Column:
     """SHA-256 over the normalized values; lengths are included, so values cannot run together."""
     types = dict(df.dtypes)
-    parts = []
-    for name in columns:
-        text = comparable(F.col(name), types[name])
-        parts += [F.length(text).cast("string"), text]
-    return F.sha2(F.concat_ws(":", *parts), 256)
+    texts = F.array(*[comparable(F.col(name), types[name]) for name in columns])
+    sized = F.transform(texts, lambda t: F.concat_ws(":", F.length(t), t))
+    return F.sha2(F.concat_ws(":", sized), 256)
 
 
 def duplicate_groups(df: DataFrame, columns: Iterable[str], row_id: str) -> DataFrame:

@@ -36,7 +36,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows = raw_domain(spark, folder, "banking")
     long = unpivot_text(rows, [c for c in rows.columns if c != "_bronze_id"], ["_bronze_id"])
-    value = F.trim(F.col("value"))
+    long, value = long.withColumn("value", F.trim("value")), F.col("value")
     return long.select("_bronze_id", "column_name", *[P.looks_like(value, k).alias(k) for k in P.PATTERNS])
 
 

@@ -10,12 +10,13 @@ from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilwork.operators.joins import absent_from
 from veilwork.schemas import DOMAINS, Domain
+from veilwork.session import materialize
 from veilwork.sources.tables import MANIFEST, MANIFEST_SCHEMA, TableStore
 
 log = logging.getLogger(__name__)
@@ -26,9 +27,13 @@ POSITION_BITS = 40
 FILES_PER_LOAD = 10_000
 INDEX_COLUMNS = frozenset({"index", "unnamed_0"})
 
-# A line, read from outside quotes, whose last field is quoted and not closed.
-_FIELD = r'(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+|)'
-OPEN_QUOTE = rf'\A(?:{_FIELD},)*+"(?:[^"]|"")*+\z'
+# A line, read from outside quotes, whose last field is quoted and not closed; and a line,
+# read from inside a quoted field, that ends inside one.
+_QUOTED = r'"(?:[^"]|"")*+'
+_FIELD = rf'(?:{_QUOTED}"[^,]*+|[^",][^,]*+|)'
+_OPEN_END = rf"(?:{_FIELD},)*+{_QUOTED}\z"
+OPEN_QUOTE = rf"\A{_OPEN_END}"
+STILL_OPEN = rf'\A(?:[^"]|"")*+(?:\z|"[^,]*+,{_OPEN_END})'
 
 
 @dataclass(frozen=True)
@@ -111,6 +116,95 @@ def quoted_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
     return {r["name"] for r in hits.select("name").distinct().collect()}
 
 
+def index_in_task() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
+def _with_state(rows: DataFrame, scope: list[str], order: str) -> DataFrame:
+    """Add `_set` and `_flips`: what the rows up to each one do to the open-quote state.
+
+    Every row maps the state (outside 0, inside 1) by `_out` and `_in`. If some row up to
+    here sets it regardless (`_out` = `_in`), `_set` is the resulting state. Otherwise
+    `_set` is NULL and the state is the incoming one, inverted if `_flips` is odd.
+    """
+    so_far = Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    flips = F.sum((F.col("_out") > F.col("_in")).cast("int")).over(so_far)
+    rows = rows.withColumn("_flips", flips)
+    constant = F.when(F.col("_out") == F.col("_in"), F.struct(F.col("_out").alias("v"), F.col("_flips").alias("f")))
+    last = F.last(constant, ignorenulls=True).over(so_far)
+    return rows.withColumn("_set", F.pmod(last["v"] + F.col("_flips") - last["f"], F.lit(2)))
+
+
+def stitched_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of CSV files in which quoted fields span lines, read split by split.
+
+    Each line says what it does to the open-quote state from either start. That is summed
+    up per split, then over the splits of a file (one small row each), so that every line
+    knows the state it starts in. Lines that start outside quotes begin a record; only
+    the lines of records that span several are grouped, one group per record.
+    """
+    text = spark.read.option("lineSep", "\n").text(paths)
+    bare = F.regexp_replace("value", r"\r\z", "")
+    lines = text.select(
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        index_in_task().alias("_i"),
+        "value",
+        bare.rlike(OPEN_QUOTE).cast("int").alias("_out"),
+        bare.rlike(STILL_OPEN).cast("int").alias("_in"),
+    )
+    # Positions depend on how the files were split, and the lines are used several times.
+    lines = materialize(lines, "csv-lines")
+    split = ["_file", "_block"]
+    lines = _with_state(lines, split, "_i")
+    ends = lines.groupBy(*split).agg(
+        F.max(F.struct("_i", "_set", "_flips")).alias("_end"), F.min("_i").alias("_first")
+    )
+    ends = ends.select(
+        *split, "_first",
+        F.coalesce("_end._set", F.pmod("_end._flips", F.lit(2))).alias("_out"),
+        F.coalesce(F.col("_end._set"), 1 - F.pmod("_end._flips", F.lit(2))).alias("_in"),
+    )
+    by_file = Window.partitionBy("_file").orderBy("_block")
+    after = _with_state(ends, ["_file"], "_block")
+    after = after.withColumn("_after", F.coalesce("_set", F.pmod("_flips", F.lit(2))))
+    starts = after.select(
+        *split,
+        F.coalesce(F.lag("_after").over(by_file), F.lit(0)).alias("_start"),
+        F.first("_first").over(by_file).alias("_header"),
+    )
+    lines = lines.join(starts, split)
+    state = F.coalesce(F.col("_set"), F.pmod(F.col("_start") + F.col("_flips"), F.lit(2)))
+    in_split = Window.partitionBy(*split).orderBy("_i")
+    lines = lines.withColumn("_after", state)
+    lines = lines.withColumn("_before", F.coalesce(F.lag("_after").over(in_split), F.col("_start")))
+    place = F.struct("_block", "_i")
+    lines = lines.withColumn("_begin", F.when(F.col("_before") == 0, place))
+    # The record a split starts in the middle of began in an earlier split.
+    latest = lines.groupBy(*split).agg(F.max("_begin").alias("_latest"))
+    carried = latest.select(
+        *split, F.last("_latest", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried")
+    )
+    lines = lines.join(carried, split)
+    begun = F.last("_begin", ignorenulls=True).over(in_split)
+    lines = lines.withColumn("_record", F.coalesce(begun, F.col("_carried")))
+    whole = (F.col("_before") == 0) & (F.col("_after") == 0)
+    keep = ["_file", "_record", "_header"]
+    single = lines.where(whole).select(*keep, "value")
+    several = lines.where(~whole).groupBy(*keep).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_block", "_i", "value"))), lambda s: s["value"]), "\n").alias("value")
+    )
+    records = single.unionByName(several)
+    is_header = (F.col("_record._block") == 0) & (F.col("_record._i") == F.col("_header"))
+    records = records.where(~is_header & (F.trim(F.regexp_replace("value", r"\r\z", "")) != ""))
+    parsed = F.from_csv(F.regexp_replace("value", r"\r\z", ""), schema.simpleString()[7:-1].replace(":", " "), {"escape": '"'})
+    return records.select(
+        parsed.alias("_cells"),
+        F.col("_file").alias("_source_file"),
+        (F.col("_record._block") + F.col("_record._i")).alias("_position"),
+    ).select("_cells.*", "_source_file", "_position")
+
+
 def read_raw(spark: SparkSession, group: Group) -> DataFrame:
     """All-text rows of one group with `_bronze_id` and `_source_file`.
 
@@ -121,20 +215,16 @@ def read_raw(spark: SparkSession, group: Group) -> DataFrame:
     how files are split, so ids are taken once, here, and stored.
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(group.header))])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("escape", '"')
-        .option("multiLine", group.multiline)
-        .csv([f.path for _, f in group.files])
-    )
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    positioned = rows.select(
-        "*",
-        F.col("_metadata.file_name").alias("_source_file"),
-        (F.col("_metadata.file_block_start") + in_task).alias("_position"),
-    )
+    paths = [f.path for _, f in group.files]
+    if group.multiline:
+        positioned = stitched_rows(spark, paths, schema)
+    else:
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+        positioned = rows.option("escape", '"').csv(paths).select(
+            "*",
+            F.col("_metadata.file_name").alias("_source_file"),
+            (F.col("_metadata.file_block_start") + index_in_task()).alias("_position"),
+        )
     numbers = spark.createDataFrame(
         [(f.name, n) for n, f in group.files], "_name string, _file_number bigint"
     )
