@@ -118,6 +118,12 @@ ORACLES = {
     + """SELECT scan_id, date_key, count(*) AS columns, count(*) AS distinct_columns, count(*) FILTER (pii_detected) AS pii_columns,
          CAST(sum(records_scanned) AS BIGINT) AS records_scanned, CAST(sum(pii_records_detected) AS BIGINT) AS pii_records
          FROM outcome, (VALUES ('scan-1', 20260101::BIGINT), ('scan-2', 20260102::BIGINT)) d(scan_id, date_key) GROUP BY 1, 2""",
+    "gold_row_counts": SCAN
+    + f"""SELECT 'dim_source_schema' AS table_name, count(DISTINCT schema_name) AS row_count FROM outcome
+         UNION ALL SELECT 'dim_table', count(DISTINCT schema_name || table_name) FROM outcome
+         UNION ALL SELECT 'dim_column', count(*) FROM outcome
+         UNION ALL SELECT 'dim_pii_type', {len(SENSITIVITY_POLICY)} UNION ALL SELECT 'dim_sensitivity', 3
+         UNION ALL SELECT 'fact_pii_scan', 2 * count(*) FROM outcome""",
     "latest_scan": SCAN + "SELECT column_name, 'scan-2' AS scan_id, pii_detected, pii_records_detected FROM outcome",
     "pii_catalog": SCAN
     + """SELECT domain, schema_name, table_name, column_name, pii_type, sensitivity_level, detection_method,

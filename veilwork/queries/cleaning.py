@@ -11,6 +11,7 @@ from veilwork.plans import silver
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, raw_domain, table
 from veilwork.schemas import DOMAINS, SENSITIVITY_POLICY
+from veilwork.sources.tables import spread
 
 
 def _column_query(name, domain, **columns):
@@ -53,7 +54,7 @@ def _(spark, folder):
 
 @query("clean_text_documents")
 def _(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", C.clean_text(F.col("text")).alias("clean"))
+    docs = spread(table(spark, folder, "documents")).select("doc_id", C.clean_text(F.col("text")).alias("clean"))
     return docs.select("doc_id", F.length("clean").cast("bigint").alias("n"), F.md5("clean").alias("digest"))
 
 
@@ -229,7 +230,7 @@ def _(spark, folder):
 
 @query("duplicate_documents")
 def _(spark, folder):
-    return duplicate_groups(table(spark, folder, "documents"), ("text",), "doc_id")
+    return duplicate_groups(spread(table(spark, folder, "documents")), ("text",), "doc_id")
 
 
 @query("exact_duplicates_refused")

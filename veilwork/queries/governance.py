@@ -11,12 +11,13 @@ from veilwork.functions import masks as M
 from veilwork.operators.keys import stable_hash
 from veilwork.operators.profile import column_counts
 from veilwork.plans import access, gold, reports, rules, silver
-from veilwork.plans.star import dimension_rows, fact_rows
+from veilwork.plans.star import dimension_rows, fact_rows, row_counts
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
 from veilwork.queries.warehouse import BUCKETS, silver_rows
 from veilwork.schemas import DOMAINS, star_constraints
 from veilwork.session import materialize
+from veilwork.sources.tables import spread
 
 SCANNED = ("banking", "medical")
 AT = dt.datetime(2026, 1, 1, 12, 0, 0)
@@ -110,6 +111,12 @@ def _(spark, folder):
     )
 
 
+@query("gold_row_counts")
+def _(spark, folder):
+    fact, dims = _scans(spark, folder)
+    return row_counts(dims | {"fact_pii_scan": fact})
+
+
 @query("latest_scan")
 def _(spark, folder):
     fact, dims = _scans(spark, folder)
@@ -227,7 +234,7 @@ def _counts(df):
 
 @query("text_scan_documents")
 def _(spark, folder):
-    return _counts(access.scan_text(table(spark, folder, "documents"), "text", ["doc_id"]))
+    return _counts(access.scan_text(spread(table(spark, folder, "documents")), "text", ["doc_id"]))
 
 
 @query("text_scan_conversations")
@@ -237,13 +244,13 @@ def _(spark, folder):
 
 @query("text_redact_documents")
 def _(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", access.redact_text(F.col("text")).alias("clean"))
+    docs = spread(table(spark, folder, "documents")).select("doc_id", access.redact_text(F.col("text")).alias("clean"))
     return docs.select("doc_id", F.length("clean").cast("bigint").alias("n"), F.md5("clean").alias("digest"))
 
 
 @query("text_summary_documents")
 def _(spark, folder):
-    out = access.text_summary(table(spark, folder, "documents"), "text", "lang")
+    out = access.text_summary(spread(table(spark, folder, "documents")), "text", "lang")
     return out.withColumn("share", F.round("share", 6))
 
 

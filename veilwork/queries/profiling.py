@@ -12,6 +12,7 @@ from veilwork.queries import query
 from veilwork.queries.views import AS_OF, raw_domain, table
 from veilwork.schemas import DOMAINS
 from veilwork.session import materialize
+from veilwork.sources.tables import spread
 
 
 @query("split_samples")
@@ -160,4 +161,4 @@ def _(spark, folder):
 @query("profile_approximate")
 def _(spark, folder):
     """All columns of lineitem with approximate uniqueness, as used on large tables."""
-    return profile_columns(table(spark, folder, "lineitem"))
+    return profile_columns(spread(table(spark, folder, "lineitem")))

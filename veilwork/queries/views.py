@@ -9,6 +9,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilwork.sources.tables import spread
+
 AS_OF = dt.date(2026, 1, 1)
 
 BANKING = """
@@ -119,13 +121,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _sql(spark: SparkSession, folder: str, text: str, source: str) -> DataFrame:
-    return spark.sql(text.replace(f"FROM {source}\n", "FROM {src}\n"), src=table(spark, folder, source))
-
-
 def raw_domain(spark: SparkSession, folder: str, domain: str) -> DataFrame:
-    return _sql(spark, folder, VIEWS[domain], SOURCES[domain])
+    source = SOURCES[domain]
+    rows = spread(table(spark, folder, source))
+    return spark.sql(VIEWS[domain].replace(f"FROM {source}\n", "FROM {src}\n"), src=rows)
 
 
 def audit_log(spark: SparkSession, folder: str) -> DataFrame:
-    return _sql(spark, folder, AUDIT, "events")
+    return spark.sql(AUDIT.replace("FROM events\n", "FROM {src}\n"), src=table(spark, folder, "events"))

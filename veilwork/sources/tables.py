@@ -24,6 +24,16 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Use all cores for work on a small table: cleaning and matching text is bound by CPU.
+
+    Takes a frame straight from a file scan. One with at least half as many partitions as
+    there are cores, as any large table has, is returned as it is.
+    """
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(cores) if files.rdd.getNumPartitions() < cores / 2 else files
+
+
 class TableStore:
     """Append-only parquet tables, addressed as 'layer/table' under `root`.
 
@@ -75,4 +85,4 @@ class TableStore:
         if load_ids is None:
             load_ids = [r["load_id"] for r in self.committed_loads(domain).collect()]
         rows = self.read(f"bronze/{domain}", schema)
-        return rows.where(F.col("_load_id").isin(load_ids)).drop("_load_id")
+        return spread(rows.where(F.col("_load_id").isin(load_ids)).drop("_load_id"))
