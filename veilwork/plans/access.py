@@ -50,21 +50,33 @@ TEXT_PATTERNS = {
 REDACT_ORDER = ("EMAIL", "MEDICAL_RECORD", "DATE", "PHONE", "CREDIT_CARD", "BANK_ACCOUNT")
 
 
-def text_matches(text: Column, kind: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(TEXT_PATTERNS[kind]), F.lit(0))
+# What a text must contain for a format to occur in it; most texts lack most of these.
+_SIGNS = {"EMAIL": "@", "MEDICAL_RECORD": "MRN"}
+
+
+def may_contain(text: Column, kind: str) -> Column:
+    return F.contains(text, F.lit(_SIGNS[kind])) if kind in _SIGNS else text.rlike("[0-9]")
 
 
 def scan_text(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """Matches per row and kind of personal data, over the whole text; no shuffle."""
-    counts = [F.regexp_count(text, F.lit(p)).alias(f"n_{kind.lower()}") for kind, p in TEXT_PATTERNS.items()]
+    value = F.col(text)
+    counts = [
+        F.when(may_contain(value, kind), F.regexp_count(value, F.lit(pattern)))
+        .when(value.isNotNull(), F.lit(0))
+        .alias(f"n_{kind.lower()}")
+        for kind, pattern in TEXT_PATTERNS.items()
+    ]
     return df.select(*keep, *counts)
 
 
 def redact_text(text: Column) -> Column:
     """The text with every match replaced by [KIND]."""
+    clean = text
     for kind in REDACT_ORDER:
-        text = F.regexp_replace(text, TEXT_PATTERNS[kind], f"[{kind}]")
-    return text
+        clean = F.regexp_replace(clean, TEXT_PATTERNS[kind], f"[{kind}]")
+    suspect = may_contain(text, "EMAIL") | may_contain(text, "PHONE") | may_contain(text, "MEDICAL_RECORD")
+    return F.when(suspect, clean).otherwise(text)
 
 
 def text_summary(df: DataFrame, text: str, group: str) -> DataFrame:
