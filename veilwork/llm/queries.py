@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import line_dedup, mixing
+from veilwork.llm import licenses, line_dedup, mixing, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every url."""
+    return url_rules.judge_urls(table(spark, folder, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more are dropped everywhere."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -35,7 +40,14 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in every text."""
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_url_rules": op5_url_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_license_scan": op10_license_scan,
 }
