@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import licenses, line_dedup, mixing, url_rules
+from veilwork.llm import licenses, line_dedup, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learned from the rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(toxicity.fold(F.col("doc_id"), 3) != 1)
+    settings = toxicity.Settings()
+    weights = toxicity.fit(docs, labels, "toxic", settings)
+    return toxicity.score(docs, weights, settings, keep=["doc_id"]).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= settings.cut).cast("int").alias("predicted"),
+    )
+
+
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the target mix takes of every document."""
     taken = mixing.mix_sources(table(spark, folder, "documents"))
@@ -46,6 +60,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_url_rules": op5_url_rules,
     "op9_line_dedup": op9_line_dedup,
