@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import licenses, line_dedup, mixing, toxicity, url_rules
+from veilwork.llm import licenses, line_dedup, lm, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,11 @@ def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, folder, "pages"))
 
 
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every text under a bigram model of the rows that are not held out."""
+    return lm.score_texts(table(spark, folder, "documents"), toxicity.fold(F.col("doc_id"), 7) != 2)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more are dropped everywhere."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_url_rules": op5_url_rules,
+    "op6_lm_score": op6_lm_score,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
 }
