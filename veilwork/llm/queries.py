@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import licenses, line_dedup, lm, mixing, toxicity, url_rules
+from veilwork.llm import jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(table(spark, folder, "documents"), toxicity.fold(F.col("doc_id"), 7) != 2)
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are 85 % alike."""
+    return jaccard.similar_components(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more are dropped everywhere."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_url_rules": op5_url_rules,
     "op6_lm_score": op6_lm_score,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
 }
