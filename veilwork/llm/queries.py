@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
+from veilwork.llm import decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, exact or with edits."""
+    return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text, learned from the rows that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -70,6 +75,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_url_rules": op5_url_rules,
