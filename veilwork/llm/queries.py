@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
+from veilwork.llm import ann, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ann_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every row whose id is divisible by 20."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in documents, exact or with edits."""
     return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -75,6 +80,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ann_search": op1_ann_search,
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
