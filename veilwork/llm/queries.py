@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import ann, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
+from veilwork.llm import ann, chaining, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(table(spark, folder, "documents"), words=4, percent=85)
 
 
+def op8_shared_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that documents share."""
+    return chaining.shared_passages(table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more are dropped everywhere."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_rules": op5_url_rules,
     "op6_lm_score": op6_lm_score,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_shared_passages": op8_shared_passages,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
 }
