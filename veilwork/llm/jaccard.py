@@ -247,9 +247,50 @@ def similar_components(
     all that are not in theirs yet. So each link between components is found, and no group
     is turned into all its pairs. 64-bit fingerprints stand for sets and shingles.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
+    placed = _placed(_rows(docs, id_col, text_col), words, percent)
+    smallest = (
+        placed.where(F.col("component").isNotNull())
+        .groupBy("component").agg(F.min("doc_id").alias("component_id")).hint("rebalance")
+    )
+    return placed.join(smallest, "component", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` with one row of each component of `similar_components`, with all columns.
+
+    The row with the smallest id stays, a null id only if there is no other; of rows with the
+    same id, one. Rows without words all stay.
+    """
+    placed = _placed(_rows(docs, id_col, text_col), words, percent).where(F.col("n") > 0)
+    placed = materialize(placed.select("doc_id", "row", "component"), "placed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"]
+    kept = placed.groupBy("component").agg(first.alias("kept")).hint("rebalance")
+    gone = placed.join(kept, "component").where(F.col("row") != F.col("kept")).select(F.col("row").alias("_gone"))
+    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
+    stay = keyed.join(gone.distinct(), F.col("_row") == F.col("_gone"), "left_anti")
+    again = placed.groupBy("row").count().where("count > 1").select(F.col("row").alias("_again"))
+    again = materialize(again, "repeated")
+    if not again.isEmpty():
+        # Equal in id and text, such rows are one node: one of them stays.
+        repeated = F.col("_row") == F.col("_again")
+        once = stay.join(again, repeated, "left_semi").dropDuplicates(["_row"])
+        stay = stay.join(again, repeated, "left_anti").unionByName(once)
+    return stay.select(*docs.columns)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row)
+
+
+def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, row, n, name, component) of every row; no component without shingles."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     known = materialize(_sets(rows, words, kind), "sketches")
     reps = materialize(
@@ -271,16 +312,7 @@ def similar_components(
         found = materialize(components(links.unionByName(more)), "components")
 
     placed = known.join(found.withColumnRenamed("node", "name"), "name", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "name"))
-    smallest = (
-        placed.where(F.col("component").isNotNull())
-        .groupBy("component").agg(F.min("doc_id").alias("component_id")).hint("rebalance")
-    )
-    return placed.join(smallest, "component", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return placed.withColumn("component", F.coalesce("component", "name")).drop("sketch")
 
 
 def _sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
