@@ -16,14 +16,16 @@ from veilwork.llm import decontam, jaccard, line_dedup, mixing, toxicity
 from veilwork.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-SCORE = "_toxicity"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.7 or more go; it learns from all labels."""
     settings = toxicity.Settings()
     weights = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic", settings)
-    return toxicity.score(docs, weights, settings, column=SCORE).where(F.col(SCORE) < settings.cut).drop(SCORE)
+    score = "toxicity"
+    while score in docs.columns:
+        score += "_"
+    return toxicity.score(docs, weights, settings, column=score).where(F.col(score) < settings.cut).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, keep_first=True))
     text = F.when(F.col("text").isNotNull(), F.array_join("kept_lines", "\n"))
-    rows = rows.withColumn("text", text).drop("kept_lines")
-    return rows.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else rows
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != "kept_lines"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +54,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes words of, with their size and the words taken."""
-    added = {"doc_id", "source", "size", "source_size", "target", "taken"}
+    added = {"doc_id", "source", "size", "source_size", "target", "taken"}  # these replace columns of the name
     mix = mixing.mix_sources(docs, keep=[c for c in docs.columns if c not in added])
     return mix.where(F.col("taken") > 0)
 

@@ -98,7 +98,7 @@ def mix_sources(
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
-        *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+        *[F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(keep)],
         F.col(source_col).alias("source"),
         n_words(F.col(text_col)).alias("size"),
     ).withColumn("_draw", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
