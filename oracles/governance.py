@@ -5,7 +5,6 @@ from oracles.exprs import clean_ctes
 from oracles.profiling import counts, features, samples
 from oracles.warehouse import star_ctes
 from veilwork.functions.masks import TECHNIQUES
-from veilwork.plans.rules import FORMAT_RULES, NAME_RULES
 from veilwork.queries.views import AUDIT
 from veilwork.schemas import DOMAINS, SENSITIVITY_POLICY
 
@@ -23,9 +22,8 @@ def star_columns(domain: str) -> dict[str, list[str]]:
     return out
 
 
-_SCANNED = ("banking", "medical")
 _counted, _sampled, _inventory = [], [], []
-for _domain in _SCANNED:
+for _domain in DOMAINS:
     _spec = DOMAINS[_domain]
     _primary = {(d.name, d.key) for d in _spec.dims}
     _foreign = {(_spec.fact.name, d.fact_key or d.key) for d in _spec.dims}
@@ -40,18 +38,39 @@ for _domain in _SCANNED:
                 f"('star_{_domain}', '{_table}', '{_c}', '{_kind}', {(_table, _c) in _primary}, {(_table, _c) in _foreign}, {_i})"
             )
 
-_STARS = ", ".join(star_ctes(d) for d in _SCANNED)
+_STARS = ", ".join(star_ctes(d) for d in DOMAINS)
 _INVENTORY = (
     f"(VALUES {', '.join(_inventory)}) i(schema_name, table_name, column_name, table_type, is_primary_key, is_foreign_key, ordinal_position)"
 )
-_low = "lower(column_name)"
+# The rules, written out here on their own.
+_words = "'_' || regexp_replace(lower(column_name), '[^a-z0-9]+', '_', 'g') || '_'"
+_lineage = "(column_name LIKE '\\_%' ESCAPE '\\' OR column_name = 'key' OR column_name LIKE '%\\_key' ESCAPE '\\')"
+_names = (
+    ("email", "EMAIL"), ("phone", "PHONE"), ("mobile", "PHONE"), ("date_of_birth", "DATE_OF_BIRTH"), ("dob", "DATE_OF_BIRTH"),
+    ("birth", "DATE_OF_BIRTH"), ("medical_record", "MEDICAL_RECORD_NUMBER"), ("mrn", "MEDICAL_RECORD_NUMBER"),
+    ("account_number", "BANK_ACCOUNT_NUMBER"), ("account_no", "BANK_ACCOUNT_NUMBER"), ("account_num", "BANK_ACCOUNT_NUMBER"),
+    ("bank_account", "BANK_ACCOUNT_NUMBER"), ("diagnosis", "HEALTH_INFORMATION"), ("blood", "HEALTH_INFORMATION"),
+    ("balance", "FINANCIAL_INFORMATION"), ("salary", "FINANCIAL_INFORMATION"), ("income", "FINANCIAL_INFORMATION"),
+    ("acctbal", "FINANCIAL_INFORMATION"), ("totalprice", "FINANCIAL_INFORMATION"), ("address", "ADDRESS"),
+    ("city", "LOCATION"), ("state", "LOCATION"), ("location", "LOCATION"), ("gender", "DEMOGRAPHIC_INFORMATION"),
+    ("age", "DEMOGRAPHIC_INFORMATION"), ("first_name", "PERSON_NAME"), ("last_name", "PERSON_NAME"),
+    ("doctor_name", "PERSON_NAME"), ("c_name", "PERSON_NAME"), ("s_name", "PERSON_NAME"), ("customer_id", "DIRECT_IDENTIFIER"),
+    ("student_id", "DIRECT_IDENTIFIER"), ("patient_id", "DIRECT_IDENTIFIER"), ("custkey", "DIRECT_IDENTIFIER"),
+    ("user_id", "DIRECT_IDENTIFIER"),
+)
 _by_name = (
-    f"CASE WHEN {_low} = 'age' THEN 'DEMOGRAPHIC_INFORMATION' WHEN {_low} = 'dob' THEN 'DATE_OF_BIRTH' "
-    + " ".join(f"WHEN contains({_low}, '{n}') THEN '{t}'" for t, needles in NAME_RULES for n in needles)
+    f"CASE WHEN {_lineage} THEN 'NON_PII' "
+    + " ".join(f"WHEN contains({_words}, '_{n}_') THEN '{t}'" for n, t in _names)
+    + " "
+    + " ".join(
+        f"WHEN contains({_words}, '_{n}_') AND by_format IS NULL THEN 'NON_PII'"
+        for n in ("account_type", "campaign", "course", "department", "channel")
+    )
     + " END"
 )
-_by_format = "CASE " + " ".join(f"WHEN {f} >= 0.6 THEN '{t}'" for t, f in FORMAT_RULES) + " END"
-_share = f"greatest({', '.join(f for _, f in FORMAT_RULES)})"
+_by_format = """CASE WHEN email_match_ratio >= 0.6 THEN 'EMAIL' WHEN phone_match_ratio >= 0.6 THEN 'PHONE'
+  WHEN bank_account_match_ratio >= 0.6 THEN 'BANK_ACCOUNT_NUMBER' WHEN credit_card_match_ratio >= 0.6 THEN 'FINANCIAL_INFORMATION' END"""
+_share = "greatest(email_match_ratio, phone_match_ratio, bank_account_match_ratio, credit_card_match_ratio)"
 _level = " ".join(f"WHEN '{t}' THEN '{level}'" for t, level in SENSITIVITY_POLICY.items())
 _technique = " ".join(f"WHEN '{t}' THEN '{TECHNIQUES[t]}'" for t in ("EMAIL", "PHONE", "PERSON_NAME", "DATE_OF_BIRTH"))
 
@@ -60,14 +79,15 @@ WITH {_STARS},
 counted AS MATERIALIZED ({' UNION ALL '.join(_counted)}),
 sampled AS MATERIALIZED ({' UNION ALL '.join(_sampled)}),
 feats AS (SELECT schema_name, table_name, column_name, {features()} FROM sampled GROUP BY 1, 2, 3),
-ruled AS (SELECT c.*, {_by_name} AS by_name, {_by_format} AS by_format, coalesce({_share}, 0.0) AS share
+formed AS (SELECT c.*, {_by_format} AS by_format, coalesce({_share}, 0.0) AS share
           FROM counted c LEFT JOIN feats f USING (schema_name, table_name, column_name)),
+ruled AS (SELECT *, {_by_name} AS by_name FROM formed),
 scan AS (SELECT schema_name, table_name, column_name, records_scanned, non_null_records,
   coalesce(by_name, by_format, 'NON_PII') AS pii_type,
   CASE WHEN by_name = by_format THEN greatest(share, 0.9) WHEN by_name IS NOT NULL THEN 0.9
        WHEN by_format IS NOT NULL THEN share ELSE 0.5 END AS confidence,
-  CASE WHEN by_name = by_format THEN 'NAME_AND_PATTERN' WHEN by_name IS NOT NULL THEN 'NAME'
-       WHEN by_format IS NOT NULL THEN 'PATTERN' ELSE 'NONE' END AS detection_method FROM ruled),
+  'PATTERN' AS detection_method, CASE WHEN by_name = by_format THEN 'BOTH' WHEN by_name IS NOT NULL THEN 'NAME'
+       WHEN by_format IS NOT NULL THEN 'VALUES' ELSE 'NONE' END AS evidence FROM ruled),
 outcome AS MATERIALIZED (SELECT *, pii_type <> 'NON_PII' AS pii_detected,
   CASE WHEN pii_type <> 'NON_PII' THEN non_null_records ELSE 0 END AS pii_records_detected,
   CASE pii_type {_level} END AS sensitivity_level,
@@ -82,7 +102,7 @@ TEXT = {
     "DATE": r"\b(?:[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4})\b",
     "CREDIT_CARD": r"\b(?:[0-9][ -]?){12,18}[0-9]\b",
     "BANK_ACCOUNT": r"\b[0-9]{8,18}\b",
-    "MEDICAL_RECORD": r"\bMRN[-_ ]?[A-Za-z0-9]{5,20}\b",
+    "MEDICAL_RECORD": r"(?i)\bMRN[-_ ]?(?:[A-Z0-9]+-)*[A-Z0-9]{5,20}\b",
 }
 _found = ", ".join(f"len(regexp_extract_all(text, '{p}')) AS n_{k.lower()}" for k, p in TEXT.items())
 _redacted = "text"
@@ -92,7 +112,14 @@ _hits = [f"n_{k.lower()}" for k in TEXT]
 
 
 def tail(c: str) -> str:
-    return f"repeat('*', CAST(greatest(length({c}) - 4, 0) AS BIGINT)) || right({c}, 4)"
+    return (
+        f"CASE WHEN length({c}) > 8 THEN repeat('*', CAST(length({c}) - 4 AS BIGINT)) || right({c}, 4) "
+        f"ELSE repeat('*', CAST(length({c}) AS BIGINT)) END"
+    )
+
+
+def initial(c: str) -> str:
+    return f"CASE WHEN length({c}) > 1 THEN left({c}, 1) ELSE '' END || '****' || left({c}, 0)"
 
 
 def pseudonym(c: str) -> str:
@@ -103,7 +130,16 @@ def redact(c: str) -> str:
     return f"CASE WHEN {c} IS NOT NULL THEN '[REDACTED]' END"
 
 
-_email = "left(email, 1) || '****' || substr(email, instr(email, '@'))"
+
+
+def email_of(c: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match({c}, '[^@\\s]+@[^@\\s]+') THEN left({c}, 1) || '****' || substr({c}, instr({c}, '@')) "
+        f"WHEN {c} IS NOT NULL THEN '[REDACTED]' END"
+    )
+
+
+_email = email_of("email")
 _clean = f"WITH {clean_ctes('banking')}"
 _all = "_bronze_id, " + ", ".join(X.FIELDS["banking"]) + ", city, state"
 
@@ -112,7 +148,7 @@ ORACLES = {
         WITH {_STARS}, counted AS ({' UNION ALL '.join(_counted)})
         SELECT i.* REPLACE (CAST(i.ordinal_position AS BIGINT) AS ordinal_position), records_scanned, non_null_records FROM {_INVENTORY} JOIN counted USING (schema_name, table_name, column_name)""",
     "rule_classify_columns": SCAN
-    + """SELECT schema_name, table_name, column_name, pii_type, round(confidence, 6) AS confidence, detection_method,
+    + """SELECT schema_name, table_name, column_name, pii_type, round(confidence, 6) AS confidence, detection_method, evidence,
          records_scanned, pii_detected, pii_records_detected FROM outcome""",
     "pii_scan_fact": SCAN
     + """SELECT scan_id, date_key, count(*) AS columns, count(*) AS distinct_columns, count(*) FILTER (pii_detected) AS pii_columns,
@@ -147,11 +183,17 @@ ORACLES = {
     "mask_email": f"{_clean} SELECT _bronze_id, {_email} AS email FROM clean_banking",
     "mask_phone": f"{_clean} SELECT _bronze_id, {tail('phone')} AS phone FROM clean_banking",
     "mask_account_number": f"{_clean} SELECT _bronze_id, {tail('account_number')} AS account_number FROM clean_banking",
-    "mask_others": f"""{_clean} SELECT _bronze_id, left(first_name, 1) || '****' AS first_name,
+    "mask_others": f"""{_clean} SELECT _bronze_id, {initial('first_name')} AS first_name,
         CAST(year(date_of_birth) AS VARCHAR) AS date_of_birth, {redact('address')} AS address,
         {pseudonym('customer_id')} AS customer_id FROM clean_banking""",
+    "mask_raw_values": f"""{_clean} SELECT _bronze_id, {_email} AS email, {email_of("('@' || phone)")} AS no_user,
+        {tail('phone')} AS phone, {tail('left(phone, 4)')} AS short, {initial('first_name')} AS first_name,
+        {initial('left(first_name, 1)')} AS one_letter FROM raw_banking""",
+    "redact_record_numbers": """SELECT doc_id, 'seen [MEDICAL_RECORD] and ' ||
+        CASE WHEN length('1234' || doc_id || 'x') BETWEEN 5 AND 20 THEN '[MEDICAL_RECORD]' ELSE 'mrn-1234' || doc_id || 'x' END
+        || ' Mrn 77 ok' AS clean FROM documents""",
     "secure_view_analyst": f"""{_clean} SELECT _bronze_id, {pseudonym('customer_id')} AS customer_id,
-        left(first_name, 1) || '****' AS first_name, left(last_name, 1) || '****' AS last_name, {_email} AS email,
+        {initial('first_name')} AS first_name, {initial('last_name')} AS last_name, {_email} AS email,
         {tail('phone')} AS phone, CAST(year(date_of_birth) AS VARCHAR) AS date_of_birth,
         {tail('account_number')} AS account_number, account_type, {redact('balance')} AS balance,
         {redact('address')} AS address, {redact('city')} AS city, {redact('state')} AS state FROM clean_banking""",

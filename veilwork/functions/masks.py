@@ -9,18 +9,20 @@ REDACTED = "[REDACTED]"
 
 
 def mask_email(c: Column) -> Column:
-    """a****@example.com: first character, four stars, the domain."""
-    return F.regexp_replace(c, r"\A([^@])[^@]*@", "$1****@")
+    """a****@example.com: first character, four stars, the domain. Other text is redacted."""
+    fits = c.rlike(r"\A[^@\s]+@[^@\s]+\z")
+    return F.when(fits, F.regexp_replace(c, r"\A([^@])[^@]*@", "$1****@")).otherwise(redact(c))
 
 
 def mask_tail(c: Column, keep: int = 4) -> Column:
-    """Stars except for the last `keep` characters."""
-    hidden = F.greatest(F.length(c) - keep, F.lit(0))
-    return F.concat(F.repeat(F.lit("*"), hidden), F.right(c, F.lit(keep)))
+    """Stars except for the last `keep` characters; stars alone if these were half or more."""
+    hidden = F.when(F.length(c) > 2 * keep, F.length(c) - keep).otherwise(F.length(c))
+    return F.concat(F.repeat(F.lit("*"), hidden), F.right(c, F.length(c) - hidden))
 
 
 def mask_name(c: Column) -> Column:
-    return F.concat(F.substring(c, 1, 1), F.lit("****"))
+    """The first character and four stars; stars alone for a single character."""
+    return F.concat(F.when(F.length(c) > 1, F.substring(c, 1, 1)).otherwise(F.lit("")), F.lit("****"), F.left(c, F.lit(0)))
 
 
 def mask_birth_date(c: Column) -> Column:

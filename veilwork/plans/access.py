@@ -44,18 +44,18 @@ TEXT_PATTERNS = {
     "DATE": r"\b(?:[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4})\b",
     "CREDIT_CARD": r"\b(?:[0-9][ -]?){12,18}[0-9]\b",
     "BANK_ACCOUNT": r"\b[0-9]{8,18}\b",
-    "MEDICAL_RECORD": r"\bMRN[-_ ]?[A-Za-z0-9]{5,20}\b",
+    "MEDICAL_RECORD": r"(?i)\bMRN[-_ ]?(?:[A-Z0-9]+-)*[A-Z0-9]{5,20}\b",
 }
 # Tried in this order, so that a longer format is not cut up by a shorter one.
 REDACT_ORDER = ("EMAIL", "MEDICAL_RECORD", "DATE", "PHONE", "CREDIT_CARD", "BANK_ACCOUNT")
 
 
-# What a text must contain for a format to occur in it; most texts lack most of these.
-_SIGNS = {"EMAIL": "@", "MEDICAL_RECORD": "MRN"}
+# What a text must match for a format to occur in it; most texts lack most of these.
+_SIGNS = {"EMAIL": "@", "MEDICAL_RECORD": "(?i)mrn"}
 
 
 def may_contain(text: Column, kind: str) -> Column:
-    return F.contains(text, F.lit(_SIGNS[kind])) if kind in _SIGNS else text.rlike("[0-9]")
+    return text.rlike(_SIGNS.get(kind, "[0-9]"))
 
 
 def scan_text(df: DataFrame, text: str, keep: list[str]) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A column whose name contains one of these has this type; earlier ones win.
+# Words of a column name and the type they stand for; earlier ones win. A rule
+# of several words needs them next to each other, whole.
 NAME_RULES = (
-    ("NON_PII", ("account_type", "campaign", "course", "department", "channel", "_key", "source_file")),
     ("EMAIL", ("email",)),
     ("PHONE", ("phone", "mobile")),
     ("DATE_OF_BIRTH", ("date_of_birth", "dob", "birth")),
@@ -17,31 +17,45 @@ NAME_RULES = (
     ("FINANCIAL_INFORMATION", ("balance", "salary", "income", "acctbal", "totalprice")),
     ("ADDRESS", ("address",)),
     ("LOCATION", ("city", "state", "location")),
-    ("DEMOGRAPHIC_INFORMATION", ("gender", "age_", "_age")),
+    ("DEMOGRAPHIC_INFORMATION", ("gender", "age")),
     ("PERSON_NAME", ("first_name", "last_name", "doctor_name", "c_name", "s_name")),
     ("DIRECT_IDENTIFIER", ("customer_id", "student_id", "patient_id", "custkey", "user_id")),
 )
+# Names of plain business columns; values that look like personal data say otherwise.
+PLAIN_NAMES = ("account_type", "campaign", "course", "department", "channel")
+# Names that are never personal data, whatever the values look like: lineage and surrogate keys.
+LINEAGE = r"\A_|(?:\A|_)(?:key|source_file|bronze_id)\z"
 
 # Value format -> type, tried in this order, so that phones come before account numbers.
 FORMAT_RULES = (
     ("EMAIL", "email_match_ratio"),
     ("PHONE", "phone_match_ratio"),
     ("BANK_ACCOUNT_NUMBER", "bank_account_match_ratio"),
+    ("FINANCIAL_INFORMATION", "credit_card_match_ratio"),
 )
 THRESHOLD = 0.6
 NAME_CONFIDENCE = 0.9
 
 
+def has_words(name: Column, needles: tuple[str, ...]) -> Column:
+    """Does the name have one of these as whole `_`-separated words?"""
+    words = F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_")
+    return words.rlike(f"(?:\\A|_)(?:{'|'.join(needles)})(?:_|\\z)")
+
+
 def name_type(column: Column) -> Column:
     """The type a column name suggests, NULL if none."""
-    low = F.lower(column)
-    found = F.when(low.isin("age", "dob"), F.when(low == "age", "DEMOGRAPHIC_INFORMATION").otherwise("DATE_OF_BIRTH"))
-    for pii_type, needles in NAME_RULES:
-        for needle in needles:
-            found = found.when(F.contains(low, F.lit(needle)), pii_type)
+    found = F.when(F.lower(column).rlike(LINEAGE), "NON_PII")
+    for pii_type, needles in (*NAME_RULES, ("NON_PII", PLAIN_NAMES)):
+        found = found.when(has_words(column, needles), pii_type)
     return found
 
 
+def values_decide(column: Column) -> Column:
+    """May values override the name? Only where it stands for a plain business column."""
+    return (name_type(column) == "NON_PII") & ~F.lower(column).rlike(LINEAGE)
+
+
 def format_type() -> Column:
     """The type the values suggest, NULL if none; needs the profile features."""
     found = None
@@ -56,14 +70,17 @@ def format_share() -> Column:
 
 
 def classify_by_rules(features: DataFrame) -> DataFrame:
-    """Add pii_type, final_confidence and detection_method.
+    """Add pii_type, final_confidence, detection_method (PATTERN) and evidence.
 
-    The name decides first; values decide for names that say nothing. Where both agree
-    the confidence is the share of values that fit, but no less than the name's own.
+    A name that stands for personal data decides, and so does one of lineage and keys. For
+    all others the values decide if they have a format. Where name and values agree the
+    confidence is the share of values that fit, but no less than the name's own. `evidence`
+    tells what the type rests on: NAME, VALUES, BOTH or NONE.
     """
-    rows = features.withColumn("_by_name", name_type(F.col("column_name"))).withColumn(
-        "_by_format", format_type()
-    )
+    name = F.col("column_name")
+    rows = features.withColumn("_by_format", format_type())
+    overruled = values_decide(name) & F.col("_by_format").isNotNull()
+    rows = rows.withColumn("_by_name", F.when(~F.coalesce(overruled, F.lit(False)), name_type(name)))
     agree = F.col("_by_name") == F.col("_by_format")
     return rows.select(
         *features.columns,
@@ -73,11 +90,12 @@ def classify_by_rules(features: DataFrame) -> DataFrame:
         .when(F.col("_by_format").isNotNull(), format_share())
         .otherwise(F.lit(0.5))
         .alias("final_confidence"),
-        F.when(agree, "NAME_AND_PATTERN")
+        F.lit("PATTERN").alias("detection_method"),
+        F.when(agree, "BOTH")
         .when(F.col("_by_name").isNotNull(), "NAME")
-        .when(F.col("_by_format").isNotNull(), "PATTERN")
+        .when(F.col("_by_format").isNotNull(), "VALUES")
         .otherwise("NONE")
-        .alias("detection_method"),
+        .alias("evidence"),
     )
 
 
@@ -90,11 +108,11 @@ def combine(rules: DataFrame, model: DataFrame) -> DataFrame:
     on = ["schema_name", "table_name", "column_name"]
     by_rule = rules.select(
         *on, F.col("pii_type").alias("_rule_type"), F.col("final_confidence").alias("_rule_conf"),
-        F.col("detection_method").alias("_rule_method"),
+        F.col("evidence").alias("_rule_evidence"),
     )
     joined = model.join(by_rule, on)
     agree = F.col("pii_type") == F.col("_rule_type")
-    by_value = F.col("_rule_method").isin("PATTERN", "NAME_AND_PATTERN")
+    by_value = F.col("_rule_evidence").isin("VALUES", "BOTH")
     return joined.select(
         *[c for c in model.columns if c not in ("pii_type", "final_confidence", "detection_method")],
         F.when(by_value, F.col("_rule_type")).otherwise(F.col("pii_type")).alias("pii_type"),

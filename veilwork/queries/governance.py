@@ -17,21 +17,19 @@ from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
 from veilwork.queries.warehouse import BUCKETS, silver_rows
 from veilwork.schemas import DOMAINS, star_constraints
 from veilwork.session import materialize
-from veilwork.sources.tables import spread
 
-SCANNED = ("banking", "medical")
 AT = dt.datetime(2026, 1, 1, 12, 0, 0)
 
 
-def warehouse(spark, folder, names=SCANNED):
-    """Star tables of some domains, written once so that every scan pass reads them back."""
+def warehouse(spark, folder):
+    """Star tables of all domains, written once so that every scan pass reads them back."""
     out = {}
 
     def settle(item):
         table_name, df = item
         return table_name, materialize(df, table_name)
 
-    for name in names:
+    for name in DOMAINS:
         # Settled first, since each star table is derived from it.
         rows = materialize(silver_rows(spark, folder, name), f"silver-{name}")
         spec = DOMAINS[name]
@@ -85,7 +83,7 @@ def _(spark, folder):
     scan = rule_scan(spark, warehouse(spark, folder))
     return scan.select(
         "schema_name", "table_name", "column_name", "pii_type", F.round("final_confidence", 6).alias("confidence"),
-        "detection_method", "records_scanned", "pii_detected", "pii_records_detected",
+        "detection_method", "evidence", "records_scanned", "pii_detected", "pii_records_detected",
     )
 
 
@@ -207,6 +205,31 @@ def _(spark, folder):
     )
 
 
+@query("mask_raw_values")
+def _(spark, folder):
+    """Masks of uncleaned values: without the format, short, single characters, empty."""
+    raw = raw_domain(spark, folder, "banking")
+    return raw.select(
+        "_bronze_id",
+        M.mask_email(F.col("email")).alias("email"),
+        M.mask_email(F.concat_ws("@", F.lit(""), F.col("phone"))).alias("no_user"),
+        M.mask_tail(F.col("phone")).alias("phone"),
+        M.mask_tail(F.substring("phone", 1, 4)).alias("short"),
+        M.mask_name(F.col("first_name")).alias("first_name"),
+        M.mask_name(F.substring("first_name", 1, 1)).alias("one_letter"),
+    )
+
+
+@query("redact_record_numbers")
+def _(spark, folder):
+    """Record numbers of several spellings inside running text."""
+    text = F.concat_ws(
+        " ", F.lit("seen"), F.concat(F.lit("MRN-2025-"), F.lpad(F.col("doc_id").cast("string"), 5, "0")),
+        F.lit("and"), F.concat(F.lit("mrn-1234"), F.col("doc_id").cast("string"), F.lit("x")), F.lit("Mrn 77 ok"),
+    )
+    return table(spark, folder, "documents").select("doc_id", access.redact_text(text).alias("clean"))
+
+
 BANKING_TYPES = {
     "_bronze_id": "NON_PII", "customer_id": "DIRECT_IDENTIFIER", "first_name": "PERSON_NAME",
     "last_name": "PERSON_NAME", "email": "EMAIL", "phone": "PHONE", "date_of_birth": "DATE_OF_BIRTH",
@@ -234,7 +257,7 @@ def _counts(df):
 
 @query("text_scan_documents")
 def _(spark, folder):
-    return _counts(access.scan_text(spread(table(spark, folder, "documents")), "text", ["doc_id"]))
+    return _counts(access.scan_text(table(spark, folder, "documents"), "text", ["doc_id"]))
 
 
 @query("text_scan_conversations")
@@ -244,13 +267,13 @@ def _(spark, folder):
 
 @query("text_redact_documents")
 def _(spark, folder):
-    docs = spread(table(spark, folder, "documents")).select("doc_id", access.redact_text(F.col("text")).alias("clean"))
+    docs = table(spark, folder, "documents").select("doc_id", access.redact_text(F.col("text")).alias("clean"))
     return docs.select("doc_id", F.length("clean").cast("bigint").alias("n"), F.md5("clean").alias("digest"))
 
 
 @query("text_summary_documents")
 def _(spark, folder):
-    out = access.text_summary(spread(table(spark, folder, "documents")), "text", "lang")
+    out = access.text_summary(table(spark, folder, "documents"), "text", "lang")
     return out.withColumn("share", F.round("share", 6))
 
 

@@ -9,7 +9,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilwork.sources.tables import spread
 
 AS_OF = dt.date(2026, 1, 1)
 
@@ -123,7 +122,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def raw_domain(spark: SparkSession, folder: str, domain: str) -> DataFrame:
     source = SOURCES[domain]
-    rows = spread(table(spark, folder, source))
+    rows = table(spark, folder, source)
     return spark.sql(VIEWS[domain].replace(f"FROM {source}\n", "FROM {src}\n"), src=rows)
 
 
