@@ -137,4 +137,13 @@ ORACLES |= {
         WITH {silver_ctes('banking')} SELECT count(*) AS rows, count(DISTINCT customer_id) AS customers FROM silver_banking""",
 }
 
+_digest = """count(*) AS rows, count(*) AS ids, count(DISTINCT customer_id) AS customers,
+  sum(length(address))::BIGINT AS address_chars, count(*) FILTER (contains(address, chr(10))) AS broken_addresses"""
+for _name in ("stream_two_folders", "stream_header_order", "batch_then_stream"):
+    ORACLES[_name] = f"SELECT {_digest} FROM ({VIEWS['banking']}) v"
+ORACLES["stream_line_breaks"] = f"""SELECT {_digest} FROM (
+    SELECT * REPLACE ('Flat "1",' || chr(10) || address AS address) FROM ({VIEWS['banking']}) v)"""
+ORACLES["ingest_faults"] = f"""SELECT 1::BIGINT AS left_out, 1::BIGINT AS files_failed, count(*) AS rows,
+    0::BIGINT AS emails, count(*) AS balances FROM ({VIEWS['banking']}) v"""
+
 __all__ = ["ORACLES", "clean_ctes", "raw_cte", "star_ctes"]

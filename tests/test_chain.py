@@ -148,20 +148,53 @@ def test_ids_are_unique_and_ordered_over_many_splits(spark, store, tmp_path):
 
 def test_streams_equal_batch_and_repeat_nothing(spark, store, tmp_path):
     folder = str(tmp_path / "drop")
-    header = BANKING.splitlines()[0].split(",")
-    drop_files(folder, one="".join(line + "\n" for line in BANKING.splitlines()[:6]))
+    drop_files(folder, one=BANKING)
     marks = str(tmp_path / "marks")
     for round_ in range(3):
-        stream_bronze(store, folder, "banking", marks + "/b", header).awaitTermination()
+        stream_bronze(store, folder, marks + "/b").awaitTermination()
         stream_silver(store, "banking", AS_OF, marks + "/s").awaitTermination()
         if round_ == 0:
-            assert store.read("silver/banking", DOMAINS["banking"].silver_schema).count() == 2
+            assert store.read("silver/banking", DOMAINS["banking"].silver_schema).count() == 3
             drop_files(folder, two=BANKING.splitlines()[0] + "\n7,Eve,Roy,,,,ACC100,SALARY,1,Pune,0,z\n1,X,,,,,,,,,,\n")
     rows = store.read("silver/banking", DOMAINS["banking"].silver_schema).collect()
-    assert sorted(r["customer_id"] for r in rows) == [1, 3, 7]
-    assert store.read_bronze("banking").count() == 7
-    ids = [r["_bronze_id"] for r in store.read_bronze("banking").collect()]
-    assert len(set(ids)) == 7
+    assert sorted(r["customer_id"] for r in rows) == [1, 2, 3, 7]
+    raw = store.read_bronze("banking").collect()
+    assert len(raw) == 8 and len({r["_bronze_id"] for r in raw}) == 8
+    assert 'Flat 1\nLane "Q", Delhi' in {r["address"] for r in raw}
+
+
+def test_stream_sees_folders_headers_domains_and_earlier_loads(spark, store, tmp_path):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    drop_files(first, bank=BANKING)
+    summary(ingest(store, first))
+    turned = "first_name,account_type,customer_id,account_number,balance\nAnn,SAVINGS,11,ACC1,5\n"
+    drop_files(second, turned=turned, med=MEDICAL, **{"odd[1]{x}": turned.replace("11", "12"), "bad": "a,b\n1,2\n"})
+    for i, folder in enumerate((first, second, second)):
+        stream_bronze(store, folder, str(tmp_path / f"marks{i}")).awaitTermination()
+    raw = store.read_bronze("banking").collect()
+    assert len(raw) == 8 and store.read_bronze("medical").count() == 2
+    assert {r["customer_id"]: r["first_name"] for r in raw if r["_source_file"] != "bank.csv"} == {"11": "Ann", "12": "Ann"}
+    assert store.manifest().count() == 4
+
+
+def test_one_unreadable_file_does_not_stop_its_group(spark, store, tmp_path):
+    folder = str(tmp_path / "drop")
+    drop_files(folder, **{f"f{i}": f"customer_id,account_number,account_type,balance\n{i},A,S,1\n" for i in range(5)})
+    import veilwork.sources.csv_drop as drop
+
+    real = drop.read_raw
+
+    def read_raw(spark, group):
+        if any(f.name == "f3.csv" for f in group.files):
+            raise OSError("cannot be read")
+        return real(spark, group)
+
+    drop.read_raw = read_raw
+    try:
+        done = summary(ingest(store, folder))
+    finally:
+        drop.read_raw = real
+    assert (done["files_ingested"], done["files_failed"], done["rows_ingested"]) == (4, 1, 4)
 
 
 def test_role_views(spark):

@@ -12,6 +12,7 @@ from veilwork.functions import cleaners as C
 from veilwork.operators.dedupe import first_ids, first_per_key
 from veilwork.operators.joins import absent_from
 from veilwork.schemas import DOMAINS, Domain
+from veilwork.session import materialize
 from veilwork.sources.tables import TableStore
 
 INVALID_PK = "INVALID_PRIMARY_KEY"
@@ -186,7 +187,7 @@ def process_domain(store: TableStore, name: str, as_of: dt.date, rescan: bool =
         runs = runs.limit(0)
     loads = store.committed_loads(name)
     pending = loads.join(runs.select("load_id"), "load_id", "left_anti")
-    pending_ids = sorted(r["load_id"] for r in pending.collect())
+    pending = materialize(pending, "pending")
     before = runs.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (
             "bronze_rows", "inserted", "invalid_primary_key", "missing_first_name", "duplicate_primary_key"
@@ -195,9 +196,9 @@ def process_domain(store: TableStore, name: str, as_of: dt.date, rescan: bool =
     old_silver = silver.count()
     stats = dict.fromkeys(STAT_COLUMNS, 0)
     stats["already_processed"] = old_silver
-    if pending_ids:
+    if not pending.isEmpty():
         run_id = uuid.uuid4().hex
-        bronze = store.read_bronze(name, pending_ids)
+        bronze = store.read_bronze(name, pending)
         store.append(f"silver/{name}", accepted(bronze, domain, as_of, silver))
         inserted = store.read(f"silver/{name}", domain.silver_schema).count() - old_silver
         few = absent_from(
@@ -216,13 +217,16 @@ def process_domain(store: TableStore, name: str, as_of: dt.date, rescan: bool =
             "missing_first_name": unnamed,
             "duplicate_primary_key": counts["open_rows"] - inserted - bad - unnamed,
         }
-        log = [
-            # The counts belong to the run; they are logged with its first load.
-            (run_id, name, load, *(new.values() if i == 0 else (0,) * len(new)))
-            for i, load in enumerate(pending_ids)
-        ]
         if not rescan:
-            store.append(RUNS, spark.createDataFrame(log, RUNS_SCHEMA).coalesce(1))
+            # The counts belong to the run; they are logged with its first load.
+            first = pending.agg(F.min("load_id")).first()[0]
+            log = pending.select(
+                F.lit(run_id).alias("run_id"),
+                F.lit(name).alias("domain"),
+                "load_id",
+                *[F.when(F.col("load_id") == first, n).otherwise(0).cast("bigint").alias(c) for c, n in new.items()],
+            )
+            store.append(RUNS, log.coalesce(1))
         stats["inserted"] = inserted
     else:
         new = dict.fromkeys(before, 0)

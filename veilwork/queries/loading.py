@@ -101,7 +101,7 @@ def _(spark, folder):
     drop = _drop(spark, folder, ("banking",))
     checkpoint = scratch_path(spark, "checkpoint")
     for _ in range(2):
-        stream.stream_bronze(store, drop, "banking", f"{checkpoint}/bronze").awaitTermination()
+        stream.stream_bronze(store, drop, f"{checkpoint}/bronze").awaitTermination()
         stream.stream_silver(store, "banking", AS_OF, f"{checkpoint}/silver").awaitTermination()
     rows = store.read("silver/banking", DOMAINS["banking"].silver_schema)
     return rows.agg(
@@ -110,6 +110,79 @@ def _(spark, folder):
     )
 
 
+def _bronze_digest(store):
+    """Rows, ids and a digest of the customers in Bronze banking."""
+    return store.read_bronze("banking").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("_bronze_id").alias("ids"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.sum(F.length("address")).alias("address_chars"),
+        F.count_if(F.col("address").contains("\n")).alias("broken_addresses"),
+    )
+
+
+@query("stream_two_folders")
+def _(spark, folder):
+    """Two folders, each with a checkpoint of its own, into one store."""
+    store = _store(spark)
+    rows = raw_domain(spark, folder, "banking")
+    for i in range(2):
+        drop, part = scratch_path(spark, "drop"), rows.where(F.col("_bronze_id") % 2 == i).drop("_bronze_id")
+        part.write.option("header", True).option("escape", '"').csv(drop)
+        stream.stream_bronze(store, drop, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _bronze_digest(store)
+
+
+@query("stream_line_breaks")
+def _(spark, folder):
+    """Addresses with line breaks and quotes inside, through the stream."""
+    store, drop = _store(spark), scratch_path(spark, "drop")
+    rows = raw_domain(spark, folder, "banking").drop("_bronze_id")
+    rows = rows.withColumn("address", F.concat(F.lit('Flat "1",\n'), F.col("address")))
+    rows.write.option("header", True).option("escape", "\"").option("quoteAll", True).option("ignoreTrailingWhiteSpace", False).csv(drop)
+    stream.stream_bronze(store, drop, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _bronze_digest(store)
+
+
+@query("stream_header_order")
+def _(spark, folder):
+    """Files with reversed columns, odd spellings of the names, an index column and an extra one."""
+    store, drop = _store(spark), scratch_path(spark, "drop")
+    rows = raw_domain(spark, folder, "banking").drop("_bronze_id")
+    names = [F.col(c).alias(f" {c.upper().replace('_', ' ')}") for c in reversed(rows.columns)]
+    rows.select(F.lit(7).alias("index"), *names, F.lit("x").alias("note")).write.option("header", True).option(
+        "escape", '"'
+    ).csv(drop)
+    stream.stream_bronze(store, drop, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _bronze_digest(store)
+
+
+@query("batch_then_stream")
+def _(spark, folder):
+    """Files that a batch run has loaded add nothing when a stream comes upon them."""
+    store, drop = _store(spark), _drop(spark, folder, ("banking",))
+    ingest(store, drop)
+    stream.stream_bronze(store, drop, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _bronze_digest(store)
+
+
+@query("ingest_faults")
+def _(spark, folder):
+    """A drop with missing columns and a file that fits no domain: the others are loaded."""
+    store, drop = _store(spark), scratch_path(spark, "drop")
+    rows = raw_domain(spark, folder, "banking")
+    few = rows.select("customer_id", "account_number", "account_type", "balance")
+    few.write.option("header", True).option("escape", '"').csv(drop)
+    rows.select(F.col("email").alias("a"), F.col("phone").alias("b")).coalesce(1).write.mode("append").option(
+        "header", True
+    ).csv(drop)
+    done = ingest(store, drop)
+    loaded = store.read_bronze("banking").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("email").alias("emails"), F.count("balance").alias("balances")
+    )
+    return done.select((F.col("files_found") - F.col("files_ingested")).alias("left_out"), "files_failed").withColumn("one", F.lit(1)).join(loaded.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @query("stream_audit")
 def _(spark, folder):
     """Finished audit windows from a stream of the access log."""

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import logging
 import re
 import uuid
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,27 +22,33 @@ from veilwork.sources.tables import MANIFEST, MANIFEST_SCHEMA, TableStore
 
 log = logging.getLogger(__name__)
 
-# A row id is the file's manifest number and the row's place in the file.
-POSITION_BITS = 40
-# Files per load; keeps the broadcast file table of a load small.
+# Files handled at a time: the driver never holds a longer list.
 FILES_PER_LOAD = 10_000
+LAST_ID = (1 << 63) - 1
+# More rows than a task reads before it comes to a file: it packs files up to a number of bytes.
+ROWS_BEFORE = 1 << 31
 INDEX_COLUMNS = frozenset({"index", "unnamed_0"})
 
-# A line, read from outside quotes, whose last field is quoted and not closed; and a line,
-# read from inside a quoted field, that ends inside one.
+# A line, read from outside quotes, whose last field is quoted and not closed.
 _QUOTED = r'"(?:[^"]|"")*+'
 _FIELD = rf'(?:{_QUOTED}"[^,]*+|[^",][^,]*+|)'
-_OPEN_END = rf"(?:{_FIELD},)*+{_QUOTED}\z"
-OPEN_QUOTE = rf"\A{_OPEN_END}"
-STILL_OPEN = rf'\A(?:[^"]|"")*+(?:\z|"[^,]*+,{_OPEN_END})'
+OPEN_QUOTE = rf"\A(?:{_FIELD},)*+{_QUOTED}\z"
 
 
 @dataclass(frozen=True)
 class SourceFile:
+    """A new file; its rows get ids from `first_id` on."""
+
     name: str
     path: str
     size: int
     signature: str
+    number: int
+    first_id: int
+
+    @property
+    def next_id(self) -> int:
+        return self.first_id + self.size + ROWS_BEFORE
 
 
 @dataclass
@@ -51,27 +58,29 @@ class Group:
     domain: Domain
     header: tuple[str, ...]
     multiline: bool
-    files: list[tuple[int, SourceFile]]
+    files: list[SourceFile]
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, path, size, signature) of the folder's CSV files; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .load(folder)
-        .select(
-            F.col("_metadata.file_name").alias("name"),
-            "path",
-            F.col("length").alias("size"),
-            F.unix_micros("modificationTime").alias("modified"),
-        )
-    )
+def file_columns(files: DataFrame) -> DataFrame:
+    """(name, path, size, signature) of a binaryFile scan or stream; contents are not read."""
     return files.select(
-        "name", "path", "size", F.concat_ws("|", "name", "size", "modified").alias("signature")
+        F.col("_metadata.file_name").alias("name"),
+        "path",
+        F.col("length").alias("size"),
+        F.concat_ws("|", "_metadata.file_name", "length", F.unix_micros("modificationTime")).alias("signature"),
     )
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, path, size, signature) of the folder's CSV files."""
+    return file_columns(spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(folder))
+
+
+def literal_path(path: str) -> str:
+    """A path whose special characters are not read as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def normalize_name(name: str) -> str:
     """'Customer ID' -> customer_id."""
     return re.sub(r"[^a-z0-9]+", "_", name.strip().lower()).strip("_")
@@ -85,12 +94,12 @@ def normalize_header(names: list[str]) -> tuple[str, ...]:
     return tuple(out)
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as written; only the first line is needed."""
-    first = spark.read.option("header", False).option("escape", '"').csv(path).limit(1).collect()
-    if not first:
+def split_header(line: str | None) -> list[str]:
+    """Column names as written; an unnamed column gets its number."""
+    cells = next(csv.reader([(line or "").rstrip("\r")]), [])
+    if not cells:
         raise ValueError("empty file")
-    return [v if v is not None else f"unnamed: {i}" for i, v in enumerate(first[0])]
+    return [v if v else f"unnamed: {i}" for i, v in enumerate(cells)]
 
 
 def detect_domain(columns: set[str]) -> Domain:
@@ -103,136 +112,58 @@ def detect_domain(columns: set[str]) -> Domain:
     return found[0]
 
 
-def quoted_line_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Names of the files in which a quoted field spans lines.
-
-    If no line leaves a quote open when read from outside quotes, then none is ever
-    entered inside quotes, and the file can be split at any line.
-    """
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    # Lines without any quote are the common case and skip the expression.
-    suspect = F.contains("value", F.lit('"')) & F.regexp_replace("value", r"\r\z", "").rlike(OPEN_QUOTE)
-    hits = lines.select(F.col("_metadata.file_name").alias("name"), F.col("value")).where(suspect)
-    return {r["name"] for r in hits.select("name").distinct().collect()}
-
-
 def index_in_task() -> Column:
     return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
 
 
-def _with_state(rows: DataFrame, scope: list[str], order: str) -> DataFrame:
-    """Add `_set` and `_flips`: what the rows up to each one do to the open-quote state.
-
-    Every row maps the state (outside 0, inside 1) by `_out` and `_in`. If some row up to
-    here sets it regardless (`_out` = `_in`), `_set` is the resulting state. Otherwise
-    `_set` is NULL and the state is the incoming one, inverted if `_flips` is odd.
-    """
-    so_far = Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    flips = F.sum((F.col("_out") > F.col("_in")).cast("int")).over(so_far)
-    rows = rows.withColumn("_flips", flips)
-    constant = F.when(F.col("_out") == F.col("_in"), F.struct(F.col("_out").alias("v"), F.col("_flips").alias("f")))
-    last = F.last(constant, ignorenulls=True).over(so_far)
-    return rows.withColumn("_set", F.pmod(last["v"] + F.col("_flips") - last["f"], F.lit(2)))
-
-
-def stitched_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Rows of CSV files in which quoted fields span lines, read split by split.
+def probe(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(name, header, multiline) of every file that has a line, in one pass over the text.
 
-    Each line says what it does to the open-quote state from either start. That is summed
-    up per split, then over the splits of a file (one small row each), so that every line
-    knows the state it starts in. Lines that start outside quotes begin a record; only
-    the lines of records that span several are grouped, one group per record.
+    multiline: whether a quoted field spans lines. If no line leaves a quote open when read
+    from outside quotes, none is ever entered inside quotes, and the file can be split at
+    any line.
     """
-    text = spark.read.option("lineSep", "\n").text(paths)
-    bare = F.regexp_replace("value", r"\r\z", "")
-    lines = text.select(
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        index_in_task().alias("_i"),
-        "value",
-        bare.rlike(OPEN_QUOTE).cast("int").alias("_out"),
-        bare.rlike(STILL_OPEN).cast("int").alias("_in"),
-    )
-    # Positions depend on how the files were split, and the lines are used several times.
-    lines = materialize(lines, "csv-lines")
-    split = ["_file", "_block"]
-    lines = _with_state(lines, split, "_i")
-    ends = lines.groupBy(*split).agg(
-        F.max(F.struct("_i", "_set", "_flips")).alias("_end"), F.min("_i").alias("_first")
-    )
-    ends = ends.select(
-        *split, "_first",
-        F.coalesce("_end._set", F.pmod("_end._flips", F.lit(2))).alias("_out"),
-        F.coalesce(F.col("_end._set"), 1 - F.pmod("_end._flips", F.lit(2))).alias("_in"),
-    )
-    by_file = Window.partitionBy("_file").orderBy("_block")
-    after = _with_state(ends, ["_file"], "_block")
-    after = after.withColumn("_after", F.coalesce("_set", F.pmod("_flips", F.lit(2))))
-    starts = after.select(
-        *split,
-        F.coalesce(F.lag("_after").over(by_file), F.lit(0)).alias("_start"),
-        F.first("_first").over(by_file).alias("_header"),
-    )
-    lines = lines.join(starts, split)
-    state = F.coalesce(F.col("_set"), F.pmod(F.col("_start") + F.col("_flips"), F.lit(2)))
-    in_split = Window.partitionBy(*split).orderBy("_i")
-    lines = lines.withColumn("_after", state)
-    lines = lines.withColumn("_before", F.coalesce(F.lag("_after").over(in_split), F.col("_start")))
-    place = F.struct("_block", "_i")
-    lines = lines.withColumn("_begin", F.when(F.col("_before") == 0, place))
-    # The record a split starts in the middle of began in an earlier split.
-    latest = lines.groupBy(*split).agg(F.max("_begin").alias("_latest"))
-    carried = latest.select(
-        *split, F.last("_latest", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried")
-    )
-    lines = lines.join(carried, split)
-    begun = F.last("_begin", ignorenulls=True).over(in_split)
-    lines = lines.withColumn("_record", F.coalesce(begun, F.col("_carried")))
-    whole = (F.col("_before") == 0) & (F.col("_after") == 0)
-    keep = ["_file", "_record", "_header"]
-    single = lines.where(whole).select(*keep, "value")
-    several = lines.where(~whole).groupBy(*keep).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_block", "_i", "value"))), lambda s: s["value"]), "\n").alias("value")
+    lines = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths])
+    # Lines without any quote are the common case and skip the expression.
+    opens = F.contains("value", F.lit('"')) & F.regexp_replace("value", r"\r\z", "").rlike(OPEN_QUOTE)
+    place = F.when(F.col("start") == 0, F.col("i"))
+    return (
+        lines.select(
+            F.col("_metadata.file_name").alias("name"),
+            F.col("_metadata.file_block_start").alias("start"),
+            index_in_task().alias("i"),
+            "value",
+            opens.alias("opens"),
+        )
+        .groupBy("name")
+        .agg(F.min_by("value", place).alias("header"), F.bool_or("opens").alias("multiline"))
     )
-    records = single.unionByName(several)
-    is_header = (F.col("_record._block") == 0) & (F.col("_record._i") == F.col("_header"))
-    records = records.where(~is_header & (F.trim(F.regexp_replace("value", r"\r\z", "")) != ""))
-    parsed = F.from_csv(F.regexp_replace("value", r"\r\z", ""), schema.simpleString()[7:-1].replace(":", " "), {"escape": '"'})
-    return records.select(
-        parsed.alias("_cells"),
-        F.col("_file").alias("_source_file"),
-        (F.col("_record._block") + F.col("_record._i")).alias("_position"),
-    ).select("_cells.*", "_source_file", "_position")
 
 
 def read_raw(spark: SparkSession, group: Group) -> DataFrame:
     """All-text rows of one group with `_bronze_id` and `_source_file`.
 
-    `_bronze_id` comes straight from the scan: the file's number, then the byte offset of
-    the split plus the row's index in the task. Every split but a file's last one fills a
+    `_bronze_id` comes straight from the scan: the file's first id, plus the byte offset of
+    the split, plus the row's index in the task. Every split but a file's last one fills a
     task of its own and a row takes at least one byte, so ids rise with the position in
-    the file and never meet. No count, sort or shuffle is needed. Positions do depend on
-    how files are split, so ids are taken once, here, and stored.
+    the file; a task may read other files first, and so many ids are left free before the
+    next file's begin. No count, sort or shuffle is needed. Positions do depend on how files are split, so ids are taken once, here, and
+    stored. A file in which a quoted field spans lines is read whole by one task.
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(group.header))])
-    paths = [f.path for _, f in group.files]
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
     if group.multiline:
-        positioned = stitched_rows(spark, paths, schema)
-    else:
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-        positioned = rows.option("escape", '"').csv(paths).select(
-            "*",
-            F.col("_metadata.file_name").alias("_source_file"),
-            (F.col("_metadata.file_block_start") + index_in_task()).alias("_position"),
-        )
-    numbers = spark.createDataFrame(
-        [(f.name, n) for n, f in group.files], "_name string, _file_number bigint"
+        rows = rows.option("multiLine", True)
+    positioned = rows.option("escape", '"').csv([literal_path(f.path) for f in group.files]).select(
+        "*",
+        F.col("_metadata.file_name").alias("_source_file"),
+        (F.col("_metadata.file_block_start") + index_in_task()).alias("_position"),
     )
+    firsts = spark.createDataFrame([(f.name, f.first_id) for f in group.files], "_name string, _first_id bigint")
     # At most FILES_PER_LOAD rows, so the broadcast has a fixed bound.
-    keyed = positioned.join(F.broadcast(numbers), F.col("_source_file") == F.col("_name"))
-    row_id = F.shiftleft("_file_number", POSITION_BITS) + F.col("_position")
+    keyed = positioned.join(F.broadcast(firsts), F.col("_source_file") == F.col("_name"))
     cells = [F.coalesce(f"_c{i}", F.lit("")).alias(name) for i, name in enumerate(group.header)]
-    return keyed.select(row_id.alias("_bronze_id"), *cells, "_source_file")
+    return keyed.select((F.col("_first_id") + F.col("_position")).alias("_bronze_id"), *cells, "_source_file")
 
 
 def conform(rows: DataFrame, domain: Domain) -> DataFrame:
@@ -250,84 +181,114 @@ def with_lineage(rows: DataFrame, batch_id: str, at: dt.datetime) -> DataFrame:
     return rows.withColumn("_ingestion_batch_id", F.lit(batch_id)).withColumn("_ingested_at", F.lit(at))
 
 
-def _plan_groups(
-    spark: SparkSession, numbered: list[tuple[int, SourceFile]], failures: dict[str, str]
-) -> list[Group]:
-    """Group the readable files by header; unreadable ones go to `failures`."""
-
-    def probe(item):
-        number, file = item
+def packed_bytes(spark: SparkSession) -> int:
+    """Bytes of files that Spark packs into one scan task at most."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _batches(fresh: DataFrame, number: int, first_id: int) -> Iterator[list[SourceFile]]:
+    """The new files by path, FILES_PER_LOAD at a time, with their numbers and id ranges."""
+    last = None
+    while True:
+        rest = fresh if last is None else fresh.where(F.col("path") > last)
+        rows = rest.orderBy("path").limit(FILES_PER_LOAD).collect()
+        files = []
+        for r in rows:
+            number += 1
+            files.append(SourceFile(r["name"], r["path"], r["size"], r["signature"], number, first_id))
+            first_id = files[-1].next_id
+            if first_id > LAST_ID:
+                raise OverflowError("no row ids are left for these files")
+        if files:
+            yield files
+        if len(rows) < FILES_PER_LOAD:
+            return
+        last = rows[-1]["path"]
+
+
+def _groups(spark: SparkSession, files: list[SourceFile], failures: dict[str, str]) -> list[Group]:
+    """The readable files by header and line layout; unreadable ones go to `failures`."""
+    # At most FILES_PER_LOAD rows come back.
+    found = {r["name"]: r for r in probe(spark, [f.path for f in files]).collect()}
+    by_layout = defaultdict(list)
+    for file in files:
         try:
-            header = normalize_header(read_header(spark, file.path))
-            return number, file, header, detect_domain(set(header) - INDEX_COLUMNS)
+            seen = found.get(file.name)
+            header = normalize_header(split_header(seen["header"] if seen else None))
+            domain = detect_domain(set(header) - INDEX_COLUMNS)
+            by_layout[domain.name, header, seen["multiline"]].append(file)
         except Exception as fault:  # one bad file must not stop the others
             failures[file.name] = str(fault)
-            return None
-
-    with ThreadPoolExecutor(8) as pool:
-        probed = [p for p in pool.map(probe, numbered) if p]
-    if not probed:
-        return []
-    broken = quoted_line_breaks(spark, [f.path for _, f, _, _ in probed])
-    by_layout = defaultdict(list)
-    for number, file, header, domain in probed:
-        by_layout[domain.name, header, file.name in broken].append((number, file))
-    groups = []
-    for (domain, header, multiline), files in sorted(by_layout.items()):
-        for start in range(0, len(files), FILES_PER_LOAD):
-            part = files[start : start + FILES_PER_LOAD]
-            groups.append(Group(DOMAINS[domain], header, multiline, part))
-    return groups
+    return [Group(DOMAINS[d], header, multiline, own) for (d, header, multiline), own in sorted(by_layout.items())]
 
 
-def ingest(store: TableStore, folder: str, now: dt.datetime | None = None) -> DataFrame:
-    """Load the folder's new files into Bronze; returns one summary row.
+def _load(store: TableStore, group: Group, batch_id: str, now: dt.datetime, failures: dict[str, str]) -> tuple[int, int]:
+    """(files, rows) entered. A group that fails is halved until the files at fault are alone."""
+    spark = store.spark
+    load_id = f"{batch_id}-{uuid.uuid4().hex[:8]}-{group.files[0].number}"
+    target = f"bronze/{group.domain.name}"
+    try:
+        rows = with_lineage(conform(read_raw(spark, group), group.domain), batch_id, now)
+        store.append(target, rows.withColumn("_load_id", F.lit(load_id)), ("_load_id",))
+        per_file = (
+            store.read(target, "_source_file string, _load_id string")
+            .where(F.col("_load_id") == load_id)
+            .groupBy("_source_file")
+            .count()
+        )
+        counts = {r["_source_file"]: r["count"] for r in per_file.collect()}
+        entries = [
+            (f.number, f.name, f.signature, group.domain.name, batch_id, now, load_id, counts.get(f.name, 0), f.next_id)
+            for f in group.files
+        ]
+        store.append(MANIFEST, spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1))
+        return len(entries), sum(counts.values())
+    except Exception as fault:  # the other files are independent
+        if len(group.files) == 1:
+            failures[group.files[0].name] = str(fault)
+            return 0, 0
+    half = len(group.files) // 2
+    parts = [Group(group.domain, group.header, group.multiline, f) for f in (group.files[:half], group.files[half:])]
+    done = [_load(store, part, batch_id, now, failures) for part in parts]
+    return done[0][0] + done[1][0], done[0][1] + done[1][1]
+
+
+def ingest_files(
+    store: TableStore, found: DataFrame, now: dt.datetime | None = None, batch_id: str | None = None
+) -> DataFrame:
+    """Load those of the files (name, path, size, signature) that the manifest lacks.
 
     A file is known by name, size and modification time. Each header group is written as
     its own load and then entered in the manifest, which is what makes its rows visible,
     so a load that fails half-way leaves nothing to clean up and its files are retried
-    by the next run. One failing file or group does not stop the rest.
+    by the next run. One failing file does not stop the rest. Returns one summary row.
     """
     spark = store.spark
-    batch_id = str(uuid.uuid4())
+    if packed_bytes(spark) > ROWS_BEFORE:
+        raise ValueError("spark.sql.files.maxPartitionBytes is beyond what row ids leave room for")
+    batch_id = batch_id or str(uuid.uuid4())
     now = now or dt.datetime.now(dt.timezone.utc)
-    found = list_files(spark, folder)
-    manifest = store.manifest().select(F.col("file_signature").alias("signature"), "manifest_id")
-    fresh = absent_from(found, manifest, ["signature"]).orderBy("path").collect()
-    n_found = found.count()
-    base = manifest.agg(F.max("manifest_id")).first()[0] or 0
-    files = [(base + i, SourceFile(*row)) for i, row in enumerate(fresh, start=1)]
-    failures: dict[str, str] = {
-        f.name: "file too large for a row id" for _, f in files if f.size >= 1 << POSITION_BITS
-    }
-    groups = _plan_groups(spark, [x for x in files if x[1].name not in failures], failures)
+    found = materialize(found.dropDuplicates(["path"]), "files")
+    manifest = store.manifest()
+    known = manifest.select(F.col("file_signature").alias("signature"))
+    fresh = materialize(absent_from(found, known, ["signature"]), "new-files")
+    n_found, n_fresh = found.count(), fresh.count()
+    number, first_id = manifest.agg(F.max("manifest_id"), F.max("next_id")).first()
+    failures: dict[str, str] = {}
     loaded_files = loaded_rows = 0
-    for group in groups:
-        load_id = f"{batch_id}-{group.files[0][0]}"
-        target = f"bronze/{group.domain.name}"
-        try:
-            rows = with_lineage(conform(read_raw(spark, group), group.domain), batch_id, now)
-            store.append(target, rows.withColumn("_load_id", F.lit(load_id)), ("_load_id",))
-            per_file = (
-                store.read(target, "_source_file string, _load_id string")
-                .where(F.col("_load_id") == load_id)
-                .groupBy("_source_file")
-                .count()
-            )
-            counts = {r["_source_file"]: r["count"] for r in per_file.collect()}
-            entries = [
-                (n, f.name, f.signature, group.domain.name, batch_id, now, load_id, counts.get(f.name, 0))
-                for n, f in group.files
-            ]
-            store.append(MANIFEST, spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1))
-        except Exception as fault:  # the next group is independent
-            failures |= {f.name: str(fault) for _, f in group.files}
-            continue
-        loaded_files += len(entries)
-        loaded_rows += sum(e[-1] for e in entries)
+    for files in _batches(fresh, number or 0, first_id or 0):
+        for group in _groups(spark, files, failures):
+            added = _load(store, group, batch_id, now, failures)
+            loaded_files, loaded_rows = loaded_files + added[0], loaded_rows + added[1]
     for name, fault in sorted(failures.items()):
         log.warning("not ingested: %s: %s", name, fault.splitlines()[0])
     return spark.createDataFrame(
-        [(n_found, loaded_files, n_found - len(files), len(failures), loaded_rows)],
+        [(n_found, loaded_files, n_found - n_fresh, len(failures), loaded_rows)],
         "files_found bigint, files_ingested bigint, files_skipped bigint, files_failed bigint, rows_ingested bigint",
     )
+
+
+def ingest(store: TableStore, folder: str, now: dt.datetime | None = None) -> DataFrame:
+    """Load the folder's new files into Bronze; returns one summary row."""
+    return ingest_files(store, list_files(store.spark, folder), now)

@@ -20,6 +20,8 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("ingested_at", T.TimestampType()),
         T.StructField("load_id", T.StringType()),
         T.StructField("rows", T.LongType()),
+        # The first row id that no file up to this one uses.
+        T.StructField("next_id", T.LongType()),
     ]
 )
 
@@ -50,10 +52,6 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def require(self, name: str) -> None:
-        if not self.exists(name):
-            raise LookupError(f"table {name} does not exist")
-
     def append(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
 
@@ -66,13 +64,13 @@ class TableStore:
         """(load_id) of the finished loads: those with a manifest entry."""
         return self.manifest().where(F.col("domain") == domain).select("load_id").distinct()
 
-    def read_bronze(self, domain: str, load_ids: list[str] | None = None) -> DataFrame:
-        """Rows of finished loads only; the filter on the load prunes partitions.
+    def read_bronze(self, domain: str, loads: DataFrame | None = None) -> DataFrame:
+        """Rows of finished loads only, or of those in `loads` (load_id).
 
-        Files that a failed load left behind have no manifest entry and stay invisible.
+        The join prunes the scan to the partitions of these loads at run time. Files that a
+        failed load left behind have no manifest entry and stay invisible.
         """
         schema = T.StructType([*DOMAINS[domain].bronze_schema, T.StructField("_load_id", T.StringType())])
-        if load_ids is None:
-            load_ids = [r["load_id"] for r in self.committed_loads(domain).collect()]
+        loads = self.committed_loads(domain) if loads is None else loads
         rows = self.read(f"bronze/{domain}", schema)
-        return rows.where(F.col("_load_id").isin(load_ids)).drop("_load_id")
+        return rows.join(loads.select(F.col("load_id").alias("_load_id")).distinct(), "_load_id", "left_semi").drop("_load_id")

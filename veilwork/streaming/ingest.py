@@ -6,79 +6,35 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from veilwork.plans.silver import process_domain
-from veilwork.schemas import DOMAINS
-from veilwork.sources.csv_drop import POSITION_BITS, conform, normalize_header, with_lineage
+from veilwork.sources.csv_drop import file_columns, ingest_files
 from veilwork.sources.tables import MANIFEST, MANIFEST_SCHEMA, TableStore
 
-MAX_FILES = 1000  # per micro-batch; bounds the file list handled on the driver
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def stream_bronze(
-    store: TableStore, folder: str, domain: str, checkpoint: str, header: list[str] | None = None
-) -> StreamingQuery:
-    """Ingest one domain's files as they arrive, all with the same header.
+def stream_bronze(store: TableStore, folder: str, checkpoint: str) -> StreamingQuery:
+    """Ingest the files of all domains as they arrive, as `ingest` does.
 
-    The stream's checkpoint remembers the files. Each micro-batch overwrites its own load
-    folder and enters it in the manifest once, so a repeated micro-batch changes nothing.
+    The stream finds new files; each micro-batch hands their names to the batch code, which
+    reads headers, routes to domains, reads quoted line breaks and leaves out what the
+    manifest has. So a repeated micro-batch, a new checkpoint or files that a batch run has
+    loaded add nothing twice, and any number of folders and checkpoints can feed one store.
     """
-    spec = DOMAINS[domain]
-    names = normalize_header(header or list(spec.source_columns))
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = (
-        store.spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("maxFilesPerTrigger", MAX_FILES)
+    files = (
+        store.spark.readStream.schema(BINARY_FILE)
+        .format("binaryFile")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .csv(folder)
-        .select(
-            "*",
-            F.col("_metadata.file_name").alias("_source_file"),
-            F.col("_metadata.file_size").alias("_size"),
-            F.col("_metadata.file_modification_time").alias("_modified"),
-            F.col("_metadata.file_block_start").alias("_start"),
-        )
+        .load(folder)
     )
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_id = f"stream-{domain}-{epoch}"
-        manifest = store.manifest()
-        if not manifest.where(F.col("load_id") == load_id).isEmpty():
-            return
-        base = manifest.agg(F.max("manifest_id")).first()[0] or 0
-        positioned = batch.withColumn("_position", F.col("_start") + in_task)
-        files = positioned.groupBy("_source_file", "_size", "_modified").count().orderBy("_source_file").collect()
-        if not files:
-            return
-        spark = batch.sparkSession
-        numbers = spark.createDataFrame(
-            [(f["_source_file"], base + i) for i, f in enumerate(files, 1)], "_name string, _number bigint"
-        )
-        keyed = positioned.join(F.broadcast(numbers), F.col("_source_file") == F.col("_name"))
-        cells = [F.coalesce(f"_c{i}", F.lit("")).alias(n) for i, n in enumerate(names)]
-        row_id = F.shiftleft("_number", POSITION_BITS) + F.col("_position")
-        now = dt.datetime.now(dt.timezone.utc)
-        out = with_lineage(
-            conform(keyed.select(row_id.alias("_bronze_id"), *cells, "_source_file"), spec), load_id, now
-        )
-        out.write.mode("overwrite").parquet(store.path(f"bronze/{domain}/_load_id={load_id}"))
-        entries = [
-            (
-                base + i, f["_source_file"],
-                f"{f['_source_file']}|{f['_size']}|{int(f['_modified'].timestamp() * 1_000_000)}",
-                domain, load_id, now, load_id, f["count"],
-            )
-            for i, f in enumerate(files, 1)
-        ]
-        store.append(MANIFEST, spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1))
+        ingest_files(store, batch)
 
     return (
-        rows.writeStream.foreachBatch(load)
+        file_columns(files).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
