@@ -147,13 +147,12 @@ def _offers(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and name -> (key, name, centre) of keys with two names or more.
+    """Rows sorted by key and name -> distinct (key, name) of keys with two names or more.
 
-    The centre is the key's smallest name. Rows stream by; of a key, only the last row and
-    the centre are held.
+    Rows stream by, and only the last one is held.
     """
-    held: tuple[int, int, int] | None = None  # key, name, centre of the last row
-    waiting = False  # whether that row, the first of its key, has not been sent
+    held: tuple[int, int] | None = None
+    met = False  # whether the held row shares its key with the one before
     for batch in batches:
         key, name = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if held is not None:
@@ -162,23 +161,14 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
         key, name = key[new], name[new]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        start = np.flatnonzero(first)
-        centre = np.repeat(name[start], np.diff(np.append(start, len(key))))
-        if held is not None:
-            centre[: start[1] if len(start) > 1 else len(key)] = held[2]
-        more = np.append(~first[1:], False)
-        send = ~first | more
-        if held is not None:
-            send[0] = waiting and bool(more[0])
+        same = key[1:] == key[:-1]
+        send = np.concatenate([[met], same])[:-1] | same
         if send.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[send]), pa.array(name[send]), pa.array(centre[send])], ["key", "name", "centre"]
-            )
-        last = len(key) - 1
-        if last > 0 or held is None:
-            waiting = bool(first[last])
-        held = (int(key[last]), int(name[last]), int(centre[last]))
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][send]), pa.array(name[:-1][send])], ["key", "name"])
+        met = bool(same[-1]) if len(same) else met
+        held = (int(key[-1]), int(name[-1]))
+    if held is not None and met:
+        yield pa.RecordBatch.from_pydict({"key": [held[0]], "name": [held[1]]})
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -241,8 +231,8 @@ def similar_components(
     null id has its component's smallest id, if there is one. Repeated rows are in one
     component; no rows give no rows.
 
-    Equal sets are one node. Of the sets that share a piece, all are first compared with the
-    smallest; this joins the bulk of a large group in linear work. Then, where a piece still
+    Equal sets are one node. Of the sets that share a piece, all are first compared with one
+    of them; this joins the bulk of a large group in linear work. Then, where a piece still
     has sets of several components, those outside its largest component are compared with
     all that are not in theirs yet. So each link between components is found, and no group
     is turned into all its pairs. 64-bit fingerprints stand for sets and shingles.
@@ -272,16 +262,18 @@ def one_of_each(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"]
     kept = placed.groupBy("component").agg(first.alias("kept")).hint("rebalance")
     gone = placed.join(kept, "component").where(F.col("row") != F.col("kept")).select(F.col("row").alias("_gone"))
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    stay = keyed.join(gone.distinct(), F.col("_row") == F.col("_gone"), "left_anti")
+    # The columns travel as one, so that their names cannot clash with those used here.
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row.alias("row"))
+    stay = keyed.join(gone.distinct(), F.col("row") == F.col("_gone"), "left_anti")
     again = placed.groupBy("row").count().where("count > 1").select(F.col("row").alias("_again"))
     again = materialize(again, "repeated")
     if not again.isEmpty():
         # Equal in id and text, such rows are one node: one of them stays.
-        repeated = F.col("_row") == F.col("_again")
-        once = stay.join(again, repeated, "left_semi").dropDuplicates(["_row"])
+        repeated = F.col("row") == F.col("_again")
+        once = stay.join(again, repeated, "left_semi").dropDuplicates(["row"])
         stay = stay.join(again, repeated, "left_anti").unionByName(once)
-    return stay.select(*docs.columns)
+    return stay.select("doc.*")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -298,9 +290,9 @@ def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
         "nodes",
     )
     offers = _offers(rows, words, percent).repartition("key").sortWithinPartitions("key", "name")
-    met = materialize(offers.mapInArrow(_meetings, "key long, name long, centre long"), "meetings")
+    met = materialize(offers.mapInArrow(_meetings, "key long, name long"), "meetings")
 
-    stars = met.where("name <> centre").select(F.col("centre").alias("a"), F.col("name").alias("b")).distinct()
+    stars = materialize(_stars(met), "stars")
     likely = _sifted(stars, reps, percent)
     links = _verified(rows, likely, reps, words, percent)
     links = materialize(links, "links")
@@ -315,6 +307,20 @@ def _placed(rows: DataFrame, words: int, percent: int) -> DataFrame:
     return placed.withColumn("component", F.coalesce("component", "name")).drop("sketch")
 
 
+def _stars(met: DataFrame) -> DataFrame:
+    """Each set with the centre of every piece it shares: distinct (a, b), a < b.
+
+    The centre is the set whose pieces are shared most in all. In a group of edited copies
+    that is one with few edits, which links with more of the group than others do.
+    """
+    sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("size")).hint("rebalance")
+    shared = met.join(sizes, "key").groupBy("name").agg(F.sum("size").alias("shared"))
+    ranked = met.join(shared, "name")
+    centres = ranked.groupBy("key").agg(F.max_by("name", "shared").alias("centre")).hint("rebalance")
+    pairs = met.join(centres, "key").where("name <> centre")
+    return pairs.select(F.least("name", "centre").alias("a"), F.greatest("name", "centre").alias("b")).distinct()
+
+
 def _sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The (a, b) that sizes and sketches allow to link."""
     facts = F.struct("n", "sketch")
