@@ -33,6 +33,16 @@ class Tree:
     leaf: list[int]
     leaves: int = 0
     rows: dict[int, int] = field(default_factory=dict)  # rows of the whole index by leaf
+    pack: dict[int, tuple[int, int]] = field(default_factory=dict)  # (pack, its blocks) by leaf
+
+    def pack_leaves(self, rows: dict[int, int], block_rows: int) -> None:
+        """Neighbouring small leaves share a pack; a leaf of many rows is a pack of several blocks."""
+        self.rows, number, held = rows, 0, 0
+        for leaf in sorted(rows):
+            if held and held + rows[leaf] > block_rows:
+                number, held = number + 1, 0
+            held += rows[leaf]
+            self.pack[leaf] = (number, max(1, math.ceil(rows[leaf] / block_rows)))
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row, by the nearest child at each level."""
@@ -169,8 +179,8 @@ def search(
     The tree is fitted on the `sample_rows` rows with the smallest hashed ids, at most, and
     is no larger than they are. Every row is put in a leaf. A query visits leaves best bin
     first: as many as let sample queries find the part `recall` of their nearest rows, and
-    on until k other rows have been seen. Leaves are searched in blocks, so a leaf that
-    holds a third of all rows (one vector, many times) is many tasks.
+    on until k other rows have been seen. Neighbouring leaves are searched together, up to
+    4096 rows, and a leaf that holds a third of all rows (one vector, many times) in blocks.
 
     Null, empty, zero or non-finite vectors take no part, nor do rows with a null id or of
     another length than most rows have (the smaller on ties). Rows with the same id count
@@ -208,45 +218,45 @@ def search(
     index = materialize(rows.mapInArrow(place, f"vec_id long, v {kind}, leaf int"), "index")
     # One row per leaf: at most sample_rows / SAMPLE_LEAF.
     sizes = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
-    tree.rows = {r["leaf"]: r["size"] for r in sizes.collect()}
+    tree.pack_leaves({r["leaf"]: r["size"] for r in sizes.collect()}, BLOCK_ROWS)
     full = vectors.sparkSession.sparkContext.broadcast(tree)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = full.value
         for batch in batches:
             queries = matrix(batch.column(1), width) if len(batch) else np.zeros((0, width))
-            leaves, owner = [], []
+            owner, places = [], []
             for i, q in enumerate(queries):
                 seen = 0
-                for n, one in enumerate(full.value.order(np.append(q, 0.0))):
+                wanted: dict[tuple[int, int], list[int]] = {}
+                for n, leaf in enumerate(tree.order(np.append(q, 0.0))):
                     if n >= visits and seen > k:
                         break
-                    seen += full.value.rows.get(one, 0)
-                    leaves.append(one)
-                    owner.append(i)
+                    seen += tree.rows.get(leaf, 0)
+                    if leaf in tree.pack:
+                        wanted.setdefault(tree.pack[leaf], []).append(leaf)
+                places += [(pack, block, leaves) for (pack, blocks), leaves in wanted.items() for block in range(blocks)]
+                owner += [i] * (len(places) - len(owner))
             at = pa.array(owner, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(leaves, pa.int32())],
-                ["query_id", "q", "leaf"],
-            )
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array([p[0] for p in places], pa.int32()),
+                 pa.array([p[1] for p in places], pa.int32()), pa.array([p[2] for p in places], pa.list_(pa.int32()))],
+                ["query_id", "q", "pack", "block", "leaves"],
+            )
 
     queries = index.where(is_query).select("vec_id", "v")
     chunks = max(1, math.ceil(queries.count() / CHUNK_QUERIES))
-    asked_leaves = queries.mapInArrow(visit, f"query_id long, q {kind}, leaf int")
-    blocks = F.broadcast(
-        vectors.sparkSession.createDataFrame(
-            [(n, math.ceil(size / BLOCK_ROWS)) for n, size in tree.rows.items()], "leaf int, blocks int"
-        )
-    )
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    stored = index.join(blocks, "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), "vec_id", "v", each(F.lit(chunks)).alias("chunk")
+    asked = queries.mapInArrow(visit, f"query_id long, q {kind}, pack int, block int, leaves array<int>")
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
+    packs = vectors.sparkSession.createDataFrame(
+        [(leaf, pack, blocks) for leaf, (pack, blocks) in tree.pack.items()], "leaf int, pack int, blocks int"
     )
-    wanted = asked_leaves.join(blocks, "leaf").select(
-        "leaf", each(F.col("blocks")).alias("block"), "query_id", "q",
-        F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"),
+    stored = index.join(F.broadcast(packs), "leaf").select(
+        "leaf", "pack", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), "vec_id", "v",
+        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
-    key = ["leaf", "block", "chunk"]
-    found = stored.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(
+    key = ["pack", "block", "chunk"]
+    found = stored.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
         lambda s, w: _best(s, w, k, width), "query_id long, vec_id long, score double"
     )
     order = W.Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -255,26 +265,38 @@ def search(
 
 
 def _best(stored: pa.Table, wanted: pa.Table, k: int, width: int) -> pa.Table:
-    """The k best rows of one block for each of its queries."""
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """The k best rows, of the leaves it visits in one block, for each query."""
+    empty = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+    out = [empty]
     if len(stored) and len(wanted):
         ids = stored.column("vec_id").to_numpy()
         order = np.argsort(ids)
-        ids = ids[order]
+        ids, leaf = ids[order], stored.column("leaf").to_numpy()[order]
         x = matrix(stored.column("v").combine_chunks(), width)[order]
         asked = wanted.column("query_id").to_numpy()
         q = matrix(wanted.column("q").combine_chunks(), width)
-        for a in range(0, len(q), 256):
-            own = asked[a : a + 256]
-            # The same sum of products in the same order for every row, so that equal rows tie.
-            score = np.einsum("qd,xd->qx", q[a : a + 256], x, optimize=False)
-            score[own[:, None] == ids[None, :]] = -np.inf
-            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            value = np.take_along_axis(score, top, axis=1)
-            real = value > -np.inf
-            out.append((np.broadcast_to(own[:, None], top.shape)[real], ids[top][real], value[real]))
-    merged = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+        lists = wanted.column("leaves").combine_chunks()
+        visitor = np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
+        visited = lists.flatten().to_numpy()
+        for one in np.unique(leaf).tolist():
+            rows, who = np.flatnonzero(leaf == one), visitor[visited == one]
+            for a in range(0, len(who), 256):
+                own = who[a : a + 256]
+                # The same sum of products in the same order for every row, so that equal rows tie.
+                score = np.einsum("qd,xd->qx", q[own], x[rows], optimize=False)
+                score[asked[own][:, None] == ids[rows][None, :]] = -np.inf
+                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                value = np.take_along_axis(score, top, axis=1)
+                real = value > -np.inf
+                out.append((np.broadcast_to(own[:, None], top.shape)[real], ids[rows][top][real], value[real]))
+    who, near, value = (np.concatenate(c) for c in zip(*out, strict=True))
+    # The k best of all leaves of the block.
+    order = np.lexsort((near, -value, who))
+    who, near, value = who[order], near[order], value[order]
+    start = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])) if len(who) else who
+    keep = np.arange(len(who)) - np.repeat(start, np.diff(np.append(start, len(who)))) < k
+    ids = asked[who[keep]] if len(who) else who
     return pa.table(
-        [pa.array(merged[0], pa.int64()), pa.array(merged[1], pa.int64()), pa.array(merged[2], pa.float64())],
+        [pa.array(ids, pa.int64()), pa.array(near[keep], pa.int64()), pa.array(value[keep], pa.float64())],
         names=["query_id", "vec_id", "score"],
     )
