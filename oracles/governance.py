@@ -4,7 +4,6 @@ from oracles import exprs as X
 from oracles.exprs import clean_ctes
 from oracles.profiling import counts, features, samples
 from oracles.warehouse import star_ctes
-from veilwork.functions.masks import TECHNIQUES
 from veilwork.queries.views import AUDIT
 from veilwork.schemas import DOMAINS, SENSITIVITY_POLICY
 
@@ -72,7 +71,10 @@ _by_format = """CASE WHEN email_match_ratio >= 0.6 THEN 'EMAIL' WHEN phone_match
   WHEN bank_account_match_ratio >= 0.6 THEN 'BANK_ACCOUNT_NUMBER' WHEN credit_card_match_ratio >= 0.6 THEN 'FINANCIAL_INFORMATION' END"""
 _share = "greatest(email_match_ratio, phone_match_ratio, bank_account_match_ratio, credit_card_match_ratio)"
 _level = " ".join(f"WHEN '{t}' THEN '{level}'" for t, level in SENSITIVITY_POLICY.items())
-_technique = " ".join(f"WHEN '{t}' THEN '{TECHNIQUES[t]}'" for t in ("EMAIL", "PHONE", "PERSON_NAME", "DATE_OF_BIRTH"))
+_technique = """WHEN 'EMAIL' THEN 'PARTIAL_EMAIL' WHEN 'PHONE' THEN 'KEEP_LAST_4' WHEN 'BANK_ACCOUNT_NUMBER' THEN 'KEEP_LAST_4'
+  WHEN 'PERSON_NAME' THEN 'INITIAL' WHEN 'DATE_OF_BIRTH' THEN 'YEAR_ONLY' WHEN 'MEDICAL_RECORD_NUMBER' THEN 'KEYED_HASH'
+  WHEN 'DIRECT_IDENTIFIER' THEN 'KEYED_HASH' WHEN 'ADDRESS' THEN 'REDACT' WHEN 'LOCATION' THEN 'REDACT'
+  WHEN 'HEALTH_INFORMATION' THEN 'REDACT' WHEN 'DEMOGRAPHIC_INFORMATION' THEN 'REDACT' WHEN 'FINANCIAL_INFORMATION' THEN 'REDACT'"""
 
 SCAN = f"""
 WITH {_STARS},
@@ -92,7 +94,7 @@ outcome AS MATERIALIZED (SELECT *, pii_type <> 'NON_PII' AS pii_detected,
   CASE WHEN pii_type <> 'NON_PII' THEN non_null_records ELSE 0 END AS pii_records_detected,
   CASE pii_type {_level} END AS sensitivity_level,
   upper(substr(schema_name, 6, 1)) || substr(schema_name, 7) AS domain,
-  CASE WHEN pii_type IN ('EMAIL', 'PHONE', 'PERSON_NAME', 'DATE_OF_BIRTH') THEN 'MASKED' ELSE 'NOT_MASKED' END AS masking_status,
+  CASE WHEN pii_type <> 'NON_PII' THEN 'MASKED' ELSE 'NOT_MASKED' END AS masking_status,
   CASE pii_type {_technique} END AS masking_technique FROM scan)
 """
 
@@ -192,6 +194,12 @@ ORACLES = {
     "redact_record_numbers": """SELECT doc_id, 'seen [MEDICAL_RECORD] and ' ||
         CASE WHEN length('1234' || doc_id || 'x') BETWEEN 5 AND 20 THEN '[MEDICAL_RECORD]' ELSE 'mrn-1234' || doc_id || 'x' END
         || ' Mrn 77 ok' AS clean FROM documents""",
+    "catalog_role_view": f"""WITH {star_ctes('banking')} SELECT {pseudonym('customer_id')} AS customer_id,
+        {initial('first_name')} AS first_name, {initial('last_name')} AS last_name, {email_of('email')} AS email,
+        {tail('phone')} AS phone, CAST(year(date_of_birth) AS VARCHAR) AS date_of_birth FROM banking_dim_customer""",
+    "access_audit": f"""WITH {star_ctes('banking')}, n AS (SELECT count(*) AS customers FROM banking_dim_customer)
+        SELECT user_id, role, 'star_banking.dim_customer' AS resource, 'READ' AS action, result, customers
+        FROM n, (VALUES ('1', 'Administrator', 'GRANTED'), ('2', 'Analyst', 'GRANTED'), ('3', 'Visitor', 'DENIED')) v(user_id, role, result)""",
     "secure_view_analyst": f"""{_clean} SELECT _bronze_id, {pseudonym('customer_id')} AS customer_id,
         {initial('first_name')} AS first_name, {initial('last_name')} AS last_name, {_email} AS email,
         {tail('phone')} AS phone, CAST(year(date_of_birth) AS VARCHAR) AS date_of_birth,

@@ -58,12 +58,12 @@ ORACLES["fact_second_load"] = f"""
       SELECT address, city, state FROM new EXCEPT SELECT address, city, state FROM old)
     UNION ALL SELECT 'fact_account', count(*) FROM new"""
 
-_marketing = DOMAINS["marketing"]
 _counted = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM marketing_{t}"
-    for t in [d.name for d in _marketing.dims] + [_marketing.fact.name]
+    f"SELECT '{n}' AS domain, '{t}' AS table_name, count(*) AS row_count FROM {n}_{t}"
+    for n, spec in DOMAINS.items()
+    for t in [d.name for d in spec.dims] + [spec.fact.name]
 )
-ORACLES["star_row_counts"] = f"WITH {star_ctes('marketing')} {_counted}"
+ORACLES["star_row_counts"] = f"WITH {', '.join(star_ctes(n) for n in DOMAINS)} {_counted}"
 
 ORACLES |= {
     "surrogate_keys": f"""

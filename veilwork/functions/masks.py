@@ -73,3 +73,6 @@ TECHNIQUES = {
     "DEMOGRAPHIC_INFORMATION": "REDACT",
     "FINANCIAL_INFORMATION": "REDACT",
 }
+
+# The types whose columns readers see masked: the one policy of views and catalog.
+MASKED_TYPES = tuple(TECHNIQUES)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilwork.functions.masks import mask_for
 from veilwork.functions.patterns import ratio
+from veilwork.sources.tables import TableStore
 
 ADMINISTRATOR = "Administrator"
 ANALYST = "Analyst"
@@ -37,6 +40,35 @@ def secure_view(df: DataFrame, pii_types: dict[str, str], role: str, secret: Col
     )
 
 
+def catalog_types(catalog: DataFrame, schema: str, table: str) -> dict[str, str]:
+    """Column -> PII type of one table, as the latest scan has it. One row per column."""
+    own = catalog.where((F.col("schema_name") == schema) & (F.col("table_name") == table))
+    return {r["column_name"]: r["pii_type"] for r in own.select("column_name", "pii_type").collect()}
+
+
+AUDIT_LOG = "audit/access_log"
+AUDIT_SCHEMA = "ts timestamp, user_id string, role string, resource string, action string, result string"
+
+
+def audited_view(
+    store: TableStore, catalog: DataFrame, df: DataFrame, schema: str, table: str,
+    user_id: str, role: str, secret: Column | str, now: dt.datetime,
+) -> DataFrame:
+    """The table as the catalog and the role allow; every attempt leaves a row in the audit log."""
+
+    def note(result: str) -> None:
+        row = [(now, user_id, role, f"{schema}.{table}", "READ", result)]
+        store.append(AUDIT_LOG, store.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1))
+
+    try:
+        view = secure_view(df, catalog_types(catalog, schema, table), role, secret)
+    except AccessDenied:
+        note("DENIED")
+        raise
+    note("GRANTED")
+    return view
+
+
 # Personal data inside running text.
 TEXT_PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",

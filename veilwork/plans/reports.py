@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilwork.functions.masks import TECHNIQUES
+from veilwork.functions.masks import MASKED_TYPES, TECHNIQUES
 from veilwork.functions.patterns import domain_of_schema, ratio
 
 
@@ -35,9 +37,12 @@ def pii_catalog(fact: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def apply_masking_policy(catalog: DataFrame, enabled_types: list[str]) -> DataFrame:
-    """Mark the columns of the given types as masked, with the technique used."""
-    on = F.col("pii_type").isin(enabled_types)
+def apply_masking_policy(catalog: DataFrame, enabled_types: Iterable[str] = MASKED_TYPES) -> DataFrame:
+    """Mark the columns of the given types as masked, with the technique used.
+
+    The default is what the role views mask.
+    """
+    on = F.col("pii_type").isin(*enabled_types)
     names = F.create_map(*[F.lit(x) for pair in TECHNIQUES.items() for x in pair])
     return catalog.withColumn(
         "masking_status", F.when(on, "MASKED").otherwise(F.col("masking_status"))
@@ -49,7 +54,6 @@ def apply_masking_policy(catalog: DataFrame, enabled_types: list[str]) -> DataFr
 def pii_inventory(catalog: DataFrame) -> DataFrame:
     """PII columns in total, by domain, by table, by column and by type, in one aggregate."""
     found = catalog.where("pii_detected")
-    found.createOrReplaceTempView("_pii_found")
     return found.sparkSession.sql(
         """
         SELECT CASE WHEN grouping(pii_type) = 0 THEN 'type'
@@ -60,10 +64,11 @@ def pii_inventory(catalog: DataFrame) -> DataFrame:
                domain, table_name, column_name, pii_type,
                count(*) AS pii_columns,
                sum(pii_records_detected) AS pii_records
-        FROM _pii_found
+        FROM {found}
         GROUP BY GROUPING SETS ((), (domain), (domain, table_name),
                                 (domain, table_name, column_name), (pii_type))
-        """
+        """,
+        found=found,
     )
 
 

@@ -32,6 +32,7 @@ from veilwork.functions.patterns import (
 from veilwork.operators.evaluate import compare_models, with_class_weights
 from veilwork.operators.ranks import stratified_split
 from veilwork.operators.keys import stable_hash
+from veilwork.session import materialize
 from veilwork.schemas import PII_TYPES
 
 EMBEDDING_SIZE = 384
@@ -132,7 +133,7 @@ def fit(
         n, classes = weighted.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
         size = EMBEDDING_SIZE + {"text": 2, "text+patterns": 20, "hybrid": EXTRA_SIZE}[approach]
         index = StringIndexer(
-            inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="keep"
+            inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="error"
         )
         stages = [index, *feature_stages(approach, embedding), classifier(kind, n, size, classes, max_iter)]
         return Pipeline(stages=stages).fit(weighted)
@@ -147,8 +148,8 @@ def labels_of(model: PipelineModel) -> list[str]:
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add `predicted`, `probability_of_label` and `confidence` (the highest probability)."""
     names = F.array(*[F.lit(x) for x in labels_of(model)])
-    rows = rows if "label" in rows.columns else rows.withColumn("label", F.lit(None).cast("string"))
-    scored = model.transform(rows)
+    # The label index is for fitting only; rows to predict may have no label, or a new one.
+    scored = PipelineModel(stages=model.stages[1:]).transform(rows)
     chances = vector_to_array("probability")
     position = F.col("prediction").cast("int") + 1
     return scored.select(
@@ -163,7 +164,7 @@ def as_scan(model: PipelineModel):
     """A `classify` function for the Gold scan."""
 
     def classify(features: DataFrame) -> DataFrame:
-        scored = predict(model, with_features(features)).drop("label")
+        scored = predict(model, with_features(features))
         return scored.select(
             *features.columns,
             F.col("predicted").alias("pii_type"),
@@ -194,7 +195,7 @@ def compare(rows: DataFrame, kinds: tuple[str, ...] = (LOGISTIC,), max_iter: int
 
     The neural network is compared on the full feature vector only.
     """
-    marked = split(rows).cache()
+    marked = materialize(split(rows), "split")
     train, test = marked.where("NOT is_test"), marked.where("is_test")
     jobs = []
     if LOGISTIC in kinds:

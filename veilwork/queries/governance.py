@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,7 +17,8 @@ from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
 from veilwork.queries.warehouse import BUCKETS, silver_rows
 from veilwork.schemas import DOMAINS, star_constraints
-from veilwork.session import materialize
+from veilwork.session import materialize, scratch_path
+from veilwork.sources.tables import TableStore
 
 AT = dt.datetime(2026, 1, 1, 12, 0, 0)
 
@@ -124,8 +126,7 @@ def _(spark, folder):
 
 def catalog(spark, folder):
     fact, dims = _scans(spark, folder)
-    rows = reports.pii_catalog(gold.latest_scan(fact), dims)
-    return reports.apply_masking_policy(rows, ["EMAIL", "PHONE", "PERSON_NAME", "DATE_OF_BIRTH"])
+    return reports.apply_masking_policy(reports.pii_catalog(gold.latest_scan(fact), dims))
 
 
 @query("pii_catalog")
@@ -248,6 +249,39 @@ def _(spark, folder):
     return access.secure_view(_banking(spark, folder), BANKING_TYPES, access.ADMINISTRATOR, "k1")
 
 
+def _audited(spark, folder):
+    """A store, the catalog of all domains and the customers of the bank."""
+    tables = warehouse(spark, folder)
+    dims = gold.catalog_additions(gold.catalog_columns(spark, tables), {})
+    scan = gold.resolve_keys(materialize(rule_scan(spark, tables), "scan"), dims)
+    rows = reports.pii_catalog(gold.latest_scan(gold.scan_fact(scan, AT, "rules-1", "scan-1")), dims)
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    return store, materialize(rows, "catalog"), tables["star_banking", "dim_customer"]
+
+
+@query("catalog_role_view")
+def _(spark, folder):
+    """Customers as an analyst sees them, masked by what the latest scan has found."""
+    store, found, customers = _audited(spark, folder)
+    return access.audited_view(
+        store, found, customers, "star_banking", "dim_customer", "7", access.ANALYST, "k1", AT
+    ).drop("customer_key")
+
+
+@query("access_audit")
+def _(spark, folder):
+    """The audit log after two reads and a refusal."""
+    store, found, customers = _audited(spark, folder)
+    for user, role in (("1", access.ADMINISTRATOR), ("2", access.ANALYST), ("3", "Visitor")):
+        with contextlib.suppress(access.AccessDenied):
+            access.audited_view(store, found, customers, "star_banking", "dim_customer", user, role, "k1", AT)
+    log = store.read(access.AUDIT_LOG, access.AUDIT_SCHEMA)
+    readable = customers.agg(F.count_if(F.col("customer_id").isNotNull()).alias("customers"))
+    return log.select("user_id", "role", "resource", "action", "result", F.lit(1).alias("one")).join(
+        readable.withColumn("one", F.lit(1)), "one"
+    ).drop("one")
+
+
 # ---- free text ------------------------------------------------------------------------
 
 

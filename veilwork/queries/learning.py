@@ -94,11 +94,16 @@ MEDICAL_TYPES = {
     "medical_record_number": "MEDICAL_RECORD_NUMBER", "doctor_name": "PERSON_NAME", "day_name": "NON_PII",
     "month_name": "NON_PII", "full_date": "NON_PII", "year": "NON_PII", "admission_count": "NON_PII",
 }
+OTHER_TYPES = {
+    "student_id": "DIRECT_IDENTIFIER", "course": "NON_PII", "department": "NON_PII", "percentage": "NON_PII",
+    "age": "DEMOGRAPHIC_INFORMATION", "gender": "DEMOGRAPHIC_INFORMATION", "campaign_name": "NON_PII", "channel": "NON_PII",
+}
 KEY_TYPES = {
     k: "NON_PII"
     for k in (
         "customer_key", "account_key", "location_key", "patient_key", "doctor_key", "diagnosis_key",
-        "admission_date_key", "date_key",
+        "admission_date_key", "date_key", "student_key", "course_key", "department_key", "enrollment_date_key",
+        "campaign_key", "channel_key", "campaign_date_key",
     )
 }
 
@@ -106,7 +111,7 @@ KEY_TYPES = {
 def training_rows(spark, folder, groups=12):
     """Labelled columns sampled from the star tables; the labels are set by hand, per column."""
     tables = warehouse(spark, folder)
-    types = BANKING_TYPES | MEDICAL_TYPES | KEY_TYPES
+    types = BANKING_TYPES | MEDICAL_TYPES | OTHER_TYPES | KEY_TYPES
     labels = {(t, c): types[c] for (_, t), df in tables.items() for c in df.columns if c in types}
     inventory = gold.column_inventory(
         gold.catalog_columns(spark, tables), gold.constraint_rows(spark, star_constraints())
@@ -148,21 +153,21 @@ def _(spark, folder):
 def _(spark, folder):
     """Text only, with patterns, and the full feature set, on one split."""
     rows = train.with_features(training_rows(spark, folder)[1])
-    return train.compare(rows, max_iter=40).metrics
+    return train.compare(rows).metrics
 
 
 @query("neural_comparison")
 def _(spark, folder):
     """The neural network on the full feature set."""
     rows = train.with_features(training_rows(spark, folder, 6)[1])
-    return train.compare(rows, (train.NEURAL,), max_iter=12).metrics
+    return train.compare(rows, (train.NEURAL,)).metrics
 
 
 @query("model_scan")
 def _(spark, folder):
     """Every warehouse column classified by a model fitted on all training rows, with rules."""
     tables, rows = training_rows(spark, folder)
-    model = train.fit(train.with_features(rows), max_iter=60)
+    model = train.fit(train.with_features(rows))
     features = materialize(features_of(spark, tables), "features")
     by_model = train.as_scan(model)(features)
     combined = gold.scan_outcome(combine(classify_by_rules(features), by_model))
