@@ -56,6 +56,21 @@ def test_no_passage_within_the_budget_is_missed(seed):
     assert hits > 10
 
 
+def test_many_texts_times_many_passages():
+    """Text number times passages beyond 2^31, without an index of that size."""
+    draw = random.Random(12)
+    item = sentence(draw, 12)
+    known = decontam.Passages([(5, item)], decontam.EDITS)
+    many = 300_000  # the item's passage is the last of so many
+    known.text = [known.text[0]] * many
+    known.size, known.budget, known.bound = (np.full(many, x[0]) for x in (known.size, known.budget, known.bound))
+    known.passage = np.full(len(known.passage), many - 1)
+    texts = ["x"] * 8000 + [item]
+    form = decontam.normal(pa.array(texts))
+    text, passage, bins = decontam.candidates(form, known, known.filter())
+    assert set(text.tolist()) == {8000} and set(passage.tolist()) == {many - 1} and (bins >= 0).all()
+
+
 def test_banded_alignment_is_the_plain_distance_within_the_band():
     draw = random.Random(9)
     for _ in range(30):

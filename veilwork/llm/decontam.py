@@ -118,14 +118,17 @@ def candidates(form: Texts, known: Passages, table: np.ndarray) -> tuple[np.ndar
     passage, owner = known.passage[entry], np.repeat(text, times)
     diagonal = np.repeat(at - form.starts[text], times) - known.place[entry] + known.size[passage]
     bins = diagonal // (known.budget[passage] + 1)
-    key = ((owner * len(known.text) + passage) << 32) + bins
-    key, count = np.unique(key, return_counts=True)
-    follows = np.append((key[1:] == key[:-1] + 1) & ((key[1:] & 0xFFFFFFFF) > 0), False)
-    both = count + np.where(follows, np.append(count[1:], 0), 0)
-    pair = key >> 32
-    good = both >= known.bound[pair % max(1, len(known.text))]
-    pair, bins = pair[good], (key & 0xFFFFFFFF)[good]
-    return pair // len(known.text), pair % len(known.text), bins
+    # Columns of their own: text, passage and bin do not fit one 64-bit key at any size.
+    order = np.lexsort((bins, passage, owner))
+    owner, passage, bins = owner[order], passage[order], bins[order]
+    new = (owner[1:] != owner[:-1]) | (passage[1:] != passage[:-1])
+    first = np.flatnonzero(np.concatenate([[True], new | (bins[1:] != bins[:-1])])[: len(bins)])
+    count = np.diff(np.append(first, len(bins)))
+    owner, passage, bins = owner[first], passage[first], bins[first]
+    follows = np.append((owner[1:] == owner[:-1]) & (passage[1:] == passage[:-1]) & (bins[1:] == bins[:-1] + 1), False)
+    both = count + np.where(follows[: len(count)], np.append(count[1:], 0)[: len(count)], 0)
+    good = both >= known.bound[passage]
+    return owner[good], passage[good], bins[good]
 
 
 def align(passage: np.ndarray, regions: np.ndarray, width: int) -> np.ndarray:
