@@ -53,6 +53,26 @@ def test_notices_are_found_anywhere(spark):
     assert got[1]["dice"] == 1.0 and got[7]["dice"] < 1.0
 
 
+def test_near_licences_are_told_apart():
+    import pyarrow as pa
+
+    gnu = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    cc = "This work is licensed under a Creative Commons {} License."
+    texts = [
+        (gnu.format("General Public License", 2), "GPL-2.0"), (gnu.format("General Public License", 3), "GPL-3.0"),
+        (gnu.format("Lesser General Public License", "2.1"), "LGPL-2.1"),
+        (gnu.format("Lesser General Public License", 3), "LGPL-3.0"),
+        (gnu.format("Affero General Public License", 3), "AGPL-3.0"),
+        (NOTICE.replace("3", "2"), "GPL-2.0"), (NOTICE.replace("3", "7"), None), (NOTICE, "GPL-3.0"),
+        (cc.format("Attribution 3.0 Unported"), "CC-BY-3.0"), (cc.format("Attribution 4.0 International"), "CC-BY-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        ("GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989", "GPL-2.0"),
+    ]
+    known = [licenses.Template(n, t, 0.8) for n, t in licenses.TEMPLATES]
+    found = licenses.scan_texts(pa.array([f"some words {t} more words" for t, _ in texts]), known, 0.8)
+    assert [max(f, key=lambda x: x["dice"])["license"] if f else None for f in found] == [n for _, n in texts]
+
+
 def test_every_template_finds_itself(spark):
     texts = [(i, t, n) for i, (n, t) in enumerate(licenses.TEMPLATES)]
     for r in licenses.scan_licenses(docs_frame(spark, texts)).collect():
