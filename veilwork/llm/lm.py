@@ -1,4 +1,7 @@
-"""Score texts with an n-gram model run as a weighted backoff automaton.
+"""Score texts with an interpolated n-gram model: the scores of a weighted backoff automaton.
+
+The automaton is the model's definition; it is not built. `walk` interpolates the counts of
+all positions at once, order by order, which gives the weight of the same path.
 
 States are the n-grams seen in training. A state has an arc for every word seen after it,
 and a failure arc to its longest proper suffix. The model interpolates: an arc weighs
@@ -9,8 +12,8 @@ weights out of a state sum to 1.
 
 Counts cover the whole corpus and never meet in one place. Texts are packed into blocks; a
 block sends its distinct n-gram hashes with their counts to hash buckets, buckets add them
-up and send the sums back to the blocks, and a block then has the part of the automaton
-that its texts walk through.
+up and send the sums back to the blocks, and a block then has the counts of all n-grams
+of its texts.
 """
 
 from __future__ import annotations
@@ -188,7 +191,7 @@ class Model:
 
 
 def walk(block: Block, counts: dict[int, np.ndarray], model: Model) -> dict[str, np.ndarray]:
-    """Totals per text of one traversal; counts[k][i]: of the n-gram of order k that ends at i.
+    """Totals per text; counts[k][i]: of the n-gram of order k that ends at i.
 
     The state before position i is the longest n-gram with a count that ends at i - 1. A
     state that lacks the arc takes failure arcs until one has it: in terms of counts, each
