@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import ann, chaining, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, url_rules
+from veilwork.llm import ann, chaining, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, turns, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,15 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    fixed = turns.repair_conversations(table(spark, folder, "conversations"), turns.damaged)
+    return fixed.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(F.col("repaired").cast("binary"), 256).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ann_search": op1_ann_search,
     "op2_decontaminate": op2_decontaminate,
@@ -95,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op8_shared_passages": op8_shared_passages,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_repair": op11_conversation_repair,
 }
