@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilwork.llm import ann, chaining, decontam, jaccard, licenses, line_dedup, lm, mixing, toxicity, turns, url_rules
+from veilwork.llm import ann, chaining, decontam, jaccard, licenses, line_dedup, lm, minhash, mixing, tokens, toxicity, turns, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +93,17 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are 80 % alike."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of a byte-level and a piece tokenizer overlap in every text."""
+    rows = tokens.align_tokenizers(table(spark, folder, "documents"), digest=True)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ann_search": op1_ann_search,
     "op2_decontaminate": op2_decontaminate,
@@ -105,4 +116,6 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
