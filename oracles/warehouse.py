@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from oracles.exprs import clean_ctes, date_parts, raw_cte, silver_ctes, surrogate
+from oracles.exprs import PK, clean_ctes, date_parts, raw_cte, silver_ctes, surrogate
 from veilwork.queries.views import VIEWS
 from veilwork.schemas import DOMAINS
 
@@ -137,6 +137,56 @@ ORACLES |= {
         WITH {silver_ctes('banking')} SELECT count(*) AS rows, count(DISTINCT customer_id) AS customers FROM silver_banking""",
 }
 
+
+
+def two_batches(domain: str) -> str:
+    """fault_ of a domain, then first_ and both_: Silver after the rows with even ids, and after all."""
+    pk = PK[domain]
+    won = f"SELECT * EXCLUDE (fault) FROM fault_{domain} WHERE fault IS NULL AND _bronze_id % 2 = {{}}"
+    once = f"QUALIFY row_number() OVER (PARTITION BY {pk} ORDER BY _bronze_id) = 1"
+    return (
+        f"{silver_ctes(domain)}, first_{domain} AS MATERIALIZED ({won.format(0)} {once}), "
+        f"second_{domain} AS MATERIALIZED ({won.format(1)} AND {pk} NOT IN (SELECT {pk} FROM first_{domain}) {once}), "
+        f"both_{domain} AS (SELECT * FROM first_{domain} UNION ALL SELECT * FROM second_{domain})"
+    )
+
+
+def _members(domain: str) -> list[str]:
+    """SELECTs of (domain, table, rows after the first batch, rows after both)."""
+    spec = DOMAINS[domain]
+    out = [
+        f"SELECT '{domain}', '{table}', (SELECT count(*) FROM first_{domain}), (SELECT count(*) FROM both_{domain})"
+        for table in (f"silver_{domain}", spec.fact.name)
+    ]
+    for dim in spec.dims:
+        where = " AND ".join(f"{c} IS NOT NULL" for c in (dim.required or (dim.attrs if dim.is_date else ()))) or "true"
+        test = "IS NOT DISTINCT FROM" if dim.null_safe_load else "="
+        same = " AND ".join(f"f.{c} {test} s.{c}" for c in dim.match)
+        columns = ", ".join(f"s.{c}" for c in dim.attrs)
+        first = f"SELECT count(*) FROM (SELECT DISTINCT {columns} FROM first_{domain} s WHERE {where})"
+        more = (
+            f"SELECT count(*) FROM (SELECT DISTINCT {columns} FROM second_{domain} s WHERE {where} "
+            f"AND NOT EXISTS (SELECT 1 FROM first_{domain} f WHERE {same}))"
+        )
+        out.append(f"SELECT '{domain}', '{dim.name}', ({first}), ({first}) + ({more})")
+    return out
+
+
+ORACLES["star_two_batches"] = (
+    f"WITH {', '.join(two_batches(n) for n in DOMAINS)}, t(domain, table_name, after_first, after_both) AS ("
+    + " UNION ALL ".join(x for n in DOMAINS for x in _members(n))
+    + ") SELECT * FROM t"
+)
+ORACLES["facts_two_batches"] = f"""
+    WITH {two_batches('medical')} SELECT patient_id, first_name, doctor_name, address, city, admission_date AS full_date
+    FROM both_medical"""
+
+ORACLES["stream_all_domains"] = f"WITH {', '.join(two_batches(n) for n in DOMAINS)} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS domain, count(*) AS rows, count(DISTINCT {PK[n]}) AS keys, sum({PK[n]})::BIGINT AS key_sum, "
+    f"0::BIGINT AS added_by_repeats FROM both_{n}"
+    for n in DOMAINS
+)
+
 _digest = """count(*) AS rows, count(*) AS ids, count(DISTINCT customer_id) AS customers,
   sum(length(address))::BIGINT AS address_chars, count(*) FILTER (contains(address, chr(10))) AS broken_addresses"""
 for _name in ("stream_two_folders", "stream_header_order", "batch_then_stream"):

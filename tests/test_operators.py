@@ -125,3 +125,31 @@ def test_metrics_against_hand_counts(spark):
     assert [r["correct"] for r in E.mistakes_first(df).collect()] == [False, False, True, True]
     with pytest.raises(ValueError, match="missing columns"):
         require_columns(df, ["nope"])
+
+
+def test_one_bad_column_fails_alone(spark, store):
+    import datetime as dt
+
+    from veilwork.plans import gold, rules
+
+    good = spark.range(20).select("id", F.lit("a@b.org").alias("email"), F.lit("x").alias("note"))
+    broken = F.when(F.col("id") >= 0, F.raise_error(F.lit("cannot be read"))).cast("string").alias("bad")
+    tables = {("s", "fact_one"): good, ("s", "dim_two"): good.select("email", broken, "note"), ("s", "empty"): good.limit(0)}
+    done = gold.run_scan(store, tables, [], rules.classify_by_rules, dt.datetime(2026, 1, 1), "r", "s1")
+    assert {r["status"]: r["columns"] for r in done.collect()} == {"successful": 8, "failed": 1}
+    faults = store.read(gold.FAULTS, gold.FAULTS_SCHEMA).collect()
+    assert [(r["table_name"], r["column_name"], "cannot be read" in r["error"]) for r in faults] == [("dim_two", "bad", True)]
+    assert gold.read_gold(store)["fact_pii_scan"].count() == 8
+
+
+def test_samples_are_cut_and_long_tables_merge_parts(spark):
+    from veilwork.operators import profile
+
+    df = spark.range(5000).repartition(7).select("id", F.lit("y" * 3000).alias("long"), F.when(F.col("id") > 4996, F.col("id")).alias("rare"))
+    samples = {r["column_name"]: r["samples"] for r in column_samples(df, row_hash=F.col("id")).collect()}
+    assert samples == {"id": list("01234"), "long": ["y" * profile.SAMPLE_WIDTH] * 5, "rare": ["4997", "4998", "4999"]}
+    assert {r["column_name"]: r["samples"] for r in column_samples(df.limit(0)).collect()} == {"id": [], "long": [], "rare": []}
+    parts = profile.column_parts(df, row_hash=F.col("id"))
+    assert parts.agg(F.max(F.size("entries"))).first()[0] == 5
+    merged = {r["column_name"]: (r["records_scanned"], r["non_null_records"]) for r in profile.merged_parts(parts, ["column_name"]).collect()}
+    assert merged == {"id": (5000, 5000), "long": (5000, 5000), "rare": (5000, 3)}

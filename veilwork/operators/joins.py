@@ -17,10 +17,16 @@ def _condition(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Col
 
 
 def absent_from(
-    rows: DataFrame, table: DataFrame, on: Iterable[str], null_safe: bool = False
+    rows: DataFrame, table: DataFrame, on: Iterable[str], null_safe: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """Rows whose `on` values do not occur in `table`."""
+    """Rows whose `on` values do not occur in `table`.
+
+    Where the table is stored in `buckets` by `on`, rows are dealt out to as many. Both sides
+    then agree as they are; without that, Spark would rather move a table of few buckets too.
+    """
     on = list(on)
+    if buckets:
+        rows = rows.repartition(buckets, *on)
     known = table.select(*[F.col(c).alias(f"_known_{c}") for c in on])
     pairs = [(c, f"_known_{c}") for c in on]
     return rows.join(known, _condition(rows, known, pairs, null_safe), "left_anti")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,7 @@ from veilwork.functions.patterns import PATTERNS, PROFILE_FEATURES, has_digit, l
 from veilwork.functions.text import strip
 
 SAMPLE_SIZE = 5
-# Expected number of candidate rows kept per column when picking a sample.
-_CANDIDATES = 320
+SAMPLE_WIDTH = 1000  # characters of a sample value
 _HASH_RANGE = 1 << 60
 
 
@@ -43,63 +44,86 @@ def column_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def column_samples(
-    df: DataFrame,
-    k: int = SAMPLE_SIZE,
-    row_hash: Column | None = None,
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """(column_name, samples): up to k non-null values per column, from the rows of lowest hash.
+def column_parts(df: DataFrame, k: int = SAMPLE_SIZE, row_hash: Column | None = None) -> DataFrame:
+    """Counts and bottom-k values of every column as each task sees them, in one pass.
 
-    Which rows are chosen is free, so it is made repeatable by hashing the row. Only rows
-    whose hash is low enough to be among the first few hundred of the sparsest column are
-    unpivoted. Equal candidates are counted before the shuffle, so copies of one row cost
-    one record per partition.
+    (column_name, records, non_null, entries): entries has the task's up to k (row hash, value)
+    of lowest hash, then value, copies included, NULL values left out. So a task gives k values
+    per column, whatever it reads, and the parts of several tables can be put together before
+    anything is shuffled. Values are text, cut to SAMPLE_WIDTH characters.
     """
     row_hash = default_row_hash(df) if row_hash is None else row_hash
-    rows = df.withColumn("_hash", row_hash)
-    # One small row per column, and at most k values for it: both fit on the driver.
-    counts = column_counts(df) if counts is None else counts
-    sizes = {r["column_name"]: r["non_null_records"] for r in counts.collect()}
-    # The lowest hash limit that can be expected to give a column enough rows.
-    limits = {c: _HASH_RANGE if n <= _CANDIDATES else _HASH_RANGE * _CANDIDATES // n for c, n in sizes.items()}
-    samples: dict[str, list[str]] = {c: [] for c in df.columns}
-    open_columns = [c for c in df.columns if sizes[c]]
-    while open_columns:
-        found = _lowest(rows, open_columns, k, limits).collect()
-        samples |= {r["column_name"]: r["samples"] for r in found}
-        open_columns = [
-            c for c in open_columns if limits[c] < _HASH_RANGE and len(samples[c]) < min(k, sizes[c])
-        ]
-        # Uneven hashes (many copies of few rows): widen the search for those columns.
-        for c in open_columns:
-            limits[c] = min(limits[c] * 64, _HASH_RANGE)
-    return df.sparkSession.createDataFrame(
-        list(samples.items()), "column_name string, samples array<string>"
+    names = list(df.columns)
+    texts = [F.substring(F.col(f"`{c}`").cast("string"), 1, SAMPLE_WIDTH).alias(f"_v{i}") for i, c in enumerate(names)]
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records, known = 0, [0] * len(names)
+        kept: list[list[tuple[int, str]]] = [[] for _ in names]
+        for batch in batches:
+            records += len(batch)
+            hashes = batch.column(0).to_numpy()
+            for i in range(len(names)):
+                column = batch.column(i + 1)
+                known[i] += len(column) - column.null_count
+                may = hashes <= kept[i][-1][0] if len(kept[i]) == k else np.ones(len(hashes), dtype=bool)
+                if column.null_count:
+                    may &= column.is_valid().to_numpy(zero_copy_only=False)
+                places = np.flatnonzero(may)
+                if len(places) > k:
+                    # All that may be among the k lowest of this batch, ties included.
+                    places = places[hashes[places] <= np.partition(hashes[places], k - 1)[k - 1]]
+                if len(places):
+                    values = column.take(pa.array(places)).to_pylist()
+                    kept[i] = sorted(kept[i] + list(zip(hashes[places].tolist(), values, strict=True)))[:k]
+        if records:
+            entries = [[{"row_hash": h, "value": v} for h, v in rows] for rows in kept]
+            yield pa.RecordBatch.from_pydict(
+                {"column_name": names, "records": [records] * len(names), "non_null": known, "entries": entries}
+            )
+
+    kind = "column_name string, records bigint, non_null bigint, entries array<struct<row_hash:bigint,value:string>>"
+    return df.select(row_hash.alias("_hash"), *texts).mapInArrow(lowest, kind)
+
+
+def merged_parts(parts: DataFrame, by: list[str], k: int = SAMPLE_SIZE) -> DataFrame:
+    """(by..., records_scanned, non_null_records, samples) of `column_parts`, by their keys.
+
+    One shuffle of k rows per column and task, and nothing on the driver.
+    """
+    rows = parts.select(*by, "records", "non_null", F.posexplode_outer("entries").alias("_n", "_entry"))
+    # A part's counts travel with its first entry only.
+    first = F.coalesce("_n", F.lit(0)) == 0
+    group = Window.partitionBy(*by)
+    ranked = rows.select(
+        *by,
+        F.sum(F.when(first, F.col("records"))).over(group).alias("records_scanned"),
+        F.sum(F.when(first, F.col("non_null"))).over(group).alias("non_null_records"),
+        "_entry",
+        F.row_number().over(group.orderBy(F.asc_nulls_last("_entry.row_hash"), "_entry.value")).alias("_n"),
     )
+    listed = ranked.where(F.col("_n") <= k).groupBy(*by, "records_scanned", "non_null_records").agg(
+        F.sort_array(F.collect_list(F.when(F.col("_entry").isNotNull(), F.struct("_n", strip(F.col("_entry.value")).alias("v"))))).alias("_list")
+    )
+    samples = F.transform("_list", lambda s: s["v"]).alias("samples")
+    return listed.select(*by, "records_scanned", "non_null_records", samples)
 
 
-def _lowest(rows: DataFrame, columns: list[str], k: int, limits: dict[str, int]) -> DataFrame:
-    # Candidate rows first, so that only they are unpivoted.
-    tests = [F.col(c).isNotNull() & (F.col("_hash") < limits[c]) for c in columns]
-    kept = rows.where(reduce(lambda a, b: a | b, tests)).select(
-        "_hash", *[F.when(t, F.col(c).cast("string")).alias(c) for c, t in zip(columns, tests)]
-    )
-    values = unpivot_text(kept, columns, ["_hash"]).where("value IS NOT NULL")
-    copies = values.groupBy("column_name", "_hash", "value").agg(F.count(F.lit(1)).alias("_copies"))
-    order = Window.partitionBy("column_name").orderBy("_hash", "value")
-    first = copies.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k)
-    repeated = first.select(
-        "column_name",
-        "_n",
-        F.explode(F.array_repeat(strip(F.col("value")), F.least(F.col("_copies"), F.lit(k)).cast("int"))).alias("value"),
-    )
-    listed = repeated.groupBy("column_name").agg(
-        F.sort_array(F.collect_list(F.struct("_n", "value"))).alias("_list")
-    )
-    return listed.select(
-        "column_name", F.transform(F.slice("_list", 1, k), lambda s: s["value"]).alias("samples")
-    )
+def column_samples(df: DataFrame, k: int = SAMPLE_SIZE, row_hash: Column | None = None) -> DataFrame:
+    """(column_name, samples): up to k non-null values per column, from the rows of lowest hash.
+
+    Which rows are chosen is free, so it is made repeatable by hashing the row. Columns of an
+    empty table have empty samples.
+    """
+    known = merged_parts(column_parts(df, k, row_hash), ["column_name"], k).select("column_name", "samples")
+    return _every_column(df, known, samples=F.array().cast("array<string>"))
+
+
+def _every_column(df: DataFrame, known: DataFrame, **empty: Column) -> DataFrame:
+    """`known` with a row for each column of `df` that no task has seen."""
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "_name string")
+    joined = names.join(known, F.col("_name") == F.col("column_name"), "left")
+    values = [F.coalesce(c, empty[c]).alias(c) for c in known.columns if c != "column_name"]
+    return joined.select(F.col("_name").alias("column_name"), *values)
 
 
 def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:

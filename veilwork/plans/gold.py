@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+import logging
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +14,21 @@ from veilwork.functions.dates import date_key, date_parts
 from veilwork.functions.patterns import domain_of_schema, sample_features, semantic_text, table_type
 from veilwork.operators.joins import absent_from, insert_ignore
 from veilwork.operators.keys import max_key, with_surrogate_keys
-from veilwork.operators.profile import column_counts, column_samples
+from veilwork.operators.profile import column_parts, merged_parts
 from veilwork.schemas import PII_TYPES, SENSITIVITY_LEVELS, SENSITIVITY_POLICY
+from veilwork.session import materialize
 from veilwork.sources.tables import TableStore
 
+log = logging.getLogger(__name__)
+
 # Tables to scan: (schema, table) -> rows.
 Warehouse = dict[tuple[str, str], DataFrame]
 
 CATALOG_BUCKETS = 64
-COUNTS_SCHEMA = "column_name string, records_scanned bigint, non_null_records bigint"
-SIDE_BY_SIDE = 4  # tables scanned at the same time
+FAULTS = "gold/scan_faults"
+FAULTS_SCHEMA = (
+    "scan_id string, scan_timestamp timestamp, schema_name string, table_name string, column_name string, error string"
+)
 CALENDAR = (dt.date(2020, 1, 1), dt.date(2035, 12, 31))
 
 SCHEMAS = {
@@ -128,26 +135,21 @@ def gold_calendar(spark: SparkSession) -> DataFrame:
 def scan_inputs(tables: Warehouse, row_hashes: dict[tuple[str, str], Column] | None = None) -> DataFrame:
     """(schema_name, table_name, column_name, records_scanned, non_null_records, samples).
 
-    Two passes per table, whatever its number of columns: one aggregate of counts and one
-    filtered read of sample rows. Tables are scanned several at a time.
+    One pass per table yields counts and samples, and all tables are read by one job: each
+    task gives a few rows per column, which are merged by one shuffle. Nothing is collected.
+    Columns of an empty table have zeros and no samples.
     """
     row_hashes = row_hashes or {}
-
-    def one(item: tuple[tuple[str, str], DataFrame]) -> list[tuple]:
-        name, df = item
-        # One row per column: small enough to settle on the driver and use twice.
-        counts = column_counts(df).collect()
-        known = df.sparkSession.createDataFrame(counts, COUNTS_SCHEMA)
-        samples = column_samples(df, row_hash=row_hashes.get(name), counts=known)
-        found = {r["column_name"]: r["samples"] for r in samples.collect()}
-        return [(*name, *c, found[c["column_name"]]) for c in counts]
-
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        rows = [row for part in pool.map(one, tables.items()) for row in part]
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(
-        rows, f"schema_name string, table_name string, {COUNTS_SCHEMA}, samples array<string>"
-    )
+    by = ["schema_name", "table_name", "column_name"]
+    parts = None
+    for (schema, table), df in tables.items():
+        one = column_parts(df, row_hash=row_hashes.get((schema, table)))
+        one = one.select(F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "*")
+        parts = one if parts is None else parts.unionByName(one)
+    # A part of no rows for every column, so that empty tables are there.
+    names = [(s, t, c, 0, 0, []) for (s, t), df in tables.items() for c in df.columns]
+    return merged_parts(parts.unionByName(spark.createDataFrame(names, parts.schema)), by)
 
 
 def column_features(inputs: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -288,6 +290,38 @@ def record_scan(
     store.append("gold/fact_pii_scan", scan_fact(resolved, at, model_version, scan_id))
 
 
+def scan_isolated(
+    tables: Warehouse, features_of: Callable[[Warehouse], DataFrame], faults: list[tuple[str, str, str, str]]
+) -> list[DataFrame]:
+    """Settled features of all columns that can be read; (schema, table, column, error) of the others.
+
+    All tables are tried together. A part that fails is halved, by tables and then by columns,
+    until the columns at fault are alone; so one bad column costs about two scans for each
+    halving, and a clean warehouse one scan.
+    """
+    try:
+        return [materialize(features_of(tables), "scan")]
+    except Exception as fault:  # the other columns are independent
+        cells = [(name, c) for name, df in tables.items() for c in df.columns]
+        if len(cells) == 1:
+            ((schema, table), column) = cells[0]
+            error = (str(fault).splitlines() or [type(fault).__name__])[0]
+            log.warning("not scanned: %s.%s.%s: %s", schema, table, column, error)
+            faults.append((schema, table, column, error))
+            return []
+    names = list(tables)
+    out = []
+    for half in (slice(None, (len(names) + 1) // 2), slice((len(names) + 1) // 2, None)):
+        if len(names) > 1:
+            part = {name: tables[name] for name in names[half]}
+        else:
+            df = tables[names[0]]
+            middle = len(df.columns) // 2
+            part = {names[0]: df.select(*[f"`{c}`" for c in (df.columns[:middle] if half.start is None else df.columns[middle:])])}
+        out += scan_isolated(part, features_of, faults)
+    return out
+
+
 def run_scan(
     store: TableStore,
     tables: Warehouse,
@@ -299,18 +333,19 @@ def run_scan(
 ) -> DataFrame:
     """Catalog, sample, classify and record every column; returns (status, columns).
 
-    `classify` maps column features to `pii_type` and `final_confidence`. A table that
-    cannot be read is counted as failed and the others go on.
+    `classify` maps column features to `pii_type` and `final_confidence`. A column that
+    cannot be read is counted as failed and entered in FAULTS, and the others go on. The
+    rows of one scan are appended at once.
     """
     spark = store.spark
     populate_catalog(store, tables)
     inventory = column_inventory(catalog_columns(spark, tables), constraint_rows(spark, constraints))
-    done = failed = 0
-    for name, df in tables.items():
-        try:
-            features = column_features(scan_inputs({name: df}), inventory)
-            record_scan(store, classify(features), at, model_version, scan_id)
-            done += len(df.columns)
-        except Exception:  # counted; the next table is independent
-            failed += len(df.columns)
-    return spark.createDataFrame([("successful", done), ("failed", failed)], "status string, columns bigint")
+    faults: list[tuple[str, str, str, str]] = []
+    parts = scan_isolated(tables, lambda part: classify(column_features(scan_inputs(part), inventory)), faults)
+    if parts:
+        record_scan(store, reduce(DataFrame.unionByName, parts), at, model_version, scan_id)
+    if faults:
+        rows = [(scan_id, at, *fault) for fault in faults]  # one per column
+        store.append(FAULTS, spark.createDataFrame(rows, FAULTS_SCHEMA).coalesce(1))
+    done = sum(len(df.columns) for df in tables.values()) - len(faults)
+    return spark.createDataFrame([("successful", done), ("failed", len(faults))], "status string, columns bigint")

@@ -13,7 +13,7 @@ from veilwork.operators.dedupe import first_ids, first_per_key
 from veilwork.operators.joins import absent_from
 from veilwork.schemas import DOMAINS, Domain
 from veilwork.session import materialize
-from veilwork.sources.tables import TableStore
+from veilwork.sources.tables import RUN, Keyed, TableStore
 
 INVALID_PK = "INVALID_PRIMARY_KEY"
 MISSING_NAME = "MISSING_FIRST_NAME"
@@ -31,6 +31,11 @@ RUNS_SCHEMA = (
 )
 
 
+def silver_table(domain: Domain) -> Keyed:
+    """Silver by buckets of the primary key, so that a batch looks its keys up without moving Silver."""
+    return Keyed(f"silver/{domain.name}", domain.silver_schema, (domain.primary_key,))
+
+
 def clean_fields(bronze: DataFrame, domain: Domain, only: set[str] | None = None) -> DataFrame:
     """Cleaned and typed source columns with `_bronze_id`, city and state.
 
@@ -100,37 +105,51 @@ def accepted(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFram
 
     Keys are made unique inside the batch before Silver is consulted, so the join against
     it never sees a hot key. The outcome is the same as row-by-row processing: a key that
-    Silver has refuses all its rows, and otherwise the first valid row takes it.
+    Silver has refuses all its rows, and otherwise the first valid row takes it. A row that
+    Silver has already is refused by its key as well.
     """
-    if silver is not None:
-        bronze = absent_from(bronze, silver, ["_bronze_id"])
     rows = with_claim(cleaned(bronze, domain, as_of), domain)
     unique = first_per_key(rows, ["_claim"], ["_bronze_id"]).where("_fault IS NULL").drop("_fault", "_claim")
     return unique if silver is None else absent_from(unique, silver, [domain.primary_key])
 
 
-def classified(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFrame | None = None) -> DataFrame:
+def classified(
+    bronze: DataFrame,
+    domain: Domain,
+    as_of: dt.date,
+    silver: DataFrame | None = None,
+    done: DataFrame | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
     """Every cleaned row with `reject_reason`, NULL for accepted rows.
 
     Which rows win their key is decided by an aggregate on the key and brought back by
     the unique row id, so a key repeated any number of times is spread over all tasks.
+    Rows whose id is in `done` are left out; that is Silver, or the part of it in which rows
+    of this batch can be. `buckets` is their number where Silver is stored by key.
     """
-    if silver is not None:
-        bronze = absent_from(bronze, silver, ["_bronze_id"])
+    done = silver if done is None else done
+    if done is not None:
+        bronze = absent_from(bronze, done, ["_bronze_id"])
     rows = cleaned(bronze, domain, as_of).withColumn("_fault", row_fault(domain))
     # Two columns are enough to find the winners. The group of the faulty rows has one too,
     # which does no harm, as their reason is their fault.
     keys = with_claim(clean_fields(bronze, domain, {domain.primary_key, "first_name"}), domain)
     winners = first_ids(keys, "_claim", "_bronze_id")
     if silver is not None:
-        known = silver.select(F.col(domain.primary_key).alias("_claim"))
-        winners = absent_from(winners, known, ["_claim"])
+        winners = unclaimed(winners, silver, domain, buckets)
     winners = winners.select(F.col("_bronze_id").alias("_winner"))
     joined = rows.join(winners, rows["_bronze_id"] == winners["_winner"], "left")
     reason = F.coalesce("_fault", F.when(F.col("_winner").isNull(), DUPLICATE_PK))
     return joined.withColumn("reject_reason", reason).drop("_fault", "_winner")
 
 
+def unclaimed(winners: DataFrame, silver: DataFrame, domain: Domain, buckets: int | None = None) -> DataFrame:
+    """The (_claim, _bronze_id) whose key Silver lacks. Bucketed Silver is read in place."""
+    known = silver.select(F.col(domain.primary_key).alias("_claim"))
+    return absent_from(winners, known, ["_claim"], buckets=buckets)
+
+
 def rejected(bronze: DataFrame, domain: Domain, as_of: dt.date, silver: DataFrame | None = None) -> DataFrame:
     """Quarantine view: the refused rows with their reason."""
     return classified(bronze, domain, as_of, silver).where("reject_reason IS NOT NULL")
@@ -172,19 +191,68 @@ def with_totals(stats: DataFrame) -> DataFrame:
     return summed.withColumn("domain", F.coalesce("domain", F.lit("TOTAL")))
 
 
+def unlogged(store: TableStore, domain: Domain, logged: DataFrame) -> DataFrame:
+    """Silver rows of runs that did not reach the log. As a rule there are none."""
+    finished = {r["run_id"] for r in logged.select("run_id").distinct().collect()}  # one short id per run
+    table = silver_table(domain)
+    return store.keyed(table).where(F.col(RUN).isin(sorted(store.runs(table) - finished)))
+
+
+def settle_loads(
+    store: TableStore,
+    domain: Domain,
+    as_of: dt.date,
+    pending: DataFrame,
+    run_id: str,
+    silver: DataFrame,
+    done: DataFrame,
+    log_loads: bool = True,
+    repeat: bool = False,
+) -> dict[str, int]:
+    """Add the accepted rows of some loads to Silver as one run, and log the run; returns its counts.
+
+    Rows are cleaned and classified once, into the shared folder; Silver gets the accepted
+    ones and the counts come from there. `silver` are the keys that are taken and `done` the
+    rows that are left out; `repeat` replaces what an earlier attempt of the run has written.
+    """
+    table = silver_table(domain)
+    rows = classified(store.read_bronze(domain.name, pending), domain, as_of, silver, done, store.buckets)
+    settled = materialize(rows, f"classified-{domain.name}")
+    found = {r["reject_reason"]: r["count"] for r in settled.groupBy("reject_reason").count().collect()}
+    store.append_keyed(table, settled.where("reject_reason IS NULL"), run_id, replace=repeat)
+    new = {
+        "bronze_rows": store.manifest().join(pending, "load_id", "left_semi").agg(F.sum("rows")).first()[0],
+        "inserted": found.get(None, 0),
+        "invalid_primary_key": found.get(INVALID_PK, 0),
+        "missing_first_name": found.get(MISSING_NAME, 0),
+        "duplicate_primary_key": found.get(DUPLICATE_PK, 0),
+    }
+    # The counts belong to the run; they are logged with its first load. A rescan logs its run
+    # without any load, as these have theirs.
+    first = pending.agg(F.min("load_id")).first()[0]
+    counts = [
+        F.when((F.col("load_id") == first) & F.lit(log_loads), n).otherwise(0).cast("bigint").alias(c)
+        for c, n in new.items()
+    ]
+    load = F.when(F.lit(log_loads), F.col("load_id")).alias("load_id")
+    log = pending.select(F.lit(run_id).alias("run_id"), F.lit(domain.name).alias("domain"), load, *counts)
+    store.append(RUNS, log.distinct().coalesce(1))
+    return new
+
+
 def process_domain(store: TableStore, name: str, as_of: dt.date, rescan: bool = False) -> dict[str, int]:
     """Bring one domain's Silver table up to date and return the run's counts.
 
     Only Bronze loads that no earlier run finished are read; `rescan` reads all again,
     for use after a change of the rules. Rows refused earlier stay refused under the same
     rules, so their counts are carried over from the run log.
+
+    Rows of this batch can be in Silver already if a run that wrote them did not reach the log,
+    so only such runs are compared by row id.
     """
     domain = DOMAINS[name]
-    spark = store.spark
-    silver = store.read(f"silver/{name}", domain.silver_schema)
-    runs = store.read(RUNS, RUNS_SCHEMA).where(F.col("domain") == name)
-    if rescan:
-        runs = runs.limit(0)
+    logged = store.read(RUNS, RUNS_SCHEMA).where(F.col("domain") == name)
+    runs = logged.limit(0) if rescan else logged
     loads = store.committed_loads(name)
     pending = loads.join(runs.select("load_id"), "load_id", "left_anti")
     pending = materialize(pending, "pending")
@@ -193,41 +261,13 @@ def process_domain(store: TableStore, name: str, as_of: dt.date, rescan: bool =
             "bronze_rows", "inserted", "invalid_primary_key", "missing_first_name", "duplicate_primary_key"
         )]
     ).first().asDict()
-    old_silver = silver.count()
+    silver = store.keyed(silver_table(domain))
     stats = dict.fromkeys(STAT_COLUMNS, 0)
-    stats["already_processed"] = old_silver
+    stats["already_processed"] = silver.count()  # from the files' footers
     if not pending.isEmpty():
-        run_id = uuid.uuid4().hex
-        bronze = store.read_bronze(name, pending)
-        store.append(f"silver/{name}", accepted(bronze, domain, as_of, silver))
-        inserted = store.read(f"silver/{name}", domain.silver_schema).count() - old_silver
-        few = absent_from(
-            clean_fields(bronze, domain, {domain.primary_key, "first_name"}), silver, ["_bronze_id"]
-        ).withColumn("_fault", row_fault(domain))
-        counts = few.agg(
-            F.count(F.lit(1)).alias("open_rows"),
-            F.count_if(F.col("_fault") == INVALID_PK).alias("invalid_primary_key"),
-            F.count_if(F.col("_fault") == MISSING_NAME).alias("missing_first_name"),
-        ).first()
-        bad, unnamed = counts["invalid_primary_key"], counts["missing_first_name"]
-        new = {
-            "bronze_rows": bronze.count(),
-            "inserted": inserted,
-            "invalid_primary_key": bad,
-            "missing_first_name": unnamed,
-            "duplicate_primary_key": counts["open_rows"] - inserted - bad - unnamed,
-        }
-        if not rescan:
-            # The counts belong to the run; they are logged with its first load.
-            first = pending.agg(F.min("load_id")).first()[0]
-            log = pending.select(
-                F.lit(run_id).alias("run_id"),
-                F.lit(name).alias("domain"),
-                "load_id",
-                *[F.when(F.col("load_id") == first, n).otherwise(0).cast("bigint").alias(c) for c, n in new.items()],
-            )
-            store.append(RUNS, log.coalesce(1))
-        stats["inserted"] = inserted
+        done = silver if rescan else unlogged(store, domain, logged)
+        new = settle_loads(store, domain, as_of, pending, uuid.uuid4().hex, silver, done, log_loads=not rescan)
+        stats["inserted"] = new["inserted"]
     else:
         new = dict.fromkeys(before, 0)
     stats["bronze_rows"] = before["bronze_rows"] + new["bronze_rows"]

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilwork.functions.dates import date_key, date_parts
-from veilwork.operators.joins import absent_from, with_lookup
+from veilwork.operators.joins import absent_from, present_in, with_lookup
 from veilwork.operators.keys import KEY_BUCKETS, max_key, with_surrogate_keys
+from veilwork.plans.silver import silver_table
 from veilwork.schemas import DOMAINS, Dim, Domain
 from veilwork.session import materialize
-from veilwork.sources.tables import TableStore
+from veilwork.sources.tables import RUN, Keyed, TableStore
+
+MATCH = "_match"
+RUNS = "star/_runs"
+RUNS_SCHEMA = "run_id string, domain string, silver_run string"
 
 
 def date_members(source: DataFrame, column: str, dim: DataFrame | None = None) -> DataFrame:
@@ -85,6 +92,35 @@ def fact_schema(domain: Domain) -> T.StructType:
     return T.StructType.fromDDL(", ".join([*columns, "_bronze_id bigint"]))
 
 
+def match_hash(columns: tuple[str, ...]) -> Column:
+    """A fingerprint of the columns that decide on a member, for storage; equal ones agree, nulls included."""
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def dim_table(domain: Domain, spec: Dim) -> Keyed:
+    """A dimension by buckets of its match columns' fingerprint."""
+    schema = T.StructType([*dim_schema(domain, spec), T.StructField(MATCH, T.LongType())])
+    return Keyed(f"star_{domain.name}/{spec.name}", schema, (MATCH,))
+
+
+def fact_table(domain: Domain) -> Keyed:
+    """The fact by buckets of the Bronze row id."""
+    return Keyed(f"star_{domain.name}/{domain.fact.name}", fact_schema(domain), ("_bronze_id",))
+
+
+def known_members(stored: DataFrame, members: DataFrame, spec: Dim, buckets: int) -> DataFrame:
+    """The stored rows that members of a batch may agree with.
+
+    The dimension is read in place; what is shuffled and what comes out grow with the batch.
+    """
+    wanted = members.select(match_hash(stored_match(spec)).alias(MATCH)).distinct()
+    return present_in(stored, wanted.repartition(buckets, MATCH), [MATCH]).drop(MATCH, RUN)
+
+
+def stored_match(spec: Dim) -> tuple[str, ...]:
+    return ("date_key",) if spec.is_date else spec.match
+
+
 def star_tables(store: TableStore, domain: Domain) -> dict[str, DataFrame]:
     schema = f"star_{domain.name}"
     tables = {d.name: store.read(f"{schema}/{d.name}", dim_schema(domain, d)) for d in domain.dims}
@@ -92,29 +128,64 @@ def star_tables(store: TableStore, domain: Domain) -> dict[str, DataFrame]:
     return tables
 
 
-def load_star(store: TableStore, name: str, buckets: int = KEY_BUCKETS) -> dict[str, int]:
+def fresh_rows(store: TableStore, domain: Domain, done: DataFrame, rescan: bool) -> DataFrame:
+    """Silver rows without a fact. Only Silver runs that no finished star run has read are looked
+    at, by partition, and the fact is read in place."""
+    silver = store.keyed(silver_table(domain))
+    if not rescan:
+        # One short id per run.
+        loaded = {r["silver_run"] for r in done.select("silver_run").collect()}
+        silver = silver.where(F.col(RUN).isin(sorted(store.runs(silver_table(domain)) - loaded)))
+    return absent_from(silver, store.keyed(fact_table(domain)), ["_bronze_id"], buckets=store.buckets)
+
+
+def load_star(
+    store: TableStore, name: str, buckets: int = KEY_BUCKETS, rescan: bool = False
+) -> dict[str, int]:
     """Bring one star schema up to date; returns the rows added per table.
 
     Only Silver rows without a fact are looked at: the others had their members loaded
-    before their fact. Dimensions are written before the fact reads them, so keys are
-    settled; after a failure the load can simply be run again.
+    before their fact. Dimensions are written before the fact, so keys are settled; after
+    a failure the load can simply be run again, and `rescan` looks at all Silver runs.
+
+    Stored tables are never shuffled: of each dimension, the members that the batch may agree
+    with are picked bucket by bucket, and new members and the fact's keys are found among those.
     """
     domain = DOMAINS[name]
-    schema = f"star_{name}"
-    before = star_tables(store, domain)
-    silver = store.read(f"silver/{name}", domain.silver_schema)
-    fresh = materialize(absent_from(silver, before[domain.fact.name], ["_bronze_id"]), f"fresh-{name}")
-    if fresh.isEmpty():
-        return {table: 0 for table in before}
-    counts = {table: df.count() for table, df in before.items()}
-    for spec in domain.dims:
-        store.append(f"{schema}/{spec.name}", dimension_rows(fresh, spec, before[spec.name], buckets))
-    dims = star_tables(store, domain)
-    store.append(f"{schema}/{domain.fact.name}", fact_rows(fresh, domain, dims))
-    added = {t: df.count() - counts[t] for t, df in star_tables(store, domain).items()}
-    expected = fresh.count()
-    if added[domain.fact.name] != expected:
-        raise RuntimeError(f"{schema}: {added[domain.fact.name]} fact rows for {expected} Silver rows")
+    run = uuid.uuid4().hex
+    runs = set(store.runs(silver_table(domain)))
+    done = store.read(RUNS, RUNS_SCHEMA).where(F.col("domain") == name)
+    fresh = materialize(fresh_rows(store, domain, done, rescan), f"fresh-{name}")
+    added = {table: 0 for table in (*[d.name for d in domain.dims], domain.fact.name)}
+    if not fresh.isEmpty():
+        dims = {}
+        for spec in domain.dims:
+            table = dim_table(domain, spec)
+            stored = store.keyed(table)
+            if spec.is_date:
+                members = date_members(fresh, spec.attrs[0])
+            else:
+                members = fresh.select(*spec.attrs).distinct()
+            known = materialize(known_members(stored, members, spec, store.buckets), spec.name)
+            if spec.is_date:
+                new = date_members(fresh, spec.attrs[0], known)
+            else:
+                new = with_surrogate_keys(
+                    new_members(fresh, spec, known), spec.attrs, spec.key, max_key(stored, spec.key), buckets
+                )
+            new = materialize(new, spec.name)
+            store.append_keyed(table, new.withColumn(MATCH, match_hash(stored_match(spec))), run)
+            added[spec.name] = new.count()
+            dims[spec.name] = known.unionByName(new.select(*known.columns))
+        facts = materialize(fact_rows(fresh, domain, dims), domain.fact.name)
+        added[domain.fact.name], expected = facts.count(), fresh.count()
+        if added[domain.fact.name] != expected:
+            raise RuntimeError(f"star_{name}: {added[domain.fact.name]} fact rows for {expected} Silver rows")
+        store.append_keyed(fact_table(domain), facts, run)
+    loaded = {r["silver_run"] for r in done.select("silver_run").collect()}
+    log = [(run, name, r) for r in sorted(runs - loaded)]
+    if log:
+        store.append(RUNS, store.spark.createDataFrame(log, RUNS_SCHEMA).coalesce(1))
     return added
 
 

@@ -94,6 +94,47 @@ def _(spark, folder):
     return spark.createDataFrame(rows, "domain string, fact_rows bigint, added_by_second_run bigint")
 
 
+def _two_batches(spark, folder):
+    """A store after two drops of all domains, rows with even ids first, and the rows per table after each."""
+    store, counts = _store(spark), []
+    for half in (0, 1):
+        drop = scratch_path(spark, "drop")
+        for name in DOMAINS:
+            rows = raw_domain(spark, folder, name).where(F.col("_bronze_id") % 2 == half).drop("_bronze_id")
+            rows.write.mode("append").option("header", True).option("escape", '"').csv(drop)
+        ingest(store, drop)
+        silver.process_all(store, AS_OF)
+        star.load_all_stars(store)
+        found = {}
+        for name, spec in DOMAINS.items():
+            found[name, f"silver_{name}"] = store.read(f"silver/{name}", spec.silver_schema).count()
+            found |= {(name, table): df.count() for table, df in star.star_tables(store, spec).items()}
+        counts.append(found)
+    return store, counts
+
+
+@query("star_two_batches")
+def _(spark, folder):
+    """Rows per Silver and star table after each of two batches into keyed tables."""
+    _, (first, both) = _two_batches(spark, folder)
+    rows = [(*key, n, both[key]) for key, n in first.items()]
+    return spark.createDataFrame(rows, "domain string, table_name string, after_first bigint, after_both bigint")
+
+
+@query("facts_two_batches")
+def _(spark, folder):
+    """The patients, doctors, places and days behind each medical fact after two batches."""
+    store, _ = _two_batches(spark, folder)
+    tables = star.star_tables(store, DOMAINS["medical"])
+    fact = tables["fact_admission"]
+    for dim, key in (("dim_patient", "patient_key"), ("dim_doctor", "doctor_key"), ("dim_location", "location_key")):
+        fact = fact.join(tables[dim], key, "left")
+    days = tables["dim_date"].select(F.col("date_key").alias("admission_date_key"), "full_date")
+    return fact.join(days, "admission_date_key", "left").select(
+        "patient_id", "first_name", "doctor_name", "address", "city", "full_date"
+    )
+
+
 @query("stream_to_silver")
 def _(spark, folder):
     """Banking files through the Bronze and Silver streams, twice."""
@@ -110,6 +151,34 @@ def _(spark, folder):
     )
 
 
+@query("stream_all_domains")
+def _(spark, folder):
+    """All domains through one Silver stream in two rounds, with a repeat of every epoch at the end.
+
+    Per domain: rows, keys and the sum of the keys, and what the repeats added.
+    """
+    store = _store(spark)
+    drop, checkpoint = scratch_path(spark, "drop"), scratch_path(spark, "checkpoint")
+    for half in (0, 1):
+        for name in DOMAINS:
+            rows = raw_domain(spark, folder, name).where(F.col("_bronze_id") % 2 == half).drop("_bronze_id")
+            rows.write.mode("append").option("header", True).option("escape", '"').csv(drop)
+        stream.stream_bronze(store, drop, f"{checkpoint}/bronze").awaitTermination()
+        stream.stream_silver(store, None, AS_OF, f"{checkpoint}/silver").awaitTermination()
+    entries, runs = store.manifest(), store.read(silver.RUNS, silver.RUNS_SCHEMA)
+    epochs = [r["run_id"] for r in runs.select("run_id").distinct().collect()]
+    out = None
+    for name, spec in DOMAINS.items():
+        again = sum(stream.settle_epoch(store, spec, AS_OF, entries, epoch) for epoch in epochs)
+        key = F.col(spec.primary_key)
+        one = store.read(f"silver/{name}", spec.silver_schema).agg(
+            F.lit(name).alias("domain"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"),
+            F.sum(key).alias("key_sum"), F.lit(again).cast("bigint").alias("added_by_repeats"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _bronze_digest(store):
     """Rows, ids and a digest of the customers in Bronze banking."""
     return store.read_bronze("banking").agg(

@@ -9,7 +9,7 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,7 @@ class Group:
     header: tuple[str, ...]
     multiline: bool
     files: list[SourceFile]
+    crlf: bool = False  # lines end in \r\n
 
 
 def file_columns(files: DataFrame) -> DataFrame:
@@ -148,12 +149,14 @@ def read_raw(spark: SparkSession, group: Group) -> DataFrame:
     task of its own and a row takes at least one byte, so ids rise with the position in
     the file; a task may read other files first, and so many ids are left free before the
     next file's begin. No count, sort or shuffle is needed. Positions do depend on how files are split, so ids are taken once, here, and
-    stored. A file in which a quoted field spans lines is read whole by one task.
+    stored. A file in which a quoted field spans lines is read whole by one task; `\n` ends its
+    lines whatever they look like, so that line breaks inside cells stay as they are, and the
+    `\r` before it is taken off the last cell.
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(group.header))])
     rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
     if group.multiline:
-        rows = rows.option("multiLine", True)
+        rows = rows.option("multiLine", True).option("lineSep", "\n")
     positioned = rows.option("escape", '"').csv([literal_path(f.path) for f in group.files]).select(
         "*",
         F.col("_metadata.file_name").alias("_source_file"),
@@ -162,7 +165,10 @@ def read_raw(spark: SparkSession, group: Group) -> DataFrame:
     firsts = spark.createDataFrame([(f.name, f.first_id) for f in group.files], "_name string, _first_id bigint")
     # At most FILES_PER_LOAD rows, so the broadcast has a fixed bound.
     keyed = positioned.join(F.broadcast(firsts), F.col("_source_file") == F.col("_name"))
-    cells = [F.coalesce(f"_c{i}", F.lit("")).alias(name) for i, name in enumerate(group.header)]
+    cells = [F.coalesce(f"_c{i}", F.lit("")) for i in range(len(group.header))]
+    if group.multiline and group.crlf:
+        cells[-1] = F.regexp_replace(cells[-1], r"\r\z", "")
+    cells = [cell.alias(name) for cell, name in zip(cells, group.header, strict=True)]
     return keyed.select((F.col("_first_id") + F.col("_position")).alias("_bronze_id"), *cells, "_source_file")
 
 
@@ -217,10 +223,10 @@ def _groups(spark: SparkSession, files: list[SourceFile], failures: dict[str, st
             seen = found.get(file.name)
             header = normalize_header(split_header(seen["header"] if seen else None))
             domain = detect_domain(set(header) - INDEX_COLUMNS)
-            by_layout[domain.name, header, seen["multiline"]].append(file)
+            by_layout[domain.name, header, seen["multiline"], seen["header"].endswith("\r")].append(file)
         except Exception as fault:  # one bad file must not stop the others
             failures[file.name] = str(fault)
-    return [Group(DOMAINS[d], header, multiline, own) for (d, header, multiline), own in sorted(by_layout.items())]
+    return [Group(DOMAINS[d], header, lines, own, crlf) for (d, header, lines, crlf), own in sorted(by_layout.items())]
 
 
 def _load(store: TableStore, group: Group, batch_id: str, now: dt.datetime, failures: dict[str, str]) -> tuple[int, int]:
@@ -249,7 +255,7 @@ def _load(store: TableStore, group: Group, batch_id: str, now: dt.datetime, fail
             failures[group.files[0].name] = str(fault)
             return 0, 0
     half = len(group.files) // 2
-    parts = [Group(group.domain, group.header, group.multiline, f) for f in (group.files[:half], group.files[half:])]
+    parts = [replace(group, files=f) for f in (group.files[:half], group.files[half:])]
     done = [_load(store, part, batch_id, now, failures) for part in parts]
     return done[0][0] + done[1][0], done[0][1] + done[1][1]
 
