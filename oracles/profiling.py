@@ -136,3 +136,9 @@ ORACLES = {
     "profile_columns": f"WITH {clean_ctes('medical')} {profile('clean_medical', _medical)}",
     "profile_conversations": profile("conversations", ["turn", "role"]),
 }
+_kept = ", ".join(
+    ["null_ratio", *PROFILE_FEATURES[:9], "avg_length", "std_length", "avg_word_count", "digit_value_ratio", "min_length", "max_length"]
+)
+ORACLES["profile_by_loads"] = f"""
+    WITH {raw_cte('banking')}, p AS ({profile('raw_banking', _banking)})
+    SELECT column_name, records, values, {_kept}, true AS unique_close, true AS median_close, 2::BIGINT AS loads_sketched FROM p"""

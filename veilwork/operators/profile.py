@@ -14,6 +14,7 @@ from veilwork.functions.text import strip
 
 SAMPLE_SIZE = 5
 SAMPLE_WIDTH = 1000  # characters of a sample value
+SKETCH_LOG = 12  # of the registers of a sketch of distinct values
 _HASH_RANGE = 1 << 60
 
 
@@ -126,39 +127,39 @@ def _every_column(df: DataFrame, known: DataFrame, **empty: Column) -> DataFrame
     return joined.select(F.col("_name").alias("column_name"), *values)
 
 
-def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:
-    """The 18 profile features and null share of every column, over all its values.
+def text_values(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(keep..., column_name, value): all cells but those of `keep` as stripped text, NULL where empty."""
+    keep = keep or []
+    long = unpivot_text(df, [c for c in df.columns if c not in keep], keep)
+    return long.select(*keep, "column_name", F.nullif(strip(F.col("value")), F.lit("")).alias("value"))
 
-    With approximate uniqueness this is one pass that leaves the scan as one partial row
-    per column and task. `exact_unique` has to shuffle the distinct values anyway, so they
-    are counted first and each distinct value is tested once.
-    """
-    stripped = unpivot_text(df).select("column_name", strip(F.col("value")).alias("value"))
-    long = stripped.select("column_name", F.nullif(F.col("value"), F.lit("")).alias("value"))
-    if exact_unique:
-        long = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-        distinct = F.count_distinct(F.lower("value"))
-    else:
-        long = long.withColumn("_n", F.lit(1).cast("bigint"))
-        distinct = F.approx_count_distinct(F.lower("value"))
-    n, value = F.col("_n"), F.col("value")
+
+# Counters of a profile that add up over parts of a table, and how.
+ADDED = ("records", "values", *PROFILE_FEATURES[:9], "_length", "_squares", "_words", "_digits")
+
+
+def _counters(n: Column, value: Column) -> list[Column]:
+    """Aggregates over values that each stand for `n` cells."""
     length = F.length(value).cast("double")
 
     def total(test: Column) -> Column:
         return F.sum(F.when(test, n).otherwise(0))
 
-    raw = long.groupBy("column_name").agg(
+    return [
         F.sum(n).alias("records"),
         total(value.isNotNull()).alias("values"),
         *[total(looks_like(value, kind)).alias(name) for kind, name in zip(PATTERNS, PROFILE_FEATURES)],
-        distinct.alias("_distinct"),
         F.sum(n * length).alias("_length"),
         F.sum(n * length * length).alias("_squares"),
-        F.min(length).alias("_min"),
-        F.max(length).alias("_max"),
         F.sum(n * word_count(value)).alias("_words"),
         total(has_digit(value)).alias("_digits"),
-    )
+        F.min(length).alias("_min"),
+        F.max(length).alias("_max"),
+    ]
+
+
+def _features(raw: DataFrame, *more: Column) -> DataFrame:
+    """The 18 profile features and null share from the counters and `_distinct`."""
     count = F.col("values")
     mean = ratio(F.col("_length"), count)
     variance = ratio(F.col("_squares"), count) - mean * mean
@@ -182,4 +183,55 @@ def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:
         or_zero(F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_length"),
         or_zero(ratio(F.col("_words"), count)).alias("avg_word_count"),
         ratio(F.col("_digits"), count).alias("digit_value_ratio"),
+        *more,
+    )
+
+
+def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:
+    """The 18 profile features and null share of every column, over all its values.
+
+    With approximate uniqueness this is one pass that leaves the scan as one partial row
+    per column and task. `exact_unique` has to shuffle the distinct values anyway, so they
+    are counted first and each distinct value is tested once.
+    """
+    long = text_values(df)
+    if exact_unique:
+        long = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        distinct = F.count_distinct(F.lower("value"))
+    else:
+        long = long.withColumn("_n", F.lit(1).cast("bigint"))
+        distinct = F.approx_count_distinct(F.lower("value"))
+    raw = long.groupBy("column_name").agg(*_counters(F.col("_n"), F.col("value")), distinct.alias("_distinct"))
+    return _features(raw)
+
+
+def profile_parts(df: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., column_name, counters, sketches) of the other columns, one small row each.
+
+    Parts add up: counters by sums, minima and maxima, distinct values by HyperLogLog sketches
+    of 4096 registers (relative error 1.3 % at one standard deviation), and lengths by a KLL
+    quantile sketch (rank error about 1.3 %). So a table's profile is a merge of its loads'.
+    """
+    value = F.col("value")
+    return text_values(df, by).groupBy(*by, "column_name").agg(
+        *_counters(F.lit(1).cast("bigint"), value),
+        F.hll_sketch_agg(F.lower(value), SKETCH_LOG).alias("_seen"),
+        F.kll_sketch_agg_bigint(F.length(value).cast("bigint")).alias("_lengths"),
+    )
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """`profile_columns` of all parts together, with the median and the 95th percentile of lengths."""
+    raw = parts.groupBy("column_name").agg(
+        *[F.sum(c).alias(c) for c in ADDED],
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        F.hll_sketch_estimate(F.hll_union_agg("_seen")).alias("_distinct"),
+        F.kll_merge_agg_bigint(F.when(F.col("values") > 0, F.col("_lengths"))).alias("_lengths"),
     )
+
+    def at(rank: float) -> Column:
+        # A sketch of nothing has no quantiles.
+        return F.when(F.col("values") > 0, F.kll_sketch_get_quantile_bigint("_lengths", F.lit(rank)))
+
+    return _features(raw, at(0.5).alias("median_length"), at(0.95).alias("high_length"))

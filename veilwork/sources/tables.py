@@ -138,8 +138,8 @@ class TableStore:
         """(load_id) of the finished loads: those with a manifest entry."""
         return self.manifest().where(F.col("domain") == domain).select("load_id").distinct()
 
-    def read_bronze(self, domain: str, loads: DataFrame | None = None) -> DataFrame:
-        """Rows of finished loads only, or of those in `loads` (load_id).
+    def read_bronze(self, domain: str, loads: DataFrame | None = None, with_load: bool = False) -> DataFrame:
+        """Rows of finished loads only, or of those in `loads` (load_id); `with_load` keeps `_load_id`.
 
         The join prunes the scan to the partitions of these loads at run time. Files that a
         failed load left behind have no manifest entry and stay invisible.
@@ -147,4 +147,5 @@ class TableStore:
         schema = T.StructType([*DOMAINS[domain].bronze_schema, T.StructField("_load_id", T.StringType())])
         loads = self.committed_loads(domain) if loads is None else loads
         rows = self.read(f"bronze/{domain}", schema)
-        return rows.join(loads.select(F.col("load_id").alias("_load_id")).distinct(), "_load_id", "left_semi").drop("_load_id")
+        found = rows.join(loads.select(F.col("load_id").alias("_load_id")).distinct(), "_load_id", "left_semi")
+        return found if with_load else found.drop("_load_id")
