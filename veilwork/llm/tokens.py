@@ -180,7 +180,9 @@ def aligned(a: Tokens, b: Tokens, w: Windows, chosen: np.ndarray) -> tuple[np.nd
     names_a, names_b = a.names[a.ids[ia]].tolist(), b.names[b.ids[ib]].tolist()
     texts, x, y = [], 0, 0
     for i, j in zip(to_a, to_b, strict=True):
-        texts.append(",".join(names_a[x:i]) + "|" + ",".join(names_b[y:j]))
+        left = names_a[x] if i - x == 1 else ",".join(names_a[x:i])
+        right = names_b[y] if j - y == 1 else ",".join(names_b[y:j])
+        texts.append(f"{left}|{right}")
         x, y = i, j
     last = np.cumsum(groups).tolist()
     return links, pairs, groups, [";".join(texts[i:j]) for i, j in zip([0, *last[:-1]], last, strict=True)]
@@ -205,16 +207,17 @@ class Memo:
         """The number of every window, new ones being aligned and added."""
         hashes = mix(a.hashes(w.a0, w.a1) * _ODD + b.hashes(w.b0, w.b1))
         _, where, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        ids_a, ids_b = a.ids.astype("<i4"), b.ids.astype("<i4")
+        ids_a, ids_b = a.ids.astype("<i4").tobytes(), b.ids.astype("<i4").tobytes()
         own, new = np.empty(len(where), dtype=np.int64), []
-        bounds = zip(w.a0[where].tolist(), w.a1[where].tolist(), w.b0[where].tolist(), w.b1[where].tolist(), strict=True)
+        bounds = zip(*[(4 * x[where]).tolist() for x in (w.a0, w.a1, w.b0, w.b1)], strict=True)
         for i, (a0, a1, b0, b1) in enumerate(bounds):
-            key = ids_a[a0:a1].tobytes() + b"\xff\xff\xff\xff" + ids_b[b0:b1].tobytes()
-            found = self.number.setdefault(key, len(self.number))
-            own[i] = found
-            if found == len(self.texts) + len(new):
+            key = ids_a[a0:a1] + b"\xff\xff\xff\xff" + ids_b[b0:b1]
+            found = self.number.get(key)
+            if found is None:
+                found = self.number[key] = len(self.number)
                 new.append(i)
                 self.size += len(key)
+            own[i] = found
         if new:
             # In the order of their places, as alignment needs; then back to that of their numbers.
             places = where[new]
