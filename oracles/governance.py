@@ -231,3 +231,61 @@ for _column, _query in (("domain", "sensitivity_by_domain"), ("pii_type", "sensi
     ORACLES[_query] = SCAN + f"""SELECT {_column}, count(*) FILTER (sensitivity_level = 'HIGH') AS HIGH,
         count(*) FILTER (sensitivity_level = 'MEDIUM') AS MEDIUM, count(*) FILTER (sensitivity_level = 'LOW') AS LOW
         FROM outcome GROUP BY 1"""
+
+# ---- spans in free text: one pass over all formats, then one kind per span
+
+_ORDER = ("EMAIL", "MEDICAL_RECORD", "DATE", "PHONE", "CREDIT_CARD", "BANK_ACCOUNT")
+_digits = "reverse(regexp_replace(v, '[ -]', '', 'g'))"
+_doubled = f"CAST(substr({_digits}, i, 1) AS INTEGER) * (2 - i % 2)"
+_luhn = f"list_sum(list_transform(range(1, length({_digits}) + 1), lambda i: {_doubled} - CASE WHEN {_doubled} > 9 THEN 9 ELSE 0 END)) % 10 = 0"
+_typed = " ".join(
+    f"WHEN regexp_full_match(v, '{TEXT[k]}'){f' AND {_luhn}' if k == 'CREDIT_CARD' else ''} THEN '{k}'" for k in _ORDER
+)
+
+
+def _spans(source: str, keys: str) -> str:
+    pattern = "|".join(f"(?:{TEXT[k]})" for k in _ORDER)
+    return f"""
+    WITH f AS (SELECT {keys}, regexp_extract_all(text, '{pattern}') AS found FROM {source}),
+    u AS (SELECT {keys}, i AS place, found[i] AS v FROM f, unnest(range(1, len(found) + 1)) AS t(i)),
+    k AS (SELECT {keys}, place, v, CASE {_typed} END AS kind FROM u)
+    SELECT {keys}, md5(coalesce(string_agg(kind || '=' || v, '|' ORDER BY place), '')) AS digest,
+      {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k.lower()}" for k in _ORDER)}
+    FROM {source} LEFT JOIN (SELECT * FROM k WHERE kind IS NOT NULL) USING ({keys}) GROUP BY {keys}"""
+
+
+ORACLES["text_spans_documents"] = _spans("documents", "doc_id")
+ORACLES["text_spans_conversations"] = _spans("conversations", "conv_id, turn")
+
+# ---- known persons: every value looked for in every text
+
+_known = {"email": "email", "phone": "phone", "account": "account_number", "name": "first_name || ' ' || last_name"}
+
+
+def _persons(source: str, keys: str, number: str) -> str:
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS place, lower(regexp_replace({X.strip(v)}, '\\s+', ' ', 'g')) AS value FROM clean_banking"
+        for i, v in enumerate(_known.values())
+    )
+    kinds = "[" + ", ".join(f"'{k}'" for k in _known) + "]"
+    return rf"""
+    WITH {clean_ctes('banking')},
+    said AS (SELECT _bronze_id, ' Seen: ' || upper(email) || ', ' || account_number || '; ' || first_name || '  '
+      || last_name || ' (' || phone || ')' AS said FROM raw_banking),
+    t AS MATERIALIZED (SELECT {keys}, text || coalesce(said, '') AS text,
+      lower(regexp_replace(text || coalesce(said, ''), '\s+', ' ', 'g')) AS low
+      FROM {source} LEFT JOIN said ON _bronze_id = {number}),
+    w AS MATERIALIZED (SELECT value, {kinds}[1 + min(place)] AS kind FROM ({values}) WHERE length(value) >= 5 GROUP BY value),
+    c AS (SELECT {keys}, any_value(text) AS text, string_agg(replace(regexp_escape(value), '\ ', '\s+'), '|' ORDER BY length(value) DESC, value) AS pattern
+      FROM t JOIN w ON contains(low, value) GROUP BY {keys}),
+    f AS (SELECT {keys}, regexp_extract_all(text, '(?i)\b(?:' || pattern || ')\b') AS found FROM c),
+    u AS (SELECT {keys}, i AS place, lower(found[i]) AS v, lower(regexp_replace(found[i], '\s+', ' ', 'g')) AS value
+      FROM f, unnest(range(1, len(found) + 1)) AS x(i)),
+    k AS (SELECT * FROM u JOIN w USING (value))
+    SELECT {keys}, md5(coalesce(string_agg(v, '|' ORDER BY place), '')) AS digest,
+      {', '.join(f"count(*) FILTER (kind = '{k}') AS n_known_{k}" for k in _known)}
+    FROM {source} LEFT JOIN k USING ({keys}) GROUP BY {keys}"""
+
+
+ORACLES["known_persons_documents"] = _persons("documents", "doc_id", "doc_id % 700")
+ORACLES["known_persons_conversations"] = _persons("conversations", "conv_id, turn", "conv_id * 7 + turn")

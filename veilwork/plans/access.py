@@ -102,6 +102,31 @@ def scan_text(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, *counts)
 
 
+# A text's spans, the formats tried in order at each place.
+SPAN_PATTERN = "|".join(f"(?:{TEXT_PATTERNS[kind]})" for kind in REDACT_ORDER)
+
+
+def span_kind(span: Column) -> Column:
+    """The format of a span that SPAN_PATTERN has found. NULL for a card number whose check digit
+    is wrong, unless it may be a bank account's."""
+    kind = None
+    for name in REDACT_ORDER:
+        fits = span.rlike(f"\\A(?:{TEXT_PATTERNS[name]})\\z")
+        if name == "CREDIT_CARD":
+            fits &= F.call_function("luhn_check", F.translate(span, " -", ""))
+        kind = F.when(fits, name) if kind is None else kind.when(fits, name)
+    return kind
+
+
+def text_spans(text: Column) -> Column:
+    """Personal data in a text as array<struct<kind, value>>: spans that do not overlap, each of one kind."""
+    found = F.regexp_extract_all(text, F.lit(SPAN_PATTERN), F.lit(0))
+    typed = F.transform(found, lambda x: F.struct(span_kind(x).alias("kind"), x.alias("value")))
+    suspect = may_contain(text, "EMAIL") | may_contain(text, "PHONE") | may_contain(text, "MEDICAL_RECORD")
+    none = F.array().cast("array<struct<kind:string,value:string>>")
+    return F.coalesce(F.when(suspect, F.filter(typed, lambda x: x["kind"].isNotNull())), none)
+
+
 def redact_text(text: Column) -> Column:
     """The text with every match replaced by [KIND]."""
     clean = text

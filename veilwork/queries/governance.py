@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veilwork.functions import masks as M
 from veilwork.operators.keys import stable_hash
 from veilwork.operators.profile import column_counts
-from veilwork.plans import access, gold, reports, rules, silver
+from veilwork.plans import access, gold, persons, reports, rules, silver
 from veilwork.plans.star import dimension_rows, fact_rows, row_counts
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
@@ -311,6 +311,54 @@ def _(spark, folder):
     return out.withColumn("share", F.round("share", 6))
 
 
+def _span_table(df, text, keep):
+    rows = df.select(*keep, access.text_spans(F.col(text)).alias("spans"))
+    listed = F.array_join(F.transform("spans", lambda x: F.concat(x["kind"], F.lit("="), x["value"])), "|")
+    return persons.span_counts(rows.select(*keep, F.md5(listed).alias("digest"), "spans"), access.REDACT_ORDER)
+
+
+@query("text_spans_documents")
+def _(spark, folder):
+    """Spans of personal data per document, each of one kind, card numbers by their check digit."""
+    return _span_table(table(spark, folder, "documents"), "text", ["doc_id"])
+
+
+@query("text_spans_conversations")
+def _(spark, folder):
+    return _span_table(table(spark, folder, "conversations"), "text", ["conv_id", "turn"])
+
+
+def _mentioning(spark, folder, name, number):
+    """A table's texts, each followed by a sentence about one customer of the bank."""
+    raw = raw_domain(spark, folder, "banking").select(
+        F.col("_bronze_id").alias("_of"),
+        F.concat(F.lit(" Seen: "), F.upper("email"), F.lit(", "), "account_number", F.lit("; "), "first_name",
+                 F.lit("  "), "last_name", F.lit(" ("), "phone", F.lit(")")).alias("_said"),
+    )
+    rows = table(spark, folder, name).withColumn("_of", number)
+    return rows.join(raw, "_of", "left").withColumn("text", F.concat("text", F.coalesce("_said", F.lit(""))))
+
+
+def _known_persons(spark, folder, rows, keep):
+    silver_rows = materialize(_banking(spark, folder).select("email", "phone", "account_number", "first_name", "last_name"), "known")
+    found = persons.known_spans(rows, persons.known_values([silver_rows]), "text", keep)
+    values = F.array_join(F.transform("spans", lambda x: F.lower(x["value"])), "|")
+    return persons.span_counts(found.select(*keep, F.md5(values).alias("digest"), "spans"), persons.KINDS[:3] + persons.KINDS[4:])
+
+
+@query("known_persons_documents")
+def _(spark, folder):
+    """Customers named in documents: emails, phones, accounts and names, in any case."""
+    rows = _mentioning(spark, folder, "documents", F.col("doc_id") % 700)
+    return _known_persons(spark, folder, rows, ["doc_id"])
+
+
+@query("known_persons_conversations")
+def _(spark, folder):
+    rows = _mentioning(spark, folder, "conversations", F.col("conv_id") * 7 + F.col("turn"))
+    return _known_persons(spark, folder, rows, ["conv_id", "turn"])
+
+
 # ---- audit ----------------------------------------------------------------------------
 
 
