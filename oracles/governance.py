@@ -289,3 +289,49 @@ def _persons(source: str, keys: str, number: str) -> str:
 
 ORACLES["known_persons_documents"] = _persons("documents", "doc_id", "doc_id % 700")
 ORACLES["known_persons_conversations"] = _persons("conversations", "conv_id, turn", "conv_id * 7 + turn")
+
+# ---- keys found in the data
+
+
+def _key_checks(domain: str, table=lambda name: name) -> list[str]:
+    """One SELECT per declared key of a domain; `table` names the CTE of a star table."""
+    spec, out = DOMAINS[domain], []
+    fact = table(f"{domain}_{spec.fact.name}")
+    for d in spec.dims:
+        own, key = table(f"{domain}_{d.name}"), d.fact_key or d.key
+        repeated = f"SELECT count(*) FROM (SELECT {d.key} FROM {own} WHERE {d.key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+        out.append(
+            f"SELECT 'star_{domain}' AS schema_name, '{d.name}' AS table_name, '{d.key}' AS column_name, 'PRIMARY KEY' AS constraint_type, "
+            f"NULL AS ref_table, NULL AS ref_column, (SELECT count(*) - count({d.key}) FROM {own}) + ({repeated}) AS violations"
+        )
+        out.append(
+            f"SELECT 'star_{domain}', '{spec.fact.name}', '{key}', 'FOREIGN KEY', '{d.name}', '{d.key}', (SELECT count(DISTINCT {key}) FROM {fact} "
+            f"WHERE {key} NOT IN (SELECT {d.key} FROM {own} WHERE {d.key} IS NOT NULL))"
+        )
+    return out
+
+
+ORACLES["declared_keys"] = f"WITH {_STARS} " + " UNION ALL ".join(x for n in DOMAINS for x in _key_checks(n))
+_swap = {"medical_dim_diagnosis": "few", "medical_dim_doctor": "twice", "medical_dim_location": "keyless"}
+ORACLES["broken_keys"] = f"""
+    WITH {star_ctes('medical')},
+    few AS (SELECT * FROM medical_dim_diagnosis WHERE diagnosis NOT LIKE '%7'),
+    twice AS (SELECT * FROM medical_dim_doctor UNION ALL SELECT * FROM medical_dim_doctor WHERE doctor_name LIKE '%Rao'),
+    keyless AS (SELECT CASE WHEN city <> 'Ranchi' THEN location_key END AS location_key FROM medical_dim_location)
+    SELECT * FROM ({' UNION ALL '.join(_key_checks('medical', lambda t: _swap.get(t, t)))}) WHERE violations > 0"""
+
+_ints = [
+    ("region", "r_regionkey"), ("nation", "n_nationkey"), ("nation", "n_regionkey"), ("customer", "c_custkey"),
+    ("customer", "c_nationkey"), ("supplier", "s_suppkey"), ("supplier", "s_nationkey"), ("part", "p_partkey"),
+    ("part", "p_size"), ("orders", "o_orderkey"), ("orders", "o_custkey"), ("lineitem", "l_orderkey"),
+    ("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("lineitem", "l_linenumber"), ("events", "event_id"),
+    ("events", "user_id"), ("labels", "doc_id"), ("labels", "quality"), ("labels", "toxic"), ("documents", "doc_id"),
+    ("documents", "n_chars"),
+]
+ORACLES["inclusion_dependencies"] = " UNION ALL ".join(
+    f"SELECT '{t}.{c}' AS column_name, '{u}.{d}' AS within_column WHERE NOT EXISTS "
+    f"(SELECT {c} FROM {t} WHERE {c} NOT IN (SELECT {d} FROM {u}))"
+    for t, c in _ints
+    for u, d in _ints
+    if (t, c) != (u, d)
+)

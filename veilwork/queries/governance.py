@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 
 from veilwork.functions import masks as M
+from veilwork.operators import dependencies
 from veilwork.operators.keys import stable_hash
 from veilwork.operators.profile import column_counts
 from veilwork.plans import access, gold, persons, reports, rules, silver
@@ -16,7 +17,7 @@ from veilwork.plans.star import dimension_rows, fact_rows, row_counts
 from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain, table
 from veilwork.queries.warehouse import BUCKETS, silver_rows
-from veilwork.schemas import DOMAINS, star_constraints
+from veilwork.schemas import DOMAINS, star_constraints, star_references
 from veilwork.session import materialize, scratch_path
 from veilwork.sources.tables import TableStore
 
@@ -172,6 +173,45 @@ def _(spark, folder):
     )
 
 
+# ---- keys found in the data -------------------------------------------------------------
+
+
+def _checked(tables):
+    references = star_references()
+    return dependencies.check_constraints(tables, [b for _, b in references], references)
+
+
+@query("declared_keys")
+def _(spark, folder):
+    """Every declared key of the star tables, checked against the data."""
+    return _checked(warehouse(spark, folder))
+
+
+@query("broken_keys")
+def _(spark, folder):
+    """The same with planted faults: diagnoses that are gone, doctors that are there twice, places without a key."""
+    tables = warehouse(spark, folder)
+    diagnoses, doctors, places = (("star_medical", f"dim_{x}") for x in ("diagnosis", "doctor", "location"))
+    tables[diagnoses] = tables[diagnoses].where("diagnosis NOT LIKE '%7'")
+    tables[doctors] = tables[doctors].unionByName(tables[doctors].where("doctor_name LIKE '%Rao'"))
+    tables[places] = tables[places].withColumn("location_key", F.when(F.col("city") != "Ranchi", F.col("location_key")))
+    return _checked({k: v for k, v in tables.items() if k[0] == "star_medical"} | {
+        k: v for k, v in tables.items() if k[0] != "star_medical"
+    }).where("schema_name = 'star_medical' AND violations > 0")
+
+
+@query("inclusion_dependencies")
+def _(spark, folder):
+    """Columns of the given tables all of whose values occur in another column."""
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels", "documents")
+    tables = {("given", n): table(spark, folder, n) for n in names}
+    keys = {k: df.select(*[c for c, t in df.dtypes if t in ("bigint", "int")]) for k, df in tables.items()}
+    columns = dependencies.column_names(keys)
+    found = dependencies.inclusions(dependencies.column_values(keys), len(columns))
+    listed = F.array(*map(F.lit, [".".join(x[1:]) for x in columns]))
+    return found.select(F.get(listed, "column").alias("column_name"), F.get(listed, "within").alias("within_column"))
+
+
 # ---- masking --------------------------------------------------------------------------
 
 

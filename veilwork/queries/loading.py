@@ -10,6 +10,7 @@ from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain
 from veilwork.schemas import DOMAINS
 from veilwork.session import scratch_path
+from veilwork.sources import compact
 from veilwork.sources.csv_drop import ingest, list_files
 from veilwork.sources.tables import TableStore
 from veilwork.streaming import audit, ingest as stream
@@ -259,6 +260,22 @@ def _(spark, folder):
     return _bronze_digest(store)
 
 
+@query("packed_loads")
+def _(spark, folder):
+    """Bronze banking after eight small loads were packed, and what a reader planned before sees."""
+    store = _store(spark)
+    rows = raw_domain(spark, folder, "banking")
+    for i in range(8):
+        drop = scratch_path(spark, "drop")
+        rows.where(F.col("_bronze_id") % 8 == i).drop("_bronze_id").write.option("header", True).option("escape", '"').csv(drop)
+        ingest(store, drop)
+    reader = _bronze_digest(store)
+    packed = compact.pack_loads(store, "banking")
+    files = compact.files_read(store, "banking")
+    same = _bronze_digest(store).intersect(reader).count()
+    return _bronze_digest(store).select("*", F.lit(packed).cast("bigint").alias("loads_packed"), F.lit(files).cast("bigint").alias("files"), F.lit(same == 1).alias("same_rows"))
+
+
 @query("batch_then_stream")
 def _(spark, folder):
     """Files that a batch run has loaded add nothing when a stream comes upon them."""

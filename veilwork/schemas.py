@@ -281,3 +281,12 @@ def star_constraints() -> list[tuple[str, str, str, str]]:
             rows.append((schema, dim.name, dim.key, "PRIMARY KEY"))
             rows.append((schema, domain.fact.name, dim.fact_key or dim.key, "FOREIGN KEY"))
     return rows
+
+
+def star_references() -> list[tuple[tuple[str, str, str], tuple[str, str, str]]]:
+    """(fact key, dimension key) of every foreign key, as (schema, table, column)."""
+    return [
+        ((f"star_{d.name}", d.fact.name, dim.fact_key or dim.key), (f"star_{d.name}", dim.name, dim.key))
+        for d in DOMAINS.values()
+        for dim in d.dims
+    ]

@@ -30,6 +30,11 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+# Loads whose rows were packed into another partition; see sources/compact.py.
+PACKS = "bronze/_packs"
+PACKS_SCHEMA = "domain string, load_id string, pack_id string"
+FROM_LOAD = "_from_load"  # in packs, the load of a row
+
 LAYOUT = "_layout"
 RUN = "_run"
 
@@ -144,8 +149,13 @@ class TableStore:
         The join prunes the scan to the partitions of these loads at run time. Files that a
         failed load left behind have no manifest entry and stay invisible.
         """
-        schema = T.StructType([*DOMAINS[domain].bronze_schema, T.StructField("_load_id", T.StringType())])
+        names = DOMAINS[domain].bronze_schema.names
+        extra = [T.StructField(FROM_LOAD, T.StringType()), T.StructField("_load_id", T.StringType())]
         loads = self.committed_loads(domain) if loads is None else loads
-        rows = self.read(f"bronze/{domain}", schema)
-        found = rows.join(loads.select(F.col("load_id").alias("_load_id")).distinct(), "_load_id", "left_semi")
-        return found if with_load else found.drop("_load_id")
+        rows = self.read(f"bronze/{domain}", T.StructType([*DOMAINS[domain].bronze_schema, *extra]))
+        packs = self.read(PACKS, PACKS_SCHEMA).where(F.col("domain") == domain).select(F.col("load_id").alias("_load"), "pack_id")
+        wanted = loads.select("load_id").distinct().join(packs, F.col("load_id") == F.col("_load"), "left")
+        wanted = wanted.select(F.coalesce("pack_id", "load_id").alias("_part"), F.col("load_id").alias("_of"))
+        load = F.coalesce(FROM_LOAD, "_load_id")
+        found = rows.join(wanted, (F.col("_load_id") == F.col("_part")) & (load == F.col("_of")), "left_semi")
+        return found.select(*names, *([load.alias("_load_id")] if with_load else []))
