@@ -67,9 +67,20 @@ _by_name = (
     )
     + " END"
 )
-_by_format = """CASE WHEN email_match_ratio >= 0.6 THEN 'EMAIL' WHEN phone_match_ratio >= 0.6 THEN 'PHONE'
-  WHEN bank_account_match_ratio >= 0.6 THEN 'BANK_ACCOUNT_NUMBER' WHEN credit_card_match_ratio >= 0.6 THEN 'FINANCIAL_INFORMATION' END"""
-_share = "greatest(email_match_ratio, phone_match_ratio, bank_account_match_ratio, credit_card_match_ratio)"
+# Formats of the rules alone, and how a sample fits them.
+_card = "reverse(regexp_replace(value, '[ -]', '', 'g'))"
+_twice = f"CAST(substr({_card}, i, 1) AS INTEGER) * (2 - i % 2)"
+_check = f"list_sum(list_transform(range(1, length({_card}) + 1), lambda i: {_twice} - CASE WHEN {_twice} > 9 THEN 9 ELSE 0 END)) % 10 = 0"
+_fits = {
+    "record_share": "regexp_full_match(value, '(?i)MRN[-_ ]?([A-Z0-9]+-)*[A-Z0-9]{5,20}')",
+    "card_share": f"CASE WHEN regexp_full_match(value, '([0-9][ -]?){{12,18}}[0-9]') THEN {_check} ELSE false END",
+    "birth_share": "regexp_full_match(value, '(19[0-9][0-9]|200[0-9])[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](19[0-9][0-9]|200[0-9])')",
+}
+_own_shares = ", ".join(f"count(*) FILTER ({test}) / count(*) AS {name}" for name, test in _fits.items())
+_by_format = """CASE WHEN email_match_ratio >= 0.6 THEN 'EMAIL' WHEN record_share >= 0.6 THEN 'MEDICAL_RECORD_NUMBER'
+  WHEN phone_match_ratio >= 0.6 THEN 'PHONE' WHEN card_share >= 0.6 THEN 'FINANCIAL_INFORMATION'
+  WHEN bank_account_match_ratio >= 0.6 THEN 'BANK_ACCOUNT_NUMBER' END"""
+_share = "greatest(email_match_ratio, record_share, phone_match_ratio, card_share, bank_account_match_ratio)"
 _level = " ".join(f"WHEN '{t}' THEN '{level}'" for t, level in SENSITIVITY_POLICY.items())
 _technique = """WHEN 'EMAIL' THEN 'PARTIAL_EMAIL' WHEN 'PHONE' THEN 'KEEP_LAST_4' WHEN 'BANK_ACCOUNT_NUMBER' THEN 'KEEP_LAST_4'
   WHEN 'PERSON_NAME' THEN 'INITIAL' WHEN 'DATE_OF_BIRTH' THEN 'YEAR_ONLY' WHEN 'MEDICAL_RECORD_NUMBER' THEN 'KEYED_HASH'
@@ -80,7 +91,7 @@ SCAN = f"""
 WITH {_STARS},
 counted AS MATERIALIZED ({' UNION ALL '.join(_counted)}),
 sampled AS MATERIALIZED ({' UNION ALL '.join(_sampled)}),
-feats AS (SELECT schema_name, table_name, column_name, {features()} FROM sampled GROUP BY 1, 2, 3),
+feats AS (SELECT schema_name, table_name, column_name, {features()}, {_own_shares} FROM sampled GROUP BY 1, 2, 3),
 formed AS (SELECT c.*, {_by_format} AS by_format, coalesce({_share}, 0.0) AS share
           FROM counted c LEFT JOIN feats f USING (schema_name, table_name, column_name)),
 ruled AS (SELECT *, {_by_name} AS by_name FROM formed),
@@ -335,3 +346,21 @@ ORACLES["inclusion_dependencies"] = " UNION ALL ".join(
     for u, d in _ints
     if (t, c) != (u, d)
 )
+
+# Text columns with names that say nothing: only the values tell. Samples are the rows of lowest key hash.
+_HIDDEN = """h AS (SELECT c_custkey, 'MRN-2025-' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS campaign,
+  CASE WHEN c_custkey % 2 = 0 THEN '4111 1111 1111 1111' ELSE '5500005555555559' END AS course,
+  CASE WHEN c_custkey % 2 = 0 THEN '4111111111111112' ELSE CAST(100000000000 + c_custkey AS VARCHAR) END AS department,
+  '12/07/' || CAST(1950 + c_custkey % 50 AS VARCHAR) AS channel,
+  '12/07/' || CAST(2020 + c_custkey % 5 AS VARCHAR) AS note FROM customer)"""
+_hidden = ["c_custkey", "campaign", "course", "department", "channel", "note"]
+_hidden_name = "CASE WHEN column_name = 'c_custkey' THEN 'DIRECT_IDENTIFIER' WHEN column_name <> 'note' AND by_format IS NULL THEN 'NON_PII' END"
+ORACLES["rule_formats"] = f"""
+    WITH {_HIDDEN}, sampled AS ({samples('h', _hidden, 'c_custkey')}),
+    feats AS (SELECT column_name, {features()}, {_own_shares} FROM sampled GROUP BY 1),
+    formed AS (SELECT *, coalesce({_by_format}, CASE WHEN birth_share >= 0.6 THEN 'DATE_OF_BIRTH' END) AS by_format,
+      greatest({_share}, birth_share) AS share FROM feats),
+    ruled AS (SELECT *, {_hidden_name} AS by_name FROM formed)
+    SELECT column_name, coalesce(by_name, by_format, 'NON_PII') AS pii_type,
+      CASE WHEN by_name IS NOT NULL THEN 0.9 WHEN by_format IS NOT NULL THEN share ELSE 0.5 END AS final_confidence,
+      CASE WHEN by_name IS NOT NULL THEN 'NAME' WHEN by_format IS NOT NULL THEN 'VALUES' ELSE 'NONE' END AS evidence FROM ruled"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilwork.functions.patterns import ratio
+
 # Words of a column name and the type they stand for; earlier ones win. A rule
 # of several words needs them next to each other, whole.
 NAME_RULES = (
@@ -26,12 +28,22 @@ PLAIN_NAMES = ("account_type", "campaign", "course", "department", "channel")
 # Names that are never personal data, whatever the values look like: lineage and surrogate keys.
 LINEAGE = r"\A_|(?:\A|_)(?:key|source_file|bronze_id)\z"
 
-# Value format -> type, tried in this order, so that phones come before account numbers.
+# Formats that only these rules use. Record numbers may have several groups, cards
+# are told by their check digit, and a text date may be one of birth if its year is plausible.
+RULE_FORMATS = {
+    "record_share": r"(?i)MRN[-_ ]?(?:[A-Z0-9]+-)*[A-Z0-9]{5,20}",
+    "card_share": r"(?:[0-9][ -]?){12,18}[0-9]",
+    "birth_share": r"(?:19[0-9]{2}|200[0-9])[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19[0-9]{2}|200[0-9])",
+}
+
+# Value format -> type, tried in this order: a card is not an account number, and a phone is neither.
 FORMAT_RULES = (
     ("EMAIL", "email_match_ratio"),
+    ("MEDICAL_RECORD_NUMBER", "record_share"),
     ("PHONE", "phone_match_ratio"),
+    ("FINANCIAL_INFORMATION", "card_share"),
     ("BANK_ACCOUNT_NUMBER", "bank_account_match_ratio"),
-    ("FINANCIAL_INFORMATION", "credit_card_match_ratio"),
+    ("DATE_OF_BIRTH", "birth_share"),
 )
 THRESHOLD = 0.6
 NAME_CONFIDENCE = 0.9
@@ -56,8 +68,24 @@ def values_decide(column: Column) -> Column:
     return (name_type(column) == "NON_PII") & ~F.lower(column).rlike(LINEAGE)
 
 
+def rule_shares(samples: Column, data_type: Column) -> dict[str, Column]:
+    """The share of samples that fit each of RULE_FORMATS. Typed columns have no text dates."""
+
+    def share(name: str) -> Column:
+        def fits(value: Column) -> Column:
+            test = value.rlike(f"\\A(?:{RULE_FORMATS[name]})\\z")
+            if name == "card_share":
+                test &= F.call_function("luhn_check", F.translate(value, " -", ""))
+            return test
+
+        found = ratio(F.size(F.filter(samples, fits)).cast("double"), F.size(samples).cast("double"))
+        return F.when(data_type == "string", found).otherwise(0.0) if name == "birth_share" else found
+
+    return {name: share(name) for name in RULE_FORMATS}
+
+
 def format_type() -> Column:
-    """The type the values suggest, NULL if none; needs the profile features."""
+    """The type the values suggest, NULL if none; needs the profile features and `rule_shares`."""
     found = None
     for pii_type, feature in FORMAT_RULES:
         hit = F.col(feature) >= THRESHOLD
@@ -78,7 +106,7 @@ def classify_by_rules(features: DataFrame) -> DataFrame:
     tells what the type rests on: NAME, VALUES, BOTH or NONE.
     """
     name = F.col("column_name")
-    rows = features.withColumn("_by_format", format_type())
+    rows = features.withColumns(rule_shares(F.col("samples"), F.col("data_type"))).withColumn("_by_format", format_type())
     overruled = values_decide(name) & F.col("_by_format").isNotNull()
     rows = rows.withColumn("_by_name", F.when(~F.coalesce(overruled, F.lit(False)), name_type(name)))
     agree = F.col("_by_name") == F.col("_by_format")

@@ -173,6 +173,25 @@ def _(spark, folder):
     )
 
 
+@query("rule_formats")
+def _(spark, folder):
+    """Customers' record numbers, cards, accounts and dates under names that say nothing of them."""
+    key = F.col("c_custkey").cast("string")
+    even = F.col("c_custkey") % 2 == 0
+    rows = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.concat(F.lit("MRN-2025-"), F.lpad(key, 5, "0")).alias("campaign"),
+        F.when(even, "4111 1111 1111 1111").otherwise("5500005555555559").alias("course"),
+        F.when(even, "4111111111111112").otherwise((F.col("c_custkey") + 100000000000).cast("string")).alias("department"),
+        F.concat(F.lit("12/07/"), (F.col("c_custkey") % 50 + 1950).cast("string")).alias("channel"),
+        F.concat(F.lit("12/07/"), (F.col("c_custkey") % 5 + 2020).cast("string")).alias("note"),
+    )
+    tables = {("star_banking", "dim_hidden"): rows}
+    return rules.classify_by_rules(features_of(spark, tables)).select(
+        "column_name", "pii_type", F.col("final_confidence").cast("double").alias("final_confidence"), "evidence"
+    )
+
+
 # ---- keys found in the data -------------------------------------------------------------
 
 
