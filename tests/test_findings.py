@@ -136,3 +136,24 @@ def test_small_loads_are_packed_and_nothing_else_changes(spark, store, tmp_path)
         "append"
     ).partitionBy("_load_id").parquet(store.path("bronze/banking"))
     assert store.read_bronze("banking").count() == 54
+
+
+def test_types_decide_formats_as_their_text_would(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [
+        (
+            rng.choice([None, 0, 7, -5, 12345, 98765, 9876543210, 5876543210, 12345678, -12345678, 4111111111111111, 10**17, 10**18, -(10**12)]),
+            rng.choice([None, 0.0, -1.5, 1e20, 3.25, float("nan"), float("inf"), float("-inf"), 1e-9, 12345678.0]),
+            rng.choice([None, dt.date(1990, 1, 2), dt.date(9999, 12, 31), dt.date(1, 1, 1)]),
+            rng.choice([None, dt.datetime(2020, 1, 2, 3, 4, 5), dt.datetime(2020, 1, 2, 3, 4, 5, 60)]),
+            rng.choice([None, True, False]),
+        )
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "i bigint, d double, a date, t timestamp, b boolean")
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    for exact in (True, False):
+        got = sorted(map(str, profile_columns(df, exact).collect()))
+        assert got == sorted(map(str, profile_columns(text, exact).collect()))

@@ -127,19 +127,60 @@ def _every_column(df: DataFrame, known: DataFrame, **empty: Column) -> DataFrame
     return joined.select(F.col("_name").alias("column_name"), *values)
 
 
+# Classes of cells whose format follows from their type, as the first character of a long column name.
+TEXT, WHOLE, DECIMAL, DAY, TIME = "txwdi"
+_CLASSES = {
+    "tinyint": WHOLE, "smallint": WHOLE, "int": WHOLE, "bigint": WHOLE, "float": DECIMAL, "double": DECIMAL,
+    "date": DAY, "timestamp": TIME, "timestamp_ntz": TIME,
+}
+
+
 def text_values(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """(keep..., column_name, value): all cells but those of `keep` as stripped text, NULL where empty."""
+    """(keep..., column_name, class, value): all cells but those of `keep` as stripped text, NULL where empty."""
     keep = keep or []
-    long = unpivot_text(df, [c for c in df.columns if c not in keep], keep)
-    return long.select(*keep, "column_name", F.nullif(strip(F.col("value")), F.lit("")).alias("value"))
+    types = dict(df.dtypes)
+    named = {f"{_CLASSES.get(types[c], TEXT)}{c}": F.col(f"`{c}`").cast("string") for c in df.columns if c not in keep}
+    wide = df.select(*keep, *[value.alias(name) for name, value in named.items()])
+    long = wide.unpivot(keep, [F.col(f"`{name}`") for name in named], "column_name", "value")
+    kind = F.substring("column_name", 1, 1)
+    # Odd values of a type (NaN, years of five digits, exponents) are told apart as text.
+    plain = (
+        F.when(kind == WHOLE, True)
+        .when(kind == DECIMAL, ~F.col("value").rlike("[A-Z]"))
+        .when(kind == DAY, F.length("value") == 10)
+        .when(kind == TIME, F.length("value") >= 19)
+        .otherwise(False)
+    )
+    return long.select(
+        *keep,
+        F.substring("column_name", 2, 1 << 20).alias("column_name"),
+        F.when(plain, kind).otherwise(TEXT).alias("class"),
+        F.when(kind == TEXT, F.nullif(strip(F.col("value")), F.lit(""))).otherwise(F.col("value")).alias("value"),
+    )
+
+
+def _typed_format(value: Column, kind: Column, name: str) -> Column:
+    """`looks_like` for a cell of a class: from its length and sign where the type decides."""
+    size, unsigned = F.length(value), ~F.startswith(value, F.lit("-"))
+    whole = {
+        "phone": (size == 10) & (F.substring(value, 1, 1) >= "6"),
+        "credit_card": unsigned & size.between(13, 19),
+        "bank_account": unsigned & size.between(8, 18),
+        "medical_record": unsigned & size.between(5, 20),
+        "numeric": F.lit(True),
+        "alphanumeric": unsigned,
+    }
+    test = F.when(value.isNull(), False).when(kind == TEXT, looks_like(value, name))
+    test = test.when(kind == WHOLE, whole.get(name, F.lit(False)))
+    return test.when(kind == DECIMAL, name == "numeric").when(kind == DAY, name == "date").otherwise(False)
 
 
 # Counters of a profile that add up over parts of a table, and how.
 ADDED = ("records", "values", *PROFILE_FEATURES[:9], "_length", "_squares", "_words", "_digits")
 
 
-def _counters(n: Column, value: Column) -> list[Column]:
-    """Aggregates over values that each stand for `n` cells."""
+def _counters(n: Column, value: Column, kind: Column) -> list[Column]:
+    """Aggregates over values of a class that each stand for `n` cells."""
     length = F.length(value).cast("double")
 
     def total(test: Column) -> Column:
@@ -148,11 +189,11 @@ def _counters(n: Column, value: Column) -> list[Column]:
     return [
         F.sum(n).alias("records"),
         total(value.isNotNull()).alias("values"),
-        *[total(looks_like(value, kind)).alias(name) for kind, name in zip(PATTERNS, PROFILE_FEATURES)],
+        *[total(_typed_format(value, kind, p)).alias(name) for p, name in zip(PATTERNS, PROFILE_FEATURES)],
         F.sum(n * length).alias("_length"),
         F.sum(n * length * length).alias("_squares"),
-        F.sum(n * word_count(value)).alias("_words"),
-        total(has_digit(value)).alias("_digits"),
+        F.sum(n * F.when(kind == TEXT, word_count(value)).when(kind == TIME, 2).otherwise(F.when(value.isNotNull(), 1))).alias("_words"),
+        total(F.when(kind == TEXT, has_digit(value)).otherwise(value.isNotNull())).alias("_digits"),
         F.min(length).alias("_min"),
         F.max(length).alias("_max"),
     ]
@@ -196,12 +237,14 @@ def profile_columns(df: DataFrame, exact_unique: bool = False) -> DataFrame:
     """
     long = text_values(df)
     if exact_unique:
-        long = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        long = long.groupBy("column_name", "class", "value").agg(F.count(F.lit(1)).alias("_n"))
         distinct = F.count_distinct(F.lower("value"))
     else:
         long = long.withColumn("_n", F.lit(1).cast("bigint"))
         distinct = F.approx_count_distinct(F.lower("value"))
-    raw = long.groupBy("column_name").agg(*_counters(F.col("_n"), F.col("value")), distinct.alias("_distinct"))
+    raw = long.groupBy("column_name").agg(
+        *_counters(F.col("_n"), F.col("value"), F.col("class")), distinct.alias("_distinct")
+    )
     return _features(raw)
 
 
@@ -214,7 +257,7 @@ def profile_parts(df: DataFrame, by: list[str]) -> DataFrame:
     """
     value = F.col("value")
     return text_values(df, by).groupBy(*by, "column_name").agg(
-        *_counters(F.lit(1).cast("bigint"), value),
+        *_counters(F.lit(1).cast("bigint"), value, F.col("class")),
         F.hll_sketch_agg(F.lower(value), SKETCH_LOG).alias("_seen"),
         F.kll_sketch_agg_bigint(F.length(value).cast("bigint")).alias("_lengths"),
     )

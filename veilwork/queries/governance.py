@@ -32,7 +32,7 @@ def warehouse(spark, folder):
         table_name, df = item
         return table_name, materialize(df, table_name)
 
-    for name in DOMAINS:
+    def load(name):
         # Settled first, since each star table is derived from it.
         rows = materialize(silver_rows(spark, folder, name), f"silver-{name}")
         spec = DOMAINS[name]
@@ -40,7 +40,12 @@ def warehouse(spark, folder):
         with ThreadPoolExecutor(4) as pool:
             dims = dict(pool.map(settle, lazy.items()))
         tables = dims | {spec.fact.name: materialize(fact_rows(rows, spec, dims), spec.fact.name)}
-        out |= {(f"star_{name}", table_name): df for table_name, df in tables.items()}
+        return {(f"star_{name}", table_name): df for table_name, df in tables.items()}
+
+    # The domains are independent of one another.
+    with ThreadPoolExecutor(len(DOMAINS)) as pool:
+        for tables in pool.map(load, DOMAINS):
+            out |= tables
     return out
 
 
