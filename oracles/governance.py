@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from oracles import exprs as X
-from oracles.exprs import clean_ctes
+from oracles.exprs import FIELDS, clean_ctes
 from oracles.profiling import counts, features, samples
 from oracles.warehouse import star_ctes
 from veilwork.queries.views import AUDIT
@@ -364,3 +364,9 @@ ORACLES["rule_formats"] = f"""
     SELECT column_name, coalesce(by_name, by_format, 'NON_PII') AS pii_type,
       CASE WHEN by_name IS NOT NULL THEN 0.9 WHEN by_format IS NOT NULL THEN share ELSE 0.5 END AS final_confidence,
       CASE WHEN by_name IS NOT NULL THEN 'NAME' WHEN by_format IS NOT NULL THEN 'VALUES' ELSE 'NONE' END AS evidence FROM ruled"""
+
+_education = {f"star_education/{t}": (f"education_{t}", c) for t, c in star_columns("education").items()}
+_education["silver/education"] = ("silver_education", ["_bronze_id", *FIELDS["education"], "city", "state"])
+ORACLES["counts_from_footers"] = f"WITH {star_ctes('education')} " + " UNION ALL ".join(
+    counts(cte, columns, f"'{name}' AS table_name, ") for name, (cte, columns) in _education.items()
+)

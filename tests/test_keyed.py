@@ -165,3 +165,20 @@ def test_epochs_settle_their_own_loads_and_repeats_add_nothing(spark, tmp_path,
         assert stream.settle_epoch(store, DOMAINS["banking"], AS_OF, store.manifest(), run) == 0
     stream.stream_silver(store, "banking", AS_OF, marks + "2").awaitTermination()
     assert len(settled()) == 3
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    from veilwork.sources import footers
+
+    store = TableStore(spark, str(tmp_path / "w"), 3)
+    table = Keyed("t", T.StructType.fromDDL("k bigint, `odd name` string, d date"), ("k",))
+    rows = spark.range(50).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 5 == 0, "x").alias("odd name"), F.lit(None).cast("date").alias("d")
+    )
+    for run in ("a", "b"):
+        store.append_keyed(table, rows, run)
+    found = footers.stored_counts(store, {"t": table.schema, "none": T.StructType.fromDDL("v int")}).collect()
+    assert sorted(map(tuple, found)) == [("none", "v", 0, 0), ("t", "d", 100, 0), ("t", "k", 100, 100), ("t", "odd name", 100, 20)]
+    plan = footers.footer_counts(footers.counting_session(spark), store.path("t"), table.schema)._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

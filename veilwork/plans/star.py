@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from veilwork.schemas import DOMAINS, Dim, Domain
 from veilwork.session import materialize
 from veilwork.sources.tables import RUN, Keyed, TableStore
 
+SIDE_BY_SIDE = 4  # dimensions loaded at the same time
 MATCH = "_match"
 RUNS = "star/_runs"
 RUNS_SCHEMA = "run_id string, domain string, silver_run string"
@@ -139,6 +141,28 @@ def fresh_rows(store: TableStore, domain: Domain, done: DataFrame, rescan: bool)
     return absent_from(silver, store.keyed(fact_table(domain)), ["_bronze_id"], buckets=store.buckets)
 
 
+def _settle_members(
+    store: TableStore, domain: Domain, spec: Dim, fresh: DataFrame, run: str, buckets: int
+) -> tuple[DataFrame, int]:
+    """Add a batch's new members to a dimension; returns the members the batch may use, and how many are new."""
+    table = dim_table(domain, spec)
+    stored = store.keyed(table)
+    if spec.is_date:
+        members = date_members(fresh, spec.attrs[0])
+    else:
+        members = fresh.select(*spec.attrs).distinct()
+    known = materialize(known_members(stored, members, spec, store.buckets), spec.name)
+    if spec.is_date:
+        new = date_members(fresh, spec.attrs[0], known)
+    else:
+        new = with_surrogate_keys(
+            new_members(fresh, spec, known), spec.attrs, spec.key, max_key(stored, spec.key), buckets
+        )
+    new = materialize(new, spec.name)
+    store.append_keyed(table, new.withColumn(MATCH, match_hash(stored_match(spec))), run)
+    return known.unionByName(new.select(*known.columns)), new.count()
+
+
 def load_star(
     store: TableStore, name: str, buckets: int = KEY_BUCKETS, rescan: bool = False
 ) -> dict[str, int]:
@@ -158,25 +182,11 @@ def load_star(
     fresh = materialize(fresh_rows(store, domain, done, rescan), f"fresh-{name}")
     added = {table: 0 for table in (*[d.name for d in domain.dims], domain.fact.name)}
     if not fresh.isEmpty():
-        dims = {}
-        for spec in domain.dims:
-            table = dim_table(domain, spec)
-            stored = store.keyed(table)
-            if spec.is_date:
-                members = date_members(fresh, spec.attrs[0])
-            else:
-                members = fresh.select(*spec.attrs).distinct()
-            known = materialize(known_members(stored, members, spec, store.buckets), spec.name)
-            if spec.is_date:
-                new = date_members(fresh, spec.attrs[0], known)
-            else:
-                new = with_surrogate_keys(
-                    new_members(fresh, spec, known), spec.attrs, spec.key, max_key(stored, spec.key), buckets
-                )
-            new = materialize(new, spec.name)
-            store.append_keyed(table, new.withColumn(MATCH, match_hash(stored_match(spec))), run)
-            added[spec.name] = new.count()
-            dims[spec.name] = known.unionByName(new.select(*known.columns))
+        # Dimensions are independent of one another.
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            settled = list(pool.map(lambda spec: _settle_members(store, domain, spec, fresh, run, buckets), domain.dims))
+        dims = {spec.name: members for spec, (members, _) in zip(domain.dims, settled, strict=True)}
+        added |= {spec.name: n for spec, (_, n) in zip(domain.dims, settled, strict=True)}
         facts = materialize(fact_rows(fresh, domain, dims), domain.fact.name)
         added[domain.fact.name], expected = facts.count(), fresh.count()
         if added[domain.fact.name] != expected:

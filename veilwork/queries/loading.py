@@ -10,7 +10,7 @@ from veilwork.queries import query
 from veilwork.queries.views import AS_OF, audit_log, raw_domain
 from veilwork.schemas import DOMAINS
 from veilwork.session import scratch_path
-from veilwork.sources import compact
+from veilwork.sources import compact, footers
 from veilwork.sources.csv_drop import ingest, list_files
 from veilwork.sources.tables import TableStore
 from veilwork.streaming import audit, ingest as stream
@@ -169,6 +169,18 @@ def _(spark, folder):
     )
 
 
+@query("counts_from_footers")
+def _(spark, folder):
+    """Rows and values of the loaded education tables, without reading a column."""
+    store, spec = _store(spark), DOMAINS["education"]
+    ingest(store, _drop(spark, folder, ("education",)))
+    silver.process_domain(store, "education", AS_OF)
+    star.load_star(store, "education")
+    tables = {f"star_education/{d.name}": star.dim_schema(spec, d) for d in spec.dims}
+    tables |= {f"star_education/{spec.fact.name}": star.fact_schema(spec), "silver/education": spec.silver_schema}
+    return footers.stored_counts(store, tables)
+
+
 @query("stream_to_silver")
 def _(spark, folder):
     """Banking files through the Bronze and Silver streams, twice."""
