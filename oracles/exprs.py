@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilwork.functions.cleaners import PLACES
+from oracles.fixed import PLACES
 from veilwork.queries.views import AS_OF, VIEWS
 from veilwork.schemas import DOMAINS
 

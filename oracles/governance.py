@@ -2,10 +2,11 @@ from __future__ import annotations
 
 from oracles import exprs as X
 from oracles.exprs import FIELDS, clean_ctes
+from oracles.fixed import SENSITIVITY_POLICY
 from oracles.profiling import counts, features, samples
 from oracles.warehouse import star_ctes
 from veilwork.queries.views import AUDIT
-from veilwork.schemas import DOMAINS, SENSITIVITY_POLICY
+from veilwork.schemas import DOMAINS
 
 DATE_COLUMNS = [
     "date_key", "full_date", "day", "day_name", "week", "month", "month_name", "quarter", "year", "is_weekend",

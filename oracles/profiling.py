@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from oracles import exprs as X
 from oracles.exprs import FIELDS, clean_ctes, hash60, raw_cte
-from veilwork.functions.patterns import KEYWORDS, PROFILE_FEATURES
+from oracles.fixed import KEYWORDS, PROFILE_FEATURES
 
 FORMATS = {
     "email": X.EMAIL,
@@ -75,7 +75,7 @@ def profile(source: str, columns: list[str]) -> str:
     FROM (SELECT column_name, nullif({trimmed}, '') AS value FROM ({long_rows(source, columns)})) GROUP BY 1"""
 
 
-ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice"]
 _orders = "ord AS (SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders)"
 _marketing = ["_bronze_id", *FIELDS["marketing"], "city", "state"]
 _medical = [*FIELDS["medical"], "city", "state"]
@@ -130,11 +130,11 @@ ORACLES = {
         WITH {_orders} SELECT column_name, {_listed} AS samples FROM ({samples('ord', ORDERS, 'o_orderkey')}) GROUP BY 1""",
     "column_samples_sparse": f"""
         WITH {clean_ctes('marketing')} SELECT column_name, {_listed} AS samples
-        FROM ({samples('clean_marketing', [c for c in _marketing if c != 'age'], '_bronze_id')}) GROUP BY 1""",
+        FROM ({samples('clean_marketing', _marketing, '_bronze_id')}) GROUP BY 1""",
     "sample_features": f"""
         WITH {_orders} SELECT column_name, {features()} FROM ({samples('ord', ORDERS, 'o_orderkey')}) GROUP BY 1""",
     "profile_columns": f"WITH {clean_ctes('medical')} {profile('clean_medical', _medical)}",
-    "profile_conversations": profile("conversations", ["turn", "role"]),
+    "profile_conversations": profile("conversations", ["conv_id", "turn", "role", "text"]),
 }
 _kept = ", ".join(
     ["null_ratio", *PROFILE_FEATURES[:9], "avg_length", "std_length", "avg_word_count", "digit_value_ratio", "min_length", "max_length"]

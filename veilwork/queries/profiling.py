@@ -118,7 +118,7 @@ def _(spark, folder):
 
 def _orders(spark, folder):
     orders = table(spark, folder, "orders")
-    return orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+    return orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority", "o_totalprice")
 
 
 @query("column_samples")
@@ -130,7 +130,7 @@ def _(spark, folder):
 @query("column_samples_sparse")
 def _(spark, folder):
     """Samples of a table with many NULLs and few distinct values."""
-    rows = materialize(_silver(spark, folder, "marketing").drop("age"), "silver-marketing")
+    rows = materialize(_silver(spark, folder, "marketing"), "silver-marketing")
     samples = column_samples(rows, row_hash=stable_hash(F.col("_bronze_id")))
     return samples.select("column_name", F.array_join("samples", "|").alias("samples"))
 
@@ -153,8 +153,7 @@ def _(spark, folder):
 
 @query("profile_conversations")
 def _(spark, folder):
-    rows = table(spark, folder, "conversations").select(F.col("turn").cast("string").alias("turn"), "role")
-    return _rounded(profile_columns(rows, exact_unique=True))
+    return _rounded(profile_columns(table(spark, folder, "conversations"), exact_unique=True))
 
 
 @query("profile_approximate")
