@@ -59,3 +59,8 @@ ORACLES = {
         WITH m AS ({split('lineitem', 'l_returnflag', hash60('l_orderkey') + ', l_linenumber', '0.15')})
         SELECT l_returnflag, is_test, count(*) AS n FROM m GROUP BY 1, 2""",
 }
+
+ORACLES["model_invariants"] = """
+    SELECT true AS sums_to_one, true AS predicts_highest, true AS accuracy_recomputed, true AS better_than_most, true AS converged"""
+ORACLES["bundle_round_trip"] = "SELECT true AS same_predictions, 438::BIGINT AS dimensions, true AS classes_sorted, true AS rows_told"
+ORACLES["labelled_round_trip"] = "SELECT 0::BIGINT AS different_rows"

@@ -191,6 +191,7 @@ _digest = """count(*) AS rows, count(*) AS ids, count(DISTINCT customer_id) AS c
   sum(length(address))::BIGINT AS address_chars, count(*) FILTER (contains(address, chr(10))) AS broken_addresses"""
 for _name in ("stream_two_folders", "stream_header_order", "batch_then_stream"):
     ORACLES[_name] = f"SELECT {_digest} FROM ({VIEWS['banking']}) v"
+ORACLES["signature_rules"] = "SELECT true AS one_each, true AS named_and_sized, true AS dated, true AS repeatable"
 ORACLES["packed_loads"] = f"""
     SELECT {_digest}, 8::BIGINT AS loads_packed, 1::BIGINT AS files, true AS same_rows FROM ({VIEWS['banking']}) v"""
 ORACLES["stream_line_breaks"] = f"""SELECT {_digest} FROM (

@@ -54,3 +54,26 @@ def test_unknown_classes_are_refused(spark, rows, tmp_path):
 def test_neural_network(spark, rows):
     model = train.fit(rows, kind=train.NEURAL, max_iter=6)
     assert train.predict(model, rows).count() == rows.count()
+
+
+def test_learned_and_own_text_vectors(spark, rows):
+    result = train.compare(rows, max_iter=15, embeddings=(train.HASHED, train.LEARNED))
+    metrics = {r["approach"]: r["accuracy"] for r in result.metrics.collect()}
+    assert set(metrics) == {f"{a}/{e}" for a in train.APPROACHES for e in (train.HASHED, train.LEARNED)}
+    assert metrics["text/learned"] >= 0.7  # four classes
+    vectors = result.models["text/learned"].transform(rows).select("embedding").limit(5).collect()
+    assert all(v[0].size == train.EMBEDDING_SIZE and abs(v[0].norm(2) - 1) < 1e-9 for v in vectors)
+
+    def encode(sentences):
+        import numpy as np
+
+        out = np.zeros((len(sentences), 384))
+        for i, s in enumerate(sentences):
+            out[i, sum(map(ord, s.split("Column: ")[1].split(".")[0])) % 384] = 1
+        return out
+
+    own = train.with_encoded_text(rows, encode)
+    model = train.fit(own, "text", max_iter=15, embedding="encoded")
+    assert train.predict(model, own).where("predicted = label").count() == rows.count()
+    with pytest.raises(Exception, match="numbers for"):
+        train.with_encoded_text(rows, lambda s: [[0.0]] * len(s)).select("encoded").collect()

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import (
@@ -15,6 +18,7 @@ from pyspark.ml.feature import (
     StandardScaler,
     StringIndexer,
     VectorAssembler,
+    Word2Vec,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +43,8 @@ EMBEDDING_SIZE = 384
 EXTRA_SIZE = len(PROFILE_FEATURES) + len(KEYWORDS) + 2
 FEATURE_SIZE = EMBEDDING_SIZE + EXTRA_SIZE
 SEED = 42
+WORD_VECTOR_PASSES = 10
+TRAINING_ROWS_A_TASK = 20_000
 
 LOGISTIC = "logistic"
 NEURAL = "neural"
@@ -68,10 +74,27 @@ def with_features(rows: DataFrame) -> DataFrame:
     )
 
 
-def text_stages() -> list:
-    """Unit-length hashed TF-IDF of the sentence, standing in for a pretrained embedding."""
+HASHED, LEARNED = "hashed", "learned"
+
+
+def text_stages(kind: str = HASHED) -> list:
+    """A unit-length vector of the sentence, standing in for a pretrained embedding.
+
+    Hashed: TF-IDF of its words. Learned: the mean of word vectors that are fitted on the
+    sentences themselves, so that words of like company lie close.
+    """
+    words = RegexTokenizer(inputCol="semantic_text", outputCol="_words", pattern="[^a-z0-9@.]+")
+    if kind == LEARNED:
+        return [
+            words,
+            Word2Vec(
+                inputCol="_words", outputCol="_mean", vectorSize=EMBEDDING_SIZE, minCount=1, windowSize=5,
+                maxIter=WORD_VECTOR_PASSES, stepSize=0.05, seed=SEED,
+            ),
+            Normalizer(inputCol="_mean", outputCol="embedding"),
+        ]
     return [
-        RegexTokenizer(inputCol="semantic_text", outputCol="_words", pattern="[^a-z0-9@.]+"),
+        words,
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=EMBEDDING_SIZE),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="embedding"),
@@ -88,13 +111,32 @@ def _scaled(inputs: list[str], raw: str, out: str) -> list:
 KEY_FLAGS = ["pk_flag", "fk_flag"]
 
 
+def with_encoded_text(rows: DataFrame, encode: Callable[[list[str]], np.ndarray], column: str = "encoded") -> DataFrame:
+    """Add the vectors that a user's own model gives the sentences, for `fit(embedding=column)`.
+
+    `encode` takes a list of sentences and returns one row of EMBEDDING_SIZE numbers for each. It
+    is called with whole Arrow batches on the executors, so a model loads once per worker if it
+    is cached in the function's module.
+    """
+
+    @F.pandas_udf("array<double>")
+    def vectors(sentences: pd.Series) -> pd.Series:
+        out = np.asarray(encode(sentences.fillna("").tolist()), dtype=float)
+        if out.shape != (len(sentences), EMBEDDING_SIZE):
+            raise ValueError(f"{out.shape} numbers for {len(sentences)} sentences of {EMBEDDING_SIZE}")
+        return pd.Series(list(out))
+
+    return rows.withColumn(column, array_to_vector(vectors("semantic_text")))
+
+
 def feature_stages(approach: str, embedding: str | None = None) -> list:
     """Stages up to `features` for one of the three compared approaches.
 
-    `embedding` names an existing vector column to use instead of the hashed text.
+    `embedding` is HASHED, LEARNED, or names an existing vector column.
     """
-    text = [] if embedding else text_stages()
-    column = embedding or "embedding"
+    built_in = embedding in (None, HASHED, LEARNED)
+    text = text_stages(embedding or HASHED) if built_in else []
+    column = "embedding" if built_in else embedding
     if approach == "text":
         return text + _scaled([column, *KEY_FLAGS], "_raw", "features")
     if approach == "text+patterns":
@@ -128,9 +170,10 @@ def fit(
     max_iter: int | None = None, embedding: str | None = None,
 ) -> PipelineModel:
     """Train on labelled rows that have their features."""
-    weighted = with_class_weights(rows).cache()
+    n, classes = rows.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    # Each iteration is a job over these rows: few rows in many tasks cost more than they gain.
+    weighted = with_class_weights(rows).coalesce(max(1, -(-n // TRAINING_ROWS_A_TASK))).cache()
     try:
-        n, classes = weighted.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
         size = EMBEDDING_SIZE + {"text": 2, "text+patterns": 20, "hybrid": EXTRA_SIZE}[approach]
         index = StringIndexer(
             inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="error"
@@ -190,21 +233,29 @@ class Comparison:
     metrics: DataFrame
 
 
-def compare(rows: DataFrame, kinds: tuple[str, ...] = (LOGISTIC,), max_iter: int | None = None) -> Comparison:
+def compare(
+    rows: DataFrame,
+    kinds: tuple[str, ...] = (LOGISTIC,),
+    max_iter: int | None = None,
+    embeddings: tuple[str, ...] = (HASHED,),
+) -> Comparison:
     """Train each approach on the same split and score it on the held-out rows.
 
-    The neural network is compared on the full feature vector only.
+    The neural network is compared on the full feature vector only. With several embeddings,
+    an approach is named `approach/embedding`.
     """
     marked = materialize(split(rows), "split")
     train, test = marked.where("NOT is_test"), marked.where("is_test")
     jobs = []
-    if LOGISTIC in kinds:
-        jobs += [(approach, approach, LOGISTIC) for approach in APPROACHES]
-    if NEURAL in kinds:
-        jobs.append(("neural", "hybrid", NEURAL))
+    for embedding in embeddings:
+        more = f"/{embedding}" if len(embeddings) > 1 else ""
+        if LOGISTIC in kinds:
+            jobs += [(approach + more, approach, LOGISTIC, embedding) for approach in APPROACHES]
+        if NEURAL in kinds:
+            jobs.append(("neural" + more, "hybrid", NEURAL, embedding))
     models, predictions = {}, {}
-    for name, approach, kind in jobs:
-        models[name] = fit(train, approach, kind, max_iter)
+    for name, approach, kind, embedding in jobs:
+        models[name] = fit(train, approach, kind, max_iter, embedding)
         predictions[name] = predict(models[name], test)
     return Comparison(models, predictions, compare_models(predictions))
 

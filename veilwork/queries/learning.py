@@ -15,7 +15,7 @@ from veilwork.queries import query
 from veilwork.queries.governance import BANKING_TYPES, features_of, warehouse
 from veilwork.queries.views import table
 from veilwork.schemas import star_constraints
-from veilwork.session import materialize
+from veilwork.session import materialize, scratch_path
 from veilwork.sources import labelled
 
 CLASSES = ["bad", "good", "toxic"]
@@ -153,21 +153,84 @@ def _(spark, folder):
 def _(spark, folder):
     """Text only, with patterns, and the full feature set, on one split."""
     rows = train.with_features(training_rows(spark, folder)[1])
-    return train.compare(rows, max_iter=40).metrics
+    return train.compare(rows).metrics
+
+
+@query("model_invariants")
+def _(spark, folder):
+    """What holds for any fitted classifier: chances add up to 1, the highest one is predicted, and
+    the compared accuracy is the share of held-out rows whose prediction is right."""
+    rows = train.with_features(training_rows(spark, folder)[1])
+    result = train.compare(rows)
+    model, found = result.models["hybrid"], materialize(result.predictions["hybrid"], "predictions")
+    chances = vector_to_array("probability")
+    scored = model.transform(rows).select(
+        F.abs(F.aggregate(chances, F.lit(0.0), lambda a, x: a + x) - 1).alias("off"),
+        (F.element_at(chances, F.col("prediction").cast("int") + 1) == F.array_max(chances)).alias("highest"),
+    )
+    one = F.lit(1).alias("one")
+    whole = scored.agg((F.max("off") < 1e-9).alias("sums_to_one"), F.bool_and("highest").alias("predicts_highest"))
+    share = found.agg(F.avg((F.col("predicted") == F.col("label")).cast("double")).alias("share"))
+    told = result.metrics.where("approach = 'hybrid'").select("accuracy", one)
+    converged = model.stages[-1].summary.totalIterations < 3000
+    return whole.select("*", one).join(share.select("*", one), "one").join(told, "one").select(
+        "sums_to_one", "predicts_highest", (F.abs(F.col("share") - F.col("accuracy")) < 1e-6).alias("accuracy_recomputed"),
+        (F.col("accuracy") > 0.8).alias("better_than_most"), F.lit(converged).alias("converged"),
+    )
+
+
+@query("bundle_round_trip")
+def _(spark, folder):
+    """A model written with its description and read back: the same predictions for every row."""
+    rows = materialize(train.with_features(training_rows(spark, folder)[1]), "rows")
+    model, path = train.fit(rows, "text"), scratch_path(spark, "bundle")
+    train.save_bundle(model, path, "1.0.0", rows.count(), "text")
+    loaded, about = train.load_bundle(spark, path)
+    key = ["table_name", "column_name", "sample_group"]
+    first, second = (train.predict(m, rows).select(*key, "predicted", "confidence") for m in (model, loaded))
+    return first.exceptAll(second).agg(
+        (F.count(F.lit(1)) == 0).alias("same_predictions"),
+        F.lit(about["total_feature_dimension"]).cast("bigint").alias("dimensions"),
+        F.lit(about["classes"] == sorted(about["classes"]) and len(about["classes"]) > 10).alias("classes_sorted"),
+        F.lit(about["training_rows"] == rows.count()).alias("rows_told"),
+    )
+
+
+@query("labelled_round_trip")
+def _(spark, folder):
+    """Training rows written as CSV and read back as labelled data: nothing is lost or changed."""
+    rows = training_rows(spark, folder)[1].select(*labelled.COLUMNS)
+    path = scratch_path(spark, "labelled")
+    blank = rows.limit(5).withColumn("label", F.lit(None).cast("string"))
+    padded = rows.withColumn("label", F.concat(F.lit(" "), "label", F.lit(" ")))
+    padded.unionByName(blank).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in labelled.COLUMNS])
+    again = labelled.load(spark, path).select(*labelled.COLUMNS)
+    lost, new = text.exceptAll(again), again.exceptAll(text)
+    return lost.unionByName(new).agg(F.count(F.lit(1)).alias("different_rows"))
+
+
+@query("embedding_comparison")
+def _(spark, folder):
+    """Hashed and learned text vectors, on one split and in every approach."""
+    rows = train.with_features(training_rows(spark, folder)[1])
+    return train.compare(rows, embeddings=(train.HASHED, train.LEARNED)).metrics
 
 
 @query("neural_comparison")
 def _(spark, folder):
     """The neural network on the full feature set."""
-    rows = train.with_features(training_rows(spark, folder, 6)[1])
-    return train.compare(rows, (train.NEURAL,), max_iter=12).metrics
+    rows = train.with_features(training_rows(spark, folder)[1])
+    return train.compare(rows, (train.NEURAL,)).metrics
 
 
 @query("model_scan")
 def _(spark, folder):
     """Every warehouse column classified by a model fitted on all training rows, with rules."""
     tables, rows = training_rows(spark, folder)
-    model = train.fit(train.with_features(rows), max_iter=60)
+    model = train.fit(train.with_features(rows))
     features = materialize(features_of(spark, tables), "features")
     by_model = train.as_scan(model)(features)
     combined = gold.scan_outcome(combine(classify_by_rules(features), by_model))

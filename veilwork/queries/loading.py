@@ -65,6 +65,20 @@ def _(spark, folder):
     return files.select("name", "size", "signature")
 
 
+@query("signature_rules")
+def _(spark, folder):
+    """Signatures: the file's name, size and time in them, one per file, and the same on a second listing."""
+    drop = _drop(spark, folder)
+    files, again = list_files(spark, drop), list_files(spark, drop)
+    parts = F.split("signature", r"\|")
+    return files.agg(
+        (F.count(F.lit(1)) == F.count_distinct("signature")).alias("one_each"),
+        F.bool_and((parts[0] == F.col("name")) & (parts[1] == F.col("size").cast("string"))).alias("named_and_sized"),
+        F.bool_and(F.timestamp_micros(parts[2].cast("bigint")).between(F.lit("2000-01-01").cast("timestamp"), F.now())).alias("dated"),
+        F.lit(files.exceptAll(again).isEmpty()).alias("repeatable"),
+    )
+
+
 @query("manifest")
 def _(spark, folder):
     """Rows per domain as entered in the manifest."""
