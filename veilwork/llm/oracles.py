@@ -77,16 +77,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-# Documents with the same set are one node; links are walked from every node.
-SIMILAR = r"""
+def similar(words: int, percent: int, more: str = "") -> str:
+    """Components of documents whose shingle sets are alike, by comparing all pairs that share a shingle."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ), s AS (
-  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ')
-    ELSE array_to_string(words[i:i + 3], ' ') END AS shingle
-  FROM w, unnest(range(1, 1 + greatest(1, len(words) - 3))) AS u(i) WHERE len(words) > 0
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < {words} THEN array_to_string(words, ' ')
+    ELSE array_to_string(words[i:i + {words - 1}], ' ') END AS shingle
+  FROM w, unnest(range(1, 1 + greatest(1, len(words) - {words - 1}))) AS u(i) WHERE len(words) > 0
 ), n AS (
   SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
 ), p AS (
@@ -94,14 +95,19 @@ WITH RECURSIVE w AS (
   FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), e AS (
   SELECT x, y FROM p JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
-  WHERE 100 * common >= 85 * (nx.size + ny.size - common)
+  WHERE 100 * common >= {percent} * (nx.size + ny.size - common)
 ), r AS (
   SELECT doc_id AS x, doc_id AS y FROM documents
   UNION
   SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
 )
-SELECT r.x AS doc_id, coalesce(max(n.size), 0) AS n_shingles, min(r.y) AS component_id
+SELECT r.x AS doc_id, coalesce(max(n.size), 0) AS n_shingles, min(r.y) AS component_id{more}
 FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x
 """
 
-ORACLES: dict[str, str] = {"op4_mix_sources": MIX, "op7_jaccard_join": SIMILAR, "op9_line_dedup": LINES}
+ORACLES: dict[str, str] = {
+    "op4_mix_sources": MIX,
+    "op7_jaccard_join": similar(4, 85),
+    "op9_line_dedup": LINES,
+    "op12_minhash_dedup": similar(2, 80, ", r.x = min(r.y) AS kept"),
+}
