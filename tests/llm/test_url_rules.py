@@ -84,3 +84,40 @@ def test_mined_rules_are_all_frequent_sure_and_minimal(spark, seed):
     for t in {tuple(t) for t, _ in rows}:
         best = max([v for (c, _), v in want.items() if set(c) <= set(t)], default=None)
         assert found.get(t) == pytest.approx(best) if best else t not in found
+
+
+def test_tokens_that_always_come_together_are_mined_as_one(spark):
+    """Fifteen keys in the same URLs: as many rules, not 2^15; the rules are those of all frequent sets."""
+    keys = "&".join(f"k{c}=1" for c in "abcdefghijklmno")
+    rows = [(f"http://s{i % 3}.org/x?{keys}", "block") for i in range(60)] + [(f"http://s{i % 3}.org/y", "allow") for i in range(540)]
+    df = spark.createDataFrame(rows, "url string, label string").select(url_rules.tokens(F.col("url")).alias("tokens"), "label")
+    rules = url_rules.mine_rules(df).collect()
+    block = {tuple(r["antecedent"]) for r in rules if r["label"] == "block"}
+    assert block == {("folder:x",), *[(f"key:k{c}",) for c in "abcdefghijklmno"]}
+    assert {tuple(r["antecedent"]) for r in rules if r["label"] == "allow"} >= {("folder:y",)}
+    assert all(r["confidence"] == 1.0 for r in rules if r["label"] == "block")
+
+
+def test_rules_are_those_of_a_plain_search(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(300):
+        have = [t for t in "abcdef" if rng.random() < 0.4]
+        have += ["x", "y"] if "a" in have else []  # always together, and with a
+        rows.append((sorted(have), rng.choice(["l1", "l2"]) if "b" not in have else "l1"))
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    got = {(tuple(r["antecedent"]), r["label"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in url_rules.mine_rules(df, 0.02, 0.6).collect()}
+    used = [(set(t), label) for t, label in rows if t]
+    found = {}
+    for n in range(1, 9):
+        for part in itertools.combinations("abcdefxy", n):
+            inside = [label for t, label in used if set(part) <= t]
+            for label in ("l1", "l2"):
+                hits = inside.count(label)
+                if hits and hits / len(used) >= 0.02 and hits / len(inside) >= 0.6:
+                    found[part, label] = (hits / len(inside), hits / len(used))
+    least = {
+        (p, label): (round(c, 9), round(s, 9)) for (p, label), (c, s) in found.items()
+        if not any(m == label and set(q) < set(p) and c2 >= c for (q, m), (c2, _) in found.items())
+    }
+    assert got == least

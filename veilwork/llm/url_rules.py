@@ -91,6 +91,21 @@ def tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(whole, lambda t: t.rlike(r":(?!\d+\z)[^=]"))))
 
 
+def token_groups(sets: DataFrame) -> DataFrame:
+    """(token, group, members) of the tokens in distinct `tokens` sets.
+
+    Tokens that occur in the same sets are a group, named by its first token; two
+    fingerprints of the sets and their number stand for "the same sets".
+    """
+    held = sets.select(
+        F.explode("tokens").alias("token"), F.xxhash64("tokens").alias("x"), F.xxhash64("tokens", F.lit(1)).alias("y")
+    )
+    marks = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    # At most the tokens of one URL: all members are in each of the sets.
+    members = marks.groupBy("n", "x", "y").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return members.select(F.explode("members").alias("token"), F.col("members")[0].alias("group"), "members")
+
+
 def mine_rules(
     labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.8
 ) -> DataFrame:
@@ -99,17 +114,55 @@ def mine_rules(
     Returns (rule_id, antecedent, label, confidence, support). A rule goes if a part of its
     tokens implies the same label as surely. Spark mines the labelled rows in parallel, each
     group of tokens in its own compressed tree. Without labelled rows there are no rules.
+
+    Tokens that always occur together are mined as one: n of them would be in 2^n frequent
+    sets, of which only those with one of them can survive the pruning. Each member then
+    stands in for its group, which gives the same rules.
     """
-    baskets = labelled.where(F.col("label").isNotNull() & (F.size("tokens") > 0)).select(
-        F.concat("tokens", F.array(F.concat(F.lit(LABEL), "label"))).alias("items")
-    )
+    known = labelled.where(F.col("label").isNotNull() & (F.size("tokens") > 0)).select("tokens", "label")
+    sets = known.select("tokens").distinct()
+    groups = token_groups(sets)
+    named = (
+        sets.withColumn("token", F.explode("tokens"))
+        .join(groups.where(F.col("token") == F.col("group")).select("token"), "token")
+        .groupBy("tokens").agg(F.collect_list("token").alias("groups"))
+    )
+    baskets = known.join(named, "tokens").select(F.concat("groups", F.array(F.concat(F.lit(LABEL), "label"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit(LABEL))).select(
+    mined = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit(LABEL))).select(
         F.array_sort("antecedent").alias("antecedent"),
         F.substring(F.col("consequent")[0], 2, 1 << 20).alias("label"),
         "confidence",
         "support",
     )
+    rules = _members_for_groups(_least_rules(mined), groups)
+    return rules.withColumn("rule_id", F.md5(F.concat_ws("\n", F.col("label"), F.col("antecedent")))).select(
+        "rule_id", "antecedent", "label", "confidence", "support"
+    )
+
+
+def _members_for_groups(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every rule once for each choice of one member per group."""
+    facts = ["label", "confidence", "support"]
+    rules = rules.select("rule_id", "antecedent", *facts)
+    choices = rules.select("rule_id", *facts, F.explode("antecedent").alias("group")).join(
+        groups.where(F.col("token") == F.col("group")).select("group", "members"), "group"
+    )
+    listed = choices.groupBy("rule_id", *facts).agg(F.collect_list("members").alias("choices"))
+    # One array of antecedents, widened group by group.
+    every = F.aggregate(
+        "choices",
+        F.array(F.array().cast("array<string>")),
+        lambda done, members: F.flatten(
+            F.transform(done, lambda begun: F.transform(members, lambda m: F.array_append(begun, m)))
+        ),
+    )
+    chosen = listed.select(*facts, F.explode(every).alias("_chosen"))
+    return chosen.select(F.array_sort("_chosen").alias("antecedent"), *facts)
+
+
+def _least_rules(rules: DataFrame) -> DataFrame:
+    """`rules` without those of which a part implies the same label as surely, with a rule_id."""
     rules = rules.withColumn("rule_id", F.md5(F.concat_ws("\n", F.col("label"), F.col("antecedent"))))
     smaller = rules.select(
         F.col("antecedent").alias("_part"), F.col("label").alias("_label"), F.col("confidence").alias("_sure")
