@@ -142,3 +142,4 @@ _kept = ", ".join(
 ORACLES["profile_by_loads"] = f"""
     WITH {raw_cte('banking')}, p AS ({profile('raw_banking', _banking)})
     SELECT column_name, records, values, {_kept}, true AS unique_close, true AS median_close, 2::BIGINT AS loads_sketched FROM p"""
+ORACLES["profile_lineitem"] = f"SELECT * EXCLUDE (unique_ratio), true AS unique_close FROM ({profile('lineitem', _lineitem)})"

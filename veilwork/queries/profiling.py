@@ -160,3 +160,14 @@ def _(spark, folder):
 def _(spark, folder):
     """All columns of lineitem with approximate uniqueness, as used on large tables."""
     return profile_columns(table(spark, folder, "lineitem"))
+
+
+@query("profile_lineitem")
+def _(spark, folder):
+    """The approximate profile of lineitem; unique_close tells whether the estimates are within 15 %
+    (three standard errors) of the exact share of distinct values."""
+    rows = table(spark, folder, "lineitem")
+    exact = profile_columns(rows, exact_unique=True).select(F.col("column_name").alias("_name"), F.col("unique_ratio").alias("_unique"))
+    found = profile_columns(rows).join(exact, F.col("column_name") == F.col("_name"))
+    close = F.abs(F.col("unique_ratio") - F.col("_unique")) <= 0.15 * F.col("_unique")
+    return _rounded(found.withColumn("unique_close", close).drop("unique_ratio", "_unique", "_name"))
