@@ -91,7 +91,7 @@ def test_run_on_the_given_tables(spark):
 
 def test_queries_are_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(llm_queries.QUERIES) <= set(queries()) and "pipeline" in queries()
 
 
