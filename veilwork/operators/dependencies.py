@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -132,7 +131,3 @@ def check_constraints(
         "schema_name", "table_name", "column_name", "constraint_type", "ref_table", "ref_column",
         F.coalesce("missing", "violations", F.lit(0)).cast("bigint").alias("violations"),
     )
-
-
-def qualified(names: Iterable[Name]) -> list[str]:
-    return [".".join(x) for x in names]
