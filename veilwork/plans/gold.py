@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veilwork.functions.dates import date_key, date_parts
 from veilwork.functions.patterns import domain_of_schema, sample_features, semantic_text, table_type
-from veilwork.operators.joins import absent_from, insert_ignore
+from veilwork.operators.joins import insert_ignore
 from veilwork.operators.keys import max_key, with_surrogate_keys
 from veilwork.operators.profile import column_parts, merged_parts
 from veilwork.schemas import PII_TYPES, SENSITIVITY_LEVELS, SENSITIVITY_POLICY
