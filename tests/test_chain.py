@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from veilwork.plans import access, gold, reports, rules, silver, star
 from veilwork.schemas import DOMAINS, star_constraints
 from veilwork.sources.csv_drop import ingest
+from veilwork.sources.tables import MANIFEST, MANIFEST_SCHEMA
 from veilwork.streaming.ingest import stream_bronze, stream_silver
 
 AS_OF = dt.date(2026, 1, 1)
@@ -212,3 +213,15 @@ def test_free_text(spark):
     assert df.select(access.redact_text(F.col("t"))).first()[0] == (
         "mail [EMAIL] or [PHONE], born [DATE], card [CREDIT_CARD], [MEDICAL_RECORD] acct [BANK_ACCOUNT]"
     )
+
+
+def test_bronze_rows_of_one_load_stay_spread(spark, store):
+    spec = DOMAINS["banking"]
+    texts = [F.lit("x").alias(c) for c in spec.source_columns]
+    rows = spark.range(80_000).repartition(8).select(F.col("id").alias("_bronze_id"), *texts, F.lit("one").alias("_load_id"))
+    store.append("bronze/banking", rows, ("_load_id",))
+    entry = spark.createDataFrame([(1, "f", "s", "banking", "b", None, "one", 80_000, 80_000)], MANIFEST_SCHEMA)
+    store.append(MANIFEST, entry)
+    read = store.read_bronze("banking")
+    assert read.count() == 80_000
+    assert read.groupBy(F.spark_partition_id()).count().count() > 1

@@ -147,7 +147,8 @@ class TableStore:
         """Rows of finished loads only, or of those in `loads` (load_id); `with_load` keeps `_load_id`.
 
         The join prunes the scan to the partitions of these loads at run time. Files that a
-        failed load left behind have no manifest entry and stay invisible.
+        failed load left behind have no manifest entry and stay invisible. The loads, one short
+        row each, are broadcast: shuffled, all rows of a load would meet in one task.
         """
         names = DOMAINS[domain].bronze_schema.names
         extra = [T.StructField(FROM_LOAD, T.StringType()), T.StructField("_load_id", T.StringType())]
@@ -157,5 +158,6 @@ class TableStore:
         wanted = loads.select("load_id").distinct().join(packs, F.col("load_id") == F.col("_load"), "left")
         wanted = wanted.select(F.coalesce("pack_id", "load_id").alias("_part"), F.col("load_id").alias("_of"))
         load = F.coalesce(FROM_LOAD, "_load_id")
-        found = rows.join(wanted, (F.col("_load_id") == F.col("_part")) & (load == F.col("_of")), "left_semi")
+        here = (F.col("_load_id") == F.col("_part")) & (load == F.col("_of"))
+        found = rows.join(F.broadcast(wanted), here, "left_semi")
         return found.select(*names, *([load.alias("_load_id")] if with_load else []))
