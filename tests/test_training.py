@@ -44,6 +44,16 @@ def test_compare_and_bundle(spark, rows, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 12
 
 
+def test_training_rows_are_dealt_out_and_in_order(spark, rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(train.Pipeline, "fit", lambda self, weighted: seen.append(weighted))
+    train.fit(rows.repartition(40), "text")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString() + seen[0]._jdf.queryExecution().analyzed().toString()
+    assert "Repartition 1, true" in plan and "Repartition 1, false" not in plan  # false is a coalesce
+    sentences = [r["semantic_text"] for r in seen[0].collect()]
+    assert len(sentences) == 48 and sentences == sorted(sentences)
+
+
 def test_unknown_classes_are_refused(spark, rows, tmp_path):
     model = train.fit(rows.withColumn("label", F.concat("label", F.lit("?"))), max_iter=2)
     train.save_bundle(model, str(tmp_path / "bundle"), "1.0.0", 1)

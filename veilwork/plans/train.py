@@ -171,8 +171,10 @@ def fit(
 ) -> PipelineModel:
     """Train on labelled rows that have their features."""
     n, classes = rows.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
-    # Each iteration is a job over these rows: few rows in many tasks cost more than they gain.
-    weighted = with_class_weights(rows).coalesce(max(1, -(-n // TRAINING_ROWS_A_TASK))).cache()
+    # Each iteration is a job over these rows: few rows in many tasks cost more than they gain. They
+    # are dealt out, not coalesced: one task would hold the memory of all tasks before it.
+    dealt = with_class_weights(rows).repartition(max(1, -(-n // TRAINING_ROWS_A_TASK)))
+    weighted = dealt.sortWithinPartitions("semantic_text", "label").cache()
     try:
         size = EMBEDDING_SIZE + {"text": 2, "text+patterns": 20, "hybrid": EXTRA_SIZE}[approach]
         index = StringIndexer(
