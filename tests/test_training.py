@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,18 @@ def test_training_rows_are_dealt_out_and_in_order(spark, rows, monkeypatch):
     assert len(sentences) == 48 and sentences == sorted(sentences)
 
 
+def test_models_are_fitted_side_by_side(rows, monkeypatch):
+    met, fit = threading.Barrier(3, timeout=120), train.fit
+
+    def wait_and_fit(*args):
+        met.wait()  # broken unless the three approaches are under way at once
+        return fit(*args)
+
+    monkeypatch.setattr(train, "fit", wait_and_fit)
+    result = train.compare(rows, max_iter=2)
+    assert list(result.models) == list(train.APPROACHES) == list(result.predictions)
+
+
 def test_unknown_classes_are_refused(spark, rows, tmp_path):
     model = train.fit(rows.withColumn("label", F.concat("label", F.lit("?"))), max_iter=2)
     train.save_bundle(model, str(tmp_path / "bundle"), "1.0.0", 1)
