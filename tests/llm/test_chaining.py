@@ -176,3 +176,47 @@ def test_fifty_equal_words_share_a_pair_of_seeds():
         words = Words(Texts(np.frombuffer(raw, dtype=np.uint8), np.cumsum([0, *[len(t.encode()) for t in texts]])))
         text, key = chaining.seed_pairs(*chaining.seeds(words))
         assert set(key[text == 0].tolist()) & set(key[text == 1].tolist())
+
+
+def linked(got, covers):
+    """Pairs of documents with a row that covers the places, or with one each to the same document over them."""
+    at = {}
+    for r in got:
+        for own, first, end, other in (
+            (r["doc_id"], r["first_word"], r["end_word"], r["match_id"]),
+            (r["match_id"], r["match_first"], r["match_end"], r["doc_id"]),
+        ):
+            if first <= covers[0] and covers[1] <= end:
+                at.setdefault(own, set()).add(other)
+    return {(x, y) for x in at for y in at if x < y and (y in at[x] or at[x] & at[y])}
+
+
+def test_connected_texts_keep_their_other_passages(spark):
+    """All texts share one passage; pairs of them share another one, which their centre need not have."""
+    draw = random.Random(11)
+    common = words_like(draw, 60)
+    rows, own = [], [words_like(draw, 60) for _ in range(6)]
+    for i in range(12):
+        rows.append((i, " ".join(words_like(draw, 20) + common + words_like(draw, 20) + own[i // 2] + words_like(draw, 20)), "s"))
+    got = chaining.shared_passages(docs_frame(spark, rows)).collect()
+    assert linked(got, (100, 160)) == {(2 * i, 2 * i + 1) for i in range(6)}
+    assert linked(got, (20, 80)) == {(i, j) for i in range(12) for j in range(i + 1, 12)}
+
+
+def test_short_runs_of_a_word_make_no_pairs(spark):
+    """Texts share 40 times the same word, or 49 times and a neighbour of the run, or 50 times."""
+    draw = random.Random(12)
+    texts = [words_like(draw, 60) + ["the"] * 40 + words_like(draw, 60) for _ in range(200)]
+    df = docs_frame(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)]).selectExpr("doc_id", "text", "doc_id AS row")
+    keys = chaining._keys(df).select("key", "name").distinct()
+    assert keys.groupBy("key").count().where("count > 3").isEmpty()
+
+    def around(part):
+        return words_like(draw, 30) + part + words_like(draw, 30)
+
+    rows = []
+    for i, (left, run, right) in enumerate([(0, 50, 0), (1, 49, 0), (0, 49, 1), (2, 46, 2), (2, 45, 3), (0, 30, 20), (13, 24, 13)]):
+        part = words_like(draw, left) + [f"run{i}"] * run + words_like(draw, right)
+        rows += [(2 * i, " ".join(around(part)), "s"), (2 * i + 1, " ".join(around(part)), "s")]
+    got = chaining.shared_passages(docs_frame(spark, rows)).collect()
+    assert {tuple(sorted((r["doc_id"], r["match_id"]))) for r in got} == {(2 * i, 2 * i + 1) for i in range(7)}

@@ -19,8 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilwork.llm.graph import components
-from veilwork.llm.jaccard import _meetings, _stars
 from veilwork.llm.textbytes import Words, as_texts, chunks, grams, mix
 from veilwork.session import materialize
 
@@ -29,10 +27,12 @@ DISTANCE = 20  # words from one seed of a pair to the other
 LEAST = 50  # words of a passage
 EDITS = 0.2  # edits, as a part of its length
 GAP = 0.02  # cost of a skipped word on either side; a seed is worth 1
+PART = 1 << 19  # bytes of text per numpy step
 REMEMBERED = 1 << 18
 MATCHES = 1 << 10  # pairs of places of one seed in two texts; beyond, they are paired in order
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_RUN = np.uint64(0x52554E)
 
 
 def name_of(hashes: np.ndarray) -> int:
@@ -78,17 +78,50 @@ def seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def seed_pairs(text: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, key) of each seed with the first one at least DISTANCE words on."""
+    """(text, key) of each seed with the first one at least DISTANCE words on; see `placed_pairs`."""
+    return placed_pairs(text, place, value)[:2]
+
+
+def placed_pairs(text: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, place) of each seed with the first one at least DISTANCE words on.
+
+    Within a run of one word, seeds are all alike. Of a run of less than LEAST words, a passage
+    holds a neighbour as well, so such a run is paired with its neighbours instead of itself.
+    """
     where = (text.astype(np.int64) << 32) + place
+    starts = np.ones(len(where), dtype=bool)
+    starts[1:] = (value[1:] != value[:-1]) | (where[1:] != where[:-1] + 1)
+    first = np.flatnonzero(starts)
+    run = np.cumsum(starts) - 1
+    size = np.diff(np.append(first, len(where))) + K - 1  # words
     other = np.searchsorted(where, where + DISTANCE)
     there = np.flatnonzero(np.append(text, -1)[other] == text)
-    return text[there], mix(mix(value[there]) * _ODD + value[other[there]])
+    there = there[(run[there] != run[other[there]]) | (size[run[there]] >= LEAST)]
+    return text[there], mix(mix(value[there]) * _ODD + value[other[there]]), place[there]
+
+
+def run_pairs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, place) of runs of a word, DISTANCE + K at least, with the word before and the word after."""
+    hashes, owner = words.hashes, words.owner()
+    starts = np.ones(len(hashes), dtype=bool)
+    starts[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(starts)
+    end = np.append(first[1:], len(hashes))
+    long = end - first >= DISTANCE + K
+    before = first[long & (first > words.first[owner[first]])]
+    after = end[long & (end < words.first[owner[first] + 1])]
+    key = np.concatenate([
+        mix(mix(hashes[before] ^ _RUN) * _ODD + hashes[before - 1]),
+        mix(mix(hashes[after - 1] ^ ~_RUN) * _ODD + hashes[after]),
+    ])
+    at = np.concatenate([before - 1, after + 1 - DISTANCE - K])
+    return owner[at], key, at - words.first[owner[at]]
 
 
 def _known(docs: DataFrame, kind: str) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most=PART):
                 words = Words(as_texts(part.column(1)))
                 names = [
                     name_of(words.hashes[a:z])
@@ -103,14 +136,15 @@ def _known(docs: DataFrame, kind: str) -> DataFrame:
 
 
 def _keys(docs: DataFrame) -> DataFrame:
-    """(key, name): the seed pairs of every text that can hold a passage."""
+    """(key, name, place): the seed pairs of every text that can hold a passage."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most=PART):
                 words = Words(as_texts(part.column(1)))
-                text, keys = seed_pairs(*seeds(words))
+                pairs = zip(placed_pairs(*seeds(words)), run_pairs(words), strict=True)
+                text, keys, place = (np.concatenate(both) for both in pairs)
                 names = np.zeros(len(part), dtype=np.int64)
                 fresh = np.zeros(len(part), dtype=bool)
                 for i, n in enumerate(words.counts().tolist()):
@@ -124,10 +158,35 @@ def _keys(docs: DataFrame) -> DataFrame:
                         names[i], fresh[i] = name, True
                 keep = fresh[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[keep].view(np.int64)), pa.array(names[text[keep]])], ["key", "name"]
+                    [pa.array(keys[keep].view(np.int64)), pa.array(names[text[keep]]), pa.array(place[keep].astype(np.int32))],
+                    ["key", "name", "place"],
                 )
 
-    return docs.mapInArrow(build, "key long, name long")
+    return docs.mapInArrow(build, "key long, name long, place int")
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, name and place -> the first row of each (key, name) of keys with two names or more.
+
+    Rows stream by, and only the last one is held.
+    """
+    held = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)]
+    met = False  # whether the held row shares its key with the one before
+    for batch in batches:
+        rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
+        if not len(rows[0]):
+            continue
+        new = np.ones(len(rows[0]), dtype=bool)
+        new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+        rows = [r[new] for r in rows]
+        same = rows[0][1:] == rows[0][:-1]
+        send = np.concatenate([[met], same])[:-1] | same
+        if send.any():
+            yield pa.RecordBatch.from_arrays([pa.array(r[:-1][send]) for r in rows], ["key", "name", "place"])
+        met = bool(same[-1]) if len(same) else met
+        held = [r[-1:] for r in rows]
+    if met:
+        yield pa.RecordBatch.from_arrays([pa.array(r) for r in held], ["key", "name", "place"])
 
 
 def pair_places(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,22 +201,28 @@ def pair_places(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=256)
-def _own_seeds(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, places, hashes) of one text, seeds sorted by hash and place."""
+def _own_seeds(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, hashes, bounds, places) of one text: hash i is at places[bounds[i]:bounds[i + 1]]."""
     x = np.frombuffer(words, dtype=np.uint32)
     hashes = grams(x.astype(np.uint64), K)
     place = winnowed(np.zeros(len(hashes), dtype=np.int64), np.arange(len(hashes)), hashes)
     order = np.lexsort((place, hashes[place]))
-    return x, place[order], hashes[place][order]
+    sorted_hashes = hashes[place][order]
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = sorted_hashes[1:] != sorted_hashes[:-1]
+    return x, sorted_hashes[first], np.append(np.flatnonzero(first), len(order)), place[order]
 
 
 def matches(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Places of the seeds that two texts have in common, sorted by both."""
-    _, at_x, in_x = _own_seeds(x)
-    _, at_y, in_y = _own_seeds(y)
-    both = np.intersect1d(in_x, in_y)
-    left = np.searchsorted(in_x, both), np.searchsorted(in_x, both, side="right")
-    right = np.searchsorted(in_y, both), np.searchsorted(in_y, both, side="right")
+    _, in_x, bounds_x, at_x = _own_seeds(x)
+    _, in_y, bounds_y, at_y = _own_seeds(y)
+    if not len(in_x) or not len(in_y):
+        return at_x[:0], at_y[:0]
+    there = np.minimum(in_x.searchsorted(in_y), len(in_x) - 1)
+    in_both = in_x[there] == in_y
+    i, j = there[in_both], np.flatnonzero(in_both)
+    left, right = (bounds_x[i], bounds_x[i + 1]), (bounds_y[j], bounds_y[j + 1])
     once = (left[1] - left[0] == 1) & (right[1] - right[0] == 1)
     p, q = [at_x[left[0][once]]], [at_y[right[0][once]]]
     for i in np.flatnonzero(~once).tolist():
@@ -248,14 +313,14 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """(words, edits) by which two texts go on alike: single other words are passed over
     where at least K equal words follow."""
     n = min(len(x), len(y))
-    other = np.flatnonzero(x[:n] != y[:n])
-    bounds = np.append(other, n)
-    for edits, at in enumerate(bounds.tolist()):
+    bounds = (x[:n] != y[:n]).nonzero()[0].tolist()
+    bounds.append(n)
+    for edits, at in enumerate(bounds):
         if at == n:
             return n, edits
         if bounds[edits + 1] - at - 1 < K:
             return at, edits
-    return n, len(other)
+    return n, len(bounds) - 1
 
 
 def align(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -312,13 +377,16 @@ def align(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray) -> l
 
 
 def _passages(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(b, a, first_word, end_word, match_first, match_end, edits) of the pairs (a, b) of texts."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    """(b, a, first_word, end_word, match_first, match_end, edits), a < b, of the pairs (u, v) of texts.
+
+    A task gets the pairs of a text v together.
+    """
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("name")).distinct()
     wanted = classes.join(needed, "name", "left_semi").select("row")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most=PART):
                 words = Words(as_texts(part.column(1)))
                 own = [words.hashes[s:e] for s, e in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -331,46 +399,63 @@ def _passages(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
 
     chosen = rows.join(wanted, "row", "left_semi").select("doc_id", "text")
     texts = materialize(chosen.mapInArrow(spell, "name long, words binary").dropDuplicates(["name"]), "words")
-    sides = pairs.join(texts.select(F.col("name").alias("b"), F.col("words").alias("of_b")), "b").join(
-        texts.select(F.col("name").alias("a"), F.col("words").alias("of_a")), "a"
+    sides = pairs.join(texts.select(F.col("name").alias("u"), F.col("words").alias("of_u")), "u").join(
+        texts.select(F.col("name").alias("v"), F.col("words").alias("of_v")), "v"
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for i in range(len(batch)):
-                b, a, of_b, of_a = (c[i].as_py() for c in batch.columns)
+                u, v, of_u, of_v = (c[i].as_py() for c in batch.columns)
+                b, a, of_b, of_a = (u, v, of_u, of_v) if u > v else (v, u, of_v, of_u)
                 out += [(b, a, *p) for p in passages_of(of_b, of_a)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, MEASURED.types, strict=True)],
                 MEASURED.names,
             )
 
-    passages = sides.select("b", "a", "of_b", "of_a").mapInArrow(
+    passages = sides.select("u", "v", "of_u", "of_v").mapInArrow(
         measure, "b long, a long, first_word int, end_word int, match_first int, match_end int, edits int"
     )
     return materialize(passages, "passages")
 
 
-def _across(met: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of texts that share a key and lie in different components: distinct (a, b), a < b.
+def _members(met: DataFrame) -> DataFrame:
+    """(key, name, place, centre, at) of the texts of a key but its centre, which has the key's place `at`.
 
-    Members of a key's largest component are not paired with one another.
+    The centre is the text whose keys are shared most in all.
     """
-    member = met.join(found.withColumnRenamed("node", "name"), "name", "left")
-    member = member.withColumn("component", F.coalesce("component", "name"))
-    sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    bulk = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component"))["component"].alias("bulk"), F.count(F.lit(1)).alias("parts")
-    )
-    open_keys = bulk.where("parts > 1").select("key", "bulk").hint("rebalance")
-    member = materialize(member.join(open_keys, "key"), "members")
-    loose = member.where(F.col("component") != F.col("bulk")).select("key", F.col("name").alias("x"), F.col("component").alias("cx"))
-    other = member.select(
-        "key", F.col("name").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("bulk")).alias("in_bulk")
-    )
-    pairs = loose.join(other, "key").where((F.col("cx") != F.col("cy")) & (F.col("in_bulk") | (F.col("x") < F.col("y"))))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("size")).hint("rebalance")
+    shared = met.join(sizes, "key").groupBy("name").agg(F.sum("size").alias("shared"))
+    # Both are of the same row, as both take the same one of equals.
+    first = F.max_by("name", "shared").alias("centre"), F.max_by("place", "shared").alias("at")
+    centres = met.join(shared, "name").groupBy("key").agg(*first).hint("rebalance")
+    return met.join(centres, "key").where("name <> centre")
+
+
+def _with_centres(members: DataFrame) -> DataFrame:
+    """Each text with the centres of its keys: (a, b, u, v), a pair once, v being a centre."""
+    pairs = members.groupBy(F.least("name", "centre").alias("a"), F.greatest("name", "centre").alias("b"))
+    other = F.when(F.col("v") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    return pairs.agg(F.max("centre").alias("v")).select("a", "b", other.alias("u"), "v")
+
+
+def _with_all(loose: DataFrame, met: DataFrame) -> DataFrame:
+    """Loose members with all texts of their keys: (a, b, u, v), a pair once."""
+    pairs = loose.select("key", F.col("name").alias("x")).join(met.select("key", F.col("name").alias("y")), "key").where("x <> y")
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs.select("a", "b", F.col("b").alias("u"), F.col("a").alias("v"))
+
+
+def _loose(members: DataFrame, passages: DataFrame) -> DataFrame:
+    """The members whose key does not lie in a passage that they share with its centre."""
+    spans = passages.selectExpr("b AS n", "a AS c", "first_word AS n1", "end_word AS n2", "match_first AS c1", "match_end AS c2")
+    spans = spans.union(passages.selectExpr("a", "b", "match_first", "match_end", "first_word", "end_word"))
+    width = DISTANCE + K
+    inside = (F.col("n1") <= F.col("place")) & (F.col("place") + width <= F.col("n2"))
+    inside &= (F.col("c1") <= F.col("at")) & (F.col("at") + width <= F.col("c2"))
+    return members.join(spans, (F.col("name") == F.col("n")) & (F.col("centre") == F.col("c")) & inside, "left_anti")
 
 
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,12 +470,18 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents with the same words are a class; its smallest doc_id stands for it in
     passages, and every other row of the class gets one row: the whole text, matched with
-    that id. Between classes, the texts of a seed pair are first compared with one of them, so a
-    passage in many documents gives a number of rows in proportion. Texts of a pair that no
-    passage connects by then, directly or over other texts, are all compared, so texts that
-    share a passage are connected; not all pairs of them have a row. A passage may repeat its
-    own words: all places of a seed in one text meet those in the other, or, if these are over
-    MATCHES pairs, in order from both ends. What one text alone repeats is not looked for.
+    that id. Between classes, passages have classes as well: of the texts of a seed pair, one is
+    the centre, and each other text is compared with it. A text whose passage with the centre
+    covers the seed pair is a member of the centre's passage; any other one is compared with
+    all texts of the seed pair. So of two texts that share a seed pair, either the two were
+    compared and all their passages have rows, or both are the centre's or its members there:
+    each has a row with the centre that covers the seed pair. A passage in n documents gives
+    rows in proportion to n and leaves no link out. What is compared in full are the texts
+    that share DISTANCE + K words, but no passage.
+
+    A passage may repeat its own words: all places of a seed in one text meet those in the other,
+    or, if these are over MATCHES pairs, in order from both ends. What one text alone repeats is
+    not looked for.
 
     Null, empty and short texts have no passages. A null id is matched, and written, as
     null. A row repeated with its id is the same document. No rows give no rows.
@@ -402,14 +493,15 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = materialize(_known(rows, kind).where(F.col("n") >= LEAST), "texts")
     classes = known.groupBy("name").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"))
 
-    keys = _keys(rows).repartition("key").sortWithinPartitions("key", "name")
-    met = materialize(keys.mapInArrow(_meetings, "key long, name long"), "seed-pairs")
-    stars = materialize(_stars(met), "stars")
-    passages = _passages(rows, classes, stars)
-    # What the centre of a key has not joined is paired in full.
-    rest = materialize(_across(met, components(passages)).join(stars, ["a", "b"], "left_anti"), "pairs")
+    keys = _keys(rows).repartition("key").sortWithinPartitions("key", "name", "place")
+    met = materialize(keys.mapInArrow(_meetings, "key long, name long, place int"), "seed-pairs")
+    members = materialize(_members(met), "members")
+    stars = materialize(_with_centres(members), "stars")
+    passages = _passages(rows, classes, stars.select("u", "v"))
+    loose = materialize(_loose(members, passages), "loose")
+    rest = materialize(_with_all(loose, met).join(stars, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        passages = passages.unionByName(_passages(rows, classes, rest))
+        passages = passages.unionByName(_passages(rows, classes, rest.select("u", "v")))
 
     ids = materialize(classes.select("name", "id"), "classes")
     named = passages.join(ids.select(F.col("name").alias("b"), F.col("id").alias("doc_id")), "b").join(
