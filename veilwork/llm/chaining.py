@@ -475,9 +475,9 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     covers the seed pair is a member of the centre's passage; any other one is compared with
     all texts of the seed pair. So of two texts that share a seed pair, either the two were
     compared and all their passages have rows, or both are the centre's or its members there:
-    each has a row with the centre that covers the seed pair. A passage in n documents gives
-    rows in proportion to n and leaves no link out. What is compared in full are the texts
-    that share DISTANCE + K words, but no passage.
+    each has a row with the centre that covers the seed pair, at its first place in the text. So
+    a passage in n documents gives rows in proportion to n. What is compared in full are the
+    texts that share DISTANCE + K words, but no passage.
 
     A passage may repeat its own words: all places of a seed in one text meet those in the other,
     or, if these are over MATCHES pairs, in order from both ends. What one text alone repeats is
