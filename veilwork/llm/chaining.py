@@ -213,25 +213,26 @@ def _own_seeds(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return x, sorted_hashes[first], np.append(np.flatnonzero(first), len(order)), place[order]
 
 
-def matches(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the seeds that two texts have in common, sorted by both."""
+def matches(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of the seeds that two texts have in common, sorted by both, and whether these are all."""
     _, in_x, bounds_x, at_x = _own_seeds(x)
     _, in_y, bounds_y, at_y = _own_seeds(y)
     if not len(in_x) or not len(in_y):
-        return at_x[:0], at_y[:0]
+        return at_x[:0], at_y[:0], True
     there = np.minimum(in_x.searchsorted(in_y), len(in_x) - 1)
     in_both = in_x[there] == in_y
     i, j = there[in_both], np.flatnonzero(in_both)
     left, right = (bounds_x[i], bounds_x[i + 1]), (bounds_y[j], bounds_y[j + 1])
     once = (left[1] - left[0] == 1) & (right[1] - right[0] == 1)
     p, q = [at_x[left[0][once]]], [at_y[right[0][once]]]
+    whole = bool(((left[1] - left[0]) * (right[1] - right[0]) <= MATCHES).all())
     for i in np.flatnonzero(~once).tolist():
         u, v = pair_places(at_x[left[0][i] : left[1][i]], at_y[right[0][i] : right[1][i]])
         p.append(u)
         q.append(v)
     p, q = np.concatenate(p), np.concatenate(q)
     order = np.lexsort((q, p))
-    return p[order], q[order]
+    return p[order], q[order], whole
 
 
 def chain(at_b: np.ndarray, at_a: np.ndarray) -> list[np.ndarray]:
@@ -283,16 +284,42 @@ def chain(at_b: np.ndarray, at_a: np.ndarray) -> list[np.ndarray]:
 
 def passages_of(x: bytes, y: bytes) -> list[tuple[int, int, int, int, int]]:
     """(first_x, end_x, first_y, end_y, edits) of the passages that two texts share."""
-    at_x, at_y = matches(x, y)
-    if not len(at_x) or at_x[-1] - at_x[0] + K < LEAST // 2:
-        return []
+    at_x, at_y, whole = matches(x, y)
     out = set()
-    for path in chain(at_x, at_y):
-        if at_x[path[-1]] - at_x[path[0]] + K >= LEAST // 2:
-            out |= set(align(_own_seeds(x)[0], _own_seeds(y)[0], at_x[path], at_y[path]))
+    if len(at_x) and at_x[-1] - at_x[0] + K >= LEAST // 2:
+        for path in chain(at_x, at_y):
+            if at_x[path[-1]] - at_x[path[0]] + K >= LEAST // 2:
+                out |= set(align(_own_seeds(x)[0], _own_seeds(y)[0], at_x[path], at_y[path]))
+    if not whole:
+        out |= equal_runs(_own_seeds(x)[0], _own_seeds(y)[0], out)
     return sorted(out)
 
 
+def equal_runs(x: np.ndarray, y: np.ndarray, known: set) -> set[tuple[int, int, int, int, int]]:
+    """Passages for the runs of LEAST words that two texts have in common and no known passage holds."""
+    in_x, in_y = grams(x.astype(np.uint64), LEAST), grams(y.astype(np.uint64), LEAST)
+    both, at_x, at_y = np.intersect1d(in_x, in_y, return_indices=True)
+    if not len(both):
+        return set()
+    left = np.ones(len(both), dtype=bool)
+
+    def hold(passage: tuple[int, int, int, int, int]) -> None:
+        first_x, end_x, first_y, end_y, _ = passage
+        for held in (in_x[first_x : end_x - LEAST + 1], in_y[first_y : end_y - LEAST + 1]):
+            there = np.minimum(both.searchsorted(held), len(both) - 1)
+            left[there[both[there] == held]] = False
+
+    for passage in known:
+        hold(passage)
+    out = set()
+    for i in np.argsort(at_x).tolist():
+        if left[i]:
+            for passage in align(x, y, at_x[i] + np.array([0, LEAST - K]), at_y[i] + np.array([0, LEAST - K])):
+                out.add(passage)
+                hold(passage)
+    return out
+
+
 def gap_edits(x: np.ndarray, y: np.ndarray) -> int:
     """Word edits between two short pieces; of equal length, substitutions alone."""
     if len(x) == len(y):
@@ -480,8 +507,9 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts that share DISTANCE + K words, but no passage.
 
     A passage may repeat its own words: all places of a seed in one text meet those in the other,
-    or, if these are over MATCHES pairs, in order from both ends. What one text alone repeats is
-    not looked for.
+    or, if these are over MATCHES pairs, in order from both ends; then, runs of LEAST equal words that
+    no passage found holds are looked up as well, at their first places. What one text alone
+    repeats is not looked for.
 
     Null, empty and short texts have no passages. A null id is matched, and written, as
     null. A row repeated with its id is the same document. No rows give no rows.
@@ -519,6 +547,14 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return named.unionByName(copies)
 
 
+def both_sides(passages: DataFrame) -> DataFrame:
+    """Each passage as a row of either document, so that every document with a passage has rows of its own."""
+    sides = [("doc_id", "match_id"), ("first_word", "match_first"), ("end_word", "match_end")]
+    other = dict(sides) | {b: a for a, b in sides}
+    mirrored = F.struct(*[F.col(other.get(c, c)).alias(c) for c in passages.columns])
+    return passages.select(F.inline(F.array_distinct(F.array(F.struct(*passages.columns), mirrored))))
+
+
 MEASURED = pa.schema(
     [("b", pa.int64()), ("a", pa.int64()), ("first_word", pa.int32()), ("end_word", pa.int32()),
      ("match_first", pa.int32()), ("match_end", pa.int32()), ("edits", pa.int32())]

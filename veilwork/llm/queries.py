@@ -62,8 +62,8 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_shared_passages(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages of 50 words or more that documents share."""
-    return chaining.shared_passages(table(spark, folder, "documents"))
+    """Passages of 50 words or more that documents share, as rows of each of the two."""
+    return chaining.both_sides(chaining.shared_passages(table(spark, folder, "documents")))
 
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
