@@ -249,33 +249,35 @@ def chain(at_b: np.ndarray, at_a: np.ndarray) -> list[np.ndarray]:
     size = int(rank.max())
     tree = [(-1.0, -1)] * (size + 1)
     score, previous = [0.0] * len(at_b), [-1] * len(at_b)
-    ranks, bs, as_ = rank.tolist(), at_b.tolist(), at_a.tolist()
+    ranks, bs, costs, n = rank.tolist(), at_b.tolist(), (GAP * (at_b + at_a)).tolist(), len(at_b)
     i = 0
-    while i < len(bs):
-        j = i
-        while j < len(bs) and bs[j] == bs[i]:
+    while i < n:
+        j, here_b = i, bs[i]
+        while j < n and bs[j] == here_b:
             best, r = (-1.0, -1), ranks[j] - 1
             while r > 0:
                 if tree[r] > best:
                     best = tree[r]
                 r -= r & -r
-            score[j], here = 1.0, GAP * (bs[j] + as_[j])
+            score[j], here = 1.0, costs[j]
             if best[1] >= 0 and best[0] - here > 0:
                 score[j], previous[j] = 1.0 + best[0] - here, best[1]
             j += 1
         for x in range(i, j):
-            entry, r = (score[x] + GAP * (bs[x] + as_[x]), x), ranks[x]
+            entry, r = (score[x] + costs[x], x), ranks[x]
             while r <= size:
                 if entry > tree[r]:
                     tree[r] = entry
                 r += r & -r
         i = j
-    used, out = set(), []
-    for end in sorted(range(len(bs)), key=lambda x: (-score[x], x)):
+    used, out = [False] * n, []
+    for end in np.argsort(-np.array(score), kind="stable").tolist():
+        if used[end]:
+            continue
         path, x = [], end
-        while x >= 0 and x not in used:
+        while x >= 0 and not used[x]:
             path.append(x)
-            used.add(x)
+            used[x] = True
             x = previous[x]
         if len(path) > 1:
             out.append(np.array(path[::-1]))
@@ -295,9 +297,19 @@ def passages_of(x: bytes, y: bytes) -> list[tuple[int, int, int, int, int]]:
     return sorted(out)
 
 
+def _windows(x: np.ndarray) -> np.ndarray:
+    """Hashes of LEAST words, for each first word that has them all."""
+    have, out = 1, x.astype(np.uint64)
+    while have < LEAST:
+        step = min(have, LEAST - have)
+        out = mix(mix(out[:-step]) * _ODD + out[step:])
+        have += step
+    return out
+
+
 def equal_runs(x: np.ndarray, y: np.ndarray, known: set) -> set[tuple[int, int, int, int, int]]:
     """Passages for the runs of LEAST words that two texts have in common and no known passage holds."""
-    in_x, in_y = grams(x.astype(np.uint64), LEAST), grams(y.astype(np.uint64), LEAST)
+    in_x, in_y = _windows(x), _windows(y)
     both, at_x, at_y = np.intersect1d(in_x, in_y, return_indices=True)
     if not len(both):
         return set()
@@ -340,8 +352,12 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """(words, edits) by which two texts go on alike: single other words are passed over
     where at least K equal words follow."""
     n = min(len(x), len(y))
-    bounds = (x[:n] != y[:n]).nonzero()[0].tolist()
-    bounds.append(n)
+    return _extent((x[:n] != y[:n]).nonzero()[0].tolist(), n)
+
+
+def _extent(unlike: list[int], n: int) -> tuple[int, int]:
+    """`extend` over n words, given the places of the unlike ones."""
+    bounds = [*unlike, n]
     for edits, at in enumerate(bounds):
         if at == n:
             return n, edits
@@ -367,6 +383,13 @@ def align(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray) -> l
         # From the end of the seed, or where the next one begins if they overlap.
         skip = min(K, int(at_x[i + 1] - at_x[i]), int(at_y[i + 1] - at_y[i]))
         u, v = x[at_x[i] + skip : at_x[i + 1]], y[at_y[i] + skip : at_y[i + 1]]
+        if len(u) == len(v):
+            unlike = (u != v).nonzero()[0].tolist()
+            edits[i + 1] = len(unlike)
+            if unlike and skip == K:
+                on[i], yet[i] = _extent(unlike, len(u))
+                back[i + 1], more[i + 1] = _extent([len(u) - 1 - place for place in unlike[::-1]], len(u))
+            continue
         if abs(len(u) - len(v)) > EDITS * len(x):  # no passage of this text affords it
             edits[i + 1] = max(len(u), len(v))
         else:
