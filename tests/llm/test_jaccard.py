@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from llm_util import DOCS, docs_frame, messy, words_of
-from veilwork.llm import jaccard
+from veilwork.llm import cells, jaccard
 from veilwork.llm.graph import components
 
 
@@ -125,3 +126,40 @@ def test_one_row_stays_of_repeated_rows(spark):
     rows = [(1, same, "a"), (1, same, "b"), (None, same, "c"), (2, "other text", "a"), (3, "", "a"), (3, "", "a")]
     kept = jaccard.one_of_each(docs_frame(spark, rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, same), (2, "other text"), (3, ""), (3, "")]
+
+
+@pytest.mark.parametrize(("most", "few"), [(5, 0), (5, 48), (40, 0), (1000, 0), (1000, 48)])
+def test_sets_of_a_crowded_piece_are_compared_in_cells(spark, monkeypatch, most, few):
+    monkeypatch.setattr(jaccard, "blocks_of", lambda rows: cells.blocks_of(rows, most))
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "STEP", 64)
+    draw = np.random.default_rng(most)
+    base = np.unique(draw.integers(0, 1 << 63, 70, dtype=np.uint64))
+    sets = []
+    for i in range(60):
+        own = draw.integers(0, 1 << 63, int(draw.integers(0, 30)), dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([draw.choice(base, int(draw.integers(40, 70)), replace=False), own])))
+        if i % 5 == 0:
+            sets.append(np.append(sets[-1][:-3], own[:1]))
+    sets = {jaccard.name_of(one): one for one in sets}
+    names = sorted(sets)
+    component = {n: names[0] if i % 3 == 0 else n for i, n in enumerate(names)}
+    of_key = {1: names, 2: names[:7], 3: names[5:6] + names[9:10], 4: names[::3]}
+    met = spark.createDataFrame([(k, n) for k, of in of_key.items() for n in of], "key long, name long")
+    found = spark.createDataFrame([(n, c) for n, c in component.items() if n != c or n == names[0]], "node long, component long")
+    reps = spark.createDataFrame([(n, len(s), jaccard.bit_sketch(s).tolist()) for n, s in sets.items()], "name long, n long, sketch array<long>")
+    pairs = [(a, b) for of in of_key.values() for a in of for b in of if a < b and component[a] != component[b]]
+    facts = reps.select("name", F.struct("n", "sketch").alias("f"))
+    want = spark.createDataFrame(pairs, "a long, b long").distinct()
+    want = want.join(facts.toDF("a", "fa"), "a").join(facts.toDF("b", "fb"), "b").where(jaccard._may_link("fa", "fb", 60)).select("a", "b")
+    got = jaccard._unjoined(met, found, reps, 60)
+    assert 20 < want.count() < len(set(pairs))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_no_join_makes_the_pairs_of_a_crowded_piece(spark):
+    met = spark.createDataFrame([(1, n) for n in range(300)], "key long, name long")
+    found = spark.createDataFrame([], "node long, component long")
+    reps = spark.createDataFrame([(n, 1, [1 << (n % 60)]) for n in range(300)], "name long, n long, sketch array<long>")
+    pairs = jaccard._unjoined(met, found, reps, 80)
+    assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()

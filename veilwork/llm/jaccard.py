@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilwork.llm.cells import blocks_of, dealt, pairs_within, whole_cells
 from veilwork.llm.graph import components
 from veilwork.llm.textbytes import Words, as_texts, chunks, grams, mix
 from veilwork.session import materialize
 
 REMEMBERED = 1 << 18  # sets a task remembers, so as not to offer copies again; later steps drop the rest
+FEW = 48  # sets of a cell whose pairs are listed instead of compared row by row
+STEP = 1 << 15  # numbers per numpy step
 _PIECE, _BIT, _NAME = np.uint64(0x5049454345), np.uint64(0x424954), np.uint64(0x4E414D45)
 
 
@@ -330,26 +333,115 @@ def _sifted(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _unjoined(met: DataFrame, found: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a piece, lie in different components and may link: distinct (a, b)."""
+    """Pairs that share a piece, lie in different components and may link: distinct (a, b).
+
+    All pairs of a piece's sets are compared but those within its largest component, on
+    sketches, in cells of bounded size.
+    """
     member = met.select("key", "name").join(found.withColumnRenamed("node", "name"), "name", "left")
     member = member.withColumn("component", F.coalesce("component", "name"))
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     bulk = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component"))["component"].alias("bulk"), F.count(F.lit(1)).alias("parts")
-    )
-    open_keys = bulk.where("parts > 1").select("key", "bulk").hint("rebalance")
-    member = member.join(open_keys, "key").join(
-        reps.select("name", F.struct("n", "sketch").alias("facts")), "name"
-    )
-    member = materialize(member.select("key", "name", "component", "bulk", "facts"), "members")
-    loose = member.where(F.col("component") != F.col("bulk")).select(
-        "key", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("facts").alias("fa")
-    )
-    other = member.select(
-        "key", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("facts").alias("fb"),
-        (F.col("component") == F.col("bulk")).alias("in_bulk"),
-    )
-    pairs = loose.join(other, "key").where(
-        (F.col("ca") != F.col("cb")) & (F.col("in_bulk") | (F.col("a") < F.col("b"))) & _may_link("fa", "fb", percent)
+        F.max(F.struct("size", "component"))["component"].alias("bulk"),
+        F.count(F.lit(1)).alias("parts"),
+        blocks_of(F.sum("size")).alias("blocks"),
     )
+    open_keys = bulk.where("parts > 1").select("key", "bulk", "blocks").hint("rebalance")
+    member = member.join(open_keys, "key").join(reps.select("name", "n", "sketch"), "name")
+    loose = (F.col("component") != F.col("bulk")).alias("loose")
+    member = materialize(member.select("key", "blocks", "name", "component", loose, "n", "sketch"), "members")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in whole_cells(batches):
+            name = rows.column(4).to_numpy()
+            left, right = _likely(rows, bounds, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(name[left]), pa.array(name[right])], ["a", "b"])
+
+    pairs = dealt(member, "key", "name", "blocks").mapInArrow(sift, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+class _Sets:
+    """Components, sizes and sketches of the sets of some cells, to sift pairs as `_may_link` does."""
+
+    def __init__(self, rows: pa.RecordBatch, percent: int):
+        self.percent = percent
+        self.component = rows.column(5).to_numpy()
+        self.n = rows.column(7).to_numpy()
+        sketch = rows.column(8)
+        self.at = sketch.offsets.to_numpy().astype(np.int64) - sketch.offsets[0].as_py()
+        self.length = np.diff(self.at)
+        self.words = sketch.flatten().to_numpy().view(np.uint64)
+
+    def sketches(self, rows: np.ndarray, length: int) -> np.ndarray:
+        """One row for each of `length` words; sketches of twice the length are folded."""
+        at = self.at[rows] + np.arange(length)[:, None]
+        out = self.words[at]
+        double = np.flatnonzero(self.length[rows] > length)
+        out[:, double] ^= self.words[at[:, double] + length]
+        return out
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """In different components, and of sizes that may link. left and right are broadcast."""
+        n, m = self.n[left], self.n[right]
+        return (self.component[left] != self.component[right]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
+
+    def near(self, a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether columns of sketches a and b, of the sets left and right, differ by no more than linked ones may."""
+        most = (self.n[left] + self.n[right]) * (100 - self.percent) // (100 + self.percent)
+        far = np.zeros(most.shape, dtype=np.int32)
+        for i in range(len(a)):
+            far += np.bitwise_count(a[i] ^ b[i])
+            if i % 8 == 7 and (far > most).all():
+                break
+        return far <= most
+
+    def of_pairs(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs (left, right) that may link."""
+        keep = self.apart(left, right)
+        left, right = left[keep], right[keep]
+        length = np.minimum(self.length[left], self.length[right])
+        for size in np.unique(length).tolist():
+            of_size = np.flatnonzero(length == size)
+            for at in range(0, len(of_size), max(1, STEP // size)):
+                i = of_size[at : at + max(1, STEP // size)]
+                x, y = left[i], right[i]
+                near = self.near(self.sketches(x, size), self.sketches(y, size), x, y)
+                yield x[near], y[near]
+
+    def of_block(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of one of `left` and one of `right` that may link."""
+        for of_left in np.unique(self.length[left]).tolist():
+            x = left[self.length[left] == of_left]
+            for of_right in (of_left // 2, of_left, 2 * of_left):
+                y = right[self.length[right] == of_right]
+                if not len(y):
+                    continue
+                size = min(of_left, of_right)
+                a, b = self.sketches(x, size), self.sketches(y, size)
+                step = max(1, STEP // len(y))
+                for at in range(0, len(x), step):
+                    u = x[at : at + step, None]
+                    near = self.apart(u, y[None]) & self.near(a[:, at : at + step, None], b[:, None], u, y[None])
+                    i, j = near.nonzero()
+                    yield u[i, 0], y[j]
+
+
+def _likely(rows: pa.RecordBatch, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the rows, in cells, of the pairs that lie in different components and may link."""
+    sets = _Sets(rows, percent)
+    alone, first, loose = (rows.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 6))
+    found = []
+    small = np.diff(bounds) <= FEW
+    for left, right in pairs_within(bounds[:-1][small], bounds[1:][small]):
+        met = alone[left] | (first[left] != first[right])
+        found += sets.of_pairs(left[met], right[met])
+    for a, z in zip(bounds[:-1][~small].tolist(), bounds[1:][~small].tolist(), strict=True):
+        row = np.arange(a, z)
+        if alone[a]:
+            found += sets.of_block(row[loose[a:z]], row)
+        else:
+            one, other = row[first[a:z]], row[~first[a:z]]
+            found += sets.of_block(one[loose[one]], other)
+            found += sets.of_block(one[~loose[one]], other[loose[other]])
+    return tuple(np.concatenate([bounds[:0], *[pair[i] for pair in found]]) for i in (0, 1))
