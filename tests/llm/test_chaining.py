@@ -6,6 +6,7 @@ import pytest
 from llm_util import DOCS, docs_frame, messy, words_of
 from veilwork.llm import chaining, queries
 from veilwork.llm.textbytes import Texts, Words
+from veilwork.session import materialize
 
 
 def words_like(draw, n):
@@ -266,3 +267,64 @@ def test_a_passage_of_words_repeated_all_over_is_found(spark, others):
     spans = {r["doc_id"]: (r["first_word"], r["end_word"]) for r in got if r["edits"] == 0}
     spans |= {r["match_id"]: (r["match_first"], r["match_end"]) for r in got if r["edits"] == 0}
     assert spans == {1: (32 * others, 32 * others + 64), 2: (20 + 63 * 4 - 32, 20 + 63 * 4 + 32)}
+
+
+def test_texts_with_one_short_phrase_in_common_are_not_paired(spark, monkeypatch):
+    draw = random.Random(12)
+    phrase = words_like(draw, 45)
+    rows = [(i, " ".join(words_like(draw, 30) + phrase + words_like(draw, 30)), "s") for i in range(40)]
+    passage = words_like(draw, 60)
+    rows += [(100 + i, " ".join(words_like(draw, 9) + phrase + words_like(draw, 9) + passage), "s") for i in range(3)]
+    written = {}
+
+    def kept(df, name):
+        written[name] = materialize(df, name)
+        return written[name]
+
+    monkeypatch.setattr(chaining, "materialize", kept)
+    got = chaining.shared_passages(docs_frame(spark, rows)).collect()
+    assert {r["doc_id"] for r in got} | {r["match_id"] for r in got} == {100, 101, 102}
+    assert written["loose"].count() > 40 and written["pairs"].count() <= 3
+
+
+def odd_texts(draw, n):
+    """Texts with phrases in common, edited, repeated and cut, and runs of one word."""
+    phrases = [words_like(draw, draw.randrange(24, 60)) for _ in range(4)] + [["the"] * 30, ["of"] * 40, words_like(draw, 3) * 12]
+    texts = []
+    for _ in range(n):
+        words = words_like(draw, draw.randrange(0, 15))
+        for _ in range(draw.randrange(1, 4)):
+            part = list(draw.choice(phrases))
+            for at in draw.sample(range(len(part)), draw.choice([0, 0, 1, 3])):
+                part[at] = draw.choice(["other", "the", part[at - 1]])
+            words += part[draw.choice([0, 0, 3]) :] + words_like(draw, draw.randrange(0, 12))
+        texts.append(words)
+    return texts
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_pair_with_a_passage_is_left_out(monkeypatch, seed):
+    draw = random.Random(seed)
+    values = {}
+    texts = odd_texts(draw, 40)
+    packed = [np.array([values.setdefault(w, len(values)) for w in t], dtype=np.uint32).tobytes() for t in texts]
+    place = np.array([draw.randrange(max(1, len(t) - 24)) for t in texts])
+    row = np.arange(len(texts))
+    left, right = chaining.likely_pairs(packed, place, row, row)
+    likely = set(zip(left.tolist(), right.tolist(), strict=True))
+    short = [chaining.passages_of(x, y) for x in packed for y in packed]
+    monkeypatch.setattr(chaining, "may_share", lambda x, y: True)
+    whole = [chaining.passages_of(x, y) for x in packed for y in packed]
+    assert short == whole
+    pairs = {(i // len(texts), i % len(texts)) for i, found in enumerate(whole) if found and i // len(texts) != i % len(texts)}
+    assert 10 < len(pairs) and pairs <= likely and len(likely) < 0.9 * len(texts) ** 2
+
+
+@pytest.mark.parametrize("most", [4, 15, 512])
+def test_texts_of_a_crowded_phrase_meet_in_cells(spark, monkeypatch, most):
+    draw = random.Random(9)
+    rows = [(i, " ".join(t), "s") for i, t in enumerate(odd_texts(draw, 60))]
+    want = sorted(map(tuple, chaining.shared_passages(docs_frame(spark, rows)).collect()))
+    monkeypatch.setattr(chaining, "CELL", most)
+    got = chaining.shared_passages(docs_frame(spark, rows)).collect()
+    assert len(want) > 50 and sorted(map(tuple, got)) == want

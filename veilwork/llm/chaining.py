@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilwork.llm.cells import blocks_of, dealt, whole_cells
 from veilwork.llm.textbytes import Words, as_texts, chunks, grams, mix
 from veilwork.session import materialize
 
@@ -26,6 +27,8 @@ K, WINDOW = 4, 3
 DISTANCE = 20  # words from one seed of a pair to the other
 LEAST = 50  # words of a passage
 EDITS = 0.2  # edits, as a part of its length
+CELL = 1 << 9  # texts of a block of a key
+ALIKE = 40  # words that a passage has in common, at least: LEAST less its edits
 GAP = 0.02  # cost of a skipped word on either side; a seed is worth 1
 PART = 1 << 19  # bytes of text per numpy step
 REMEMBERED = 1 << 18
@@ -284,8 +287,44 @@ def chain(at_b: np.ndarray, at_a: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+@lru_cache(maxsize=256)
+def _own_words(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values, counts, places) of the words of one text; word i is values[places[i]]."""
+    values, places, counts = np.unique(np.frombuffer(words, dtype=np.uint32), return_inverse=True, return_counts=True)
+    return values, counts, places
+
+
+def _dense(known: np.ndarray, part: int) -> bool:
+    """Whether LEAST words or more in a row have at most one unknown one in `part`."""
+    gain = np.zeros(len(known) + 1, dtype=np.int64)
+    np.cumsum(part * known.astype(np.int64) - (part - 1), out=gain[1:])
+    return len(known) >= LEAST and bool((gain[LEAST:] >= np.minimum.accumulate(gain[: len(gain) - LEAST])).any())
+
+
+def may_share(x: bytes, y: bytes) -> bool:
+    """False for some texts without a passage, by their words alone.
+
+    All words of a passage but its edits are in the other text as well, as often: ALIKE words
+    at least, and four of five, on the other side three of four.
+    """
+    in_x, times_x, at_x = _own_words(x)
+    in_y, times_y, at_y = _own_words(y)
+    if len(at_x) < LEAST or len(at_y) < LEAST:
+        return False
+    there = np.minimum(in_x.searchsorted(in_y), len(in_x) - 1)
+    both = in_x[there] == in_y
+    there = there[both]
+    if np.minimum(times_x[there], times_y[both]).sum() < ALIKE:
+        return False
+    of_x = np.zeros(len(in_x), dtype=bool)
+    of_x[there] = True
+    return _dense(of_x[at_x], 5) and _dense(both[at_y], 4)
+
+
 def passages_of(x: bytes, y: bytes) -> list[tuple[int, int, int, int, int]]:
     """(first_x, end_x, first_y, end_y, edits) of the passages that two texts share."""
+    if not may_share(x, y):
+        return []
     at_x, at_y, whole = matches(x, y)
     out = set()
     if len(at_x) and at_x[-1] - at_x[0] + K >= LEAST // 2:
@@ -293,13 +332,14 @@ def passages_of(x: bytes, y: bytes) -> list[tuple[int, int, int, int, int]]:
             if at_x[path[-1]] - at_x[path[0]] + K >= LEAST // 2:
                 out |= set(align(_own_seeds(x)[0], _own_seeds(y)[0], at_x[path], at_y[path]))
     if not whole:
-        out |= equal_runs(_own_seeds(x)[0], _own_seeds(y)[0], out)
+        out |= equal_runs(x, y, out)
     return sorted(out)
 
 
-def _windows(x: np.ndarray) -> np.ndarray:
+@lru_cache(maxsize=64)
+def _windows(words: bytes) -> np.ndarray:
     """Hashes of LEAST words, for each first word that has them all."""
-    have, out = 1, x.astype(np.uint64)
+    have, out = 1, np.frombuffer(words, dtype=np.uint32).astype(np.uint64)
     while have < LEAST:
         step = min(have, LEAST - have)
         out = mix(mix(out[:-step]) * _ODD + out[step:])
@@ -307,9 +347,10 @@ def _windows(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def equal_runs(x: np.ndarray, y: np.ndarray, known: set) -> set[tuple[int, int, int, int, int]]:
+def equal_runs(words_x: bytes, words_y: bytes, known: set) -> set[tuple[int, int, int, int, int]]:
     """Passages for the runs of LEAST words that two texts have in common and no known passage holds."""
-    in_x, in_y = _windows(x), _windows(y)
+    in_x, in_y = _windows(words_x), _windows(words_y)
+    x, y = _own_seeds(words_x)[0], _own_seeds(words_y)[0]
     both, at_x, at_y = np.intersect1d(in_x, in_y, return_indices=True)
     if not len(both):
         return set()
@@ -378,6 +419,8 @@ def align(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray) -> l
     back, more, on, yet, edits = (np.zeros(n, dtype=np.int64) for _ in range(5))
     back[0], more[0] = extend(x[: at_x[0]][::-1], y[: at_y[0]][::-1])
     on[-1], yet[-1] = extend(x[at_x[-1] + K :], y[at_y[-1] + K :])
+    if at_x[-1] + K + on[-1] - at_x[0] + back[0] < LEAST:
+        return []
     bent = np.flatnonzero((np.diff(at_x) != np.diff(at_y)) | (np.diff(at_x) > K))
     for i in bent.tolist():
         # From the end of the seed, or where the next one begins if they overlap.
@@ -426,11 +469,8 @@ def align(x: np.ndarray, y: np.ndarray, at_x: np.ndarray, at_y: np.ndarray) -> l
     return sorted(out)
 
 
-def _passages(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(b, a, first_word, end_word, match_first, match_end, edits), a < b, of the pairs (u, v) of texts.
-
-    A task gets the pairs of a text v together.
-    """
+def _spelled(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(name, words) of the texts of the pairs (u, v)."""
     needed = pairs.select(F.explode(F.array("u", "v")).alias("name")).distinct()
     wanted = classes.join(needed, "name", "left_semi").select("row")
 
@@ -448,7 +488,14 @@ def _passages(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
                 )
 
     chosen = rows.join(wanted, "row", "left_semi").select("doc_id", "text")
-    texts = materialize(chosen.mapInArrow(spell, "name long, words binary").dropDuplicates(["name"]), "words")
+    return materialize(chosen.mapInArrow(spell, "name long, words binary").dropDuplicates(["name"]), "words")
+
+
+def _passages(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(b, a, first_word, end_word, match_first, match_end, edits), a < b, of the pairs (u, v) of texts.
+
+    A task gets the pairs of a text v together.
+    """
     sides = pairs.join(texts.select(F.col("name").alias("u"), F.col("words").alias("of_u")), "u").join(
         texts.select(F.col("name").alias("v"), F.col("words").alias("of_v")), "v"
     )
@@ -491,11 +538,102 @@ def _with_centres(members: DataFrame) -> DataFrame:
     return pairs.agg(F.max("centre").alias("v")).select("a", "b", other.alias("u"), "v")
 
 
-def _with_all(loose: DataFrame, met: DataFrame) -> DataFrame:
-    """Loose members with all texts of their keys: (a, b, u, v), a pair once."""
-    pairs = loose.select("key", F.col("name").alias("x")).join(met.select("key", F.col("name").alias("y")), "key").where("x <> y")
+class _Counts:
+    """How often each text of a cell has what others have as well; text i is `owner` i of values."""
+
+    def __init__(self, owner: np.ndarray, values: np.ndarray, texts: int):
+        self.texts = texts
+        order = np.lexsort((owner, values))
+        owner, values = owner[order], values[order]
+        other = np.ones(len(values), dtype=bool)
+        other[1:] = values[1:] != values[:-1]
+        first = other.copy()
+        first[1:] |= owner[1:] != owner[:-1]
+        at = np.flatnonzero(first)
+        number = np.cumsum(other[at]) - 1
+        shared = np.bincount(number)[number] > 1 if len(number) else other
+        order = np.argsort(owner[at][shared], kind="stable")
+        self.owner, self.number = owner[at][shared][order], number[shared][order]
+        self.times = np.diff(np.append(at, len(values)))[shared][order]
+        self.bounds = np.searchsorted(self.owner, np.arange(texts + 1))
+        self.dense = np.zeros(int(number[-1]) + 1 if len(number) else 0, dtype=np.int64)
+
+    def with_all(self, text: int, of) -> np.ndarray:
+        """The sum of `of` the times of a text and those of each text, over all that they share."""
+        own = slice(self.bounds[text], self.bounds[text + 1])
+        self.dense[self.number[own]] = self.times[own]
+        sums = np.bincount(self.owner, weights=of(self.dense[self.number], self.times), minlength=self.texts)
+        self.dense[self.number[own]] = 0
+        return sums.astype(np.int64)
+
+
+def _around(words: np.ndarray, first: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """LEAST words before and LEAST words from a place of each text, -1 where there are none."""
+    at = (first[:-1] + place)[:, None] + np.arange(-LEAST, LEAST)
+    there = (at >= first[:-1, None]) & (at < first[1:, None])
+    return np.where(there, words[np.where(there, at, 0)].astype(np.int64), -1)
+
+
+def likely_pairs(texts: list[bytes], place: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers (one of left, one of right) of the texts that may share a passage; no pair with a passage is left out.
+
+    Left out are texts with less than ALIKE words in common, and those whose equal runs of K
+    words all lie in one equal run, around their places, of less than LEAST words: seeds are
+    such runs, and a passage goes on beyond an unequal word only where one follows.
+    """
+    size = np.array([len(t) // 4 for t in texts])
+    first = np.concatenate([[0], np.cumsum(size)])
+    words = np.frombuffer(b"".join(texts), dtype=np.uint32)
+    owner = np.repeat(np.arange(len(texts)), size)
+    hashes = grams(words.astype(np.uint64), K)
+    inside = np.flatnonzero(owner[: len(hashes)] == owner[K - 1 :][: len(hashes)])
+    alike, runs = _Counts(owner, words, len(texts)), _Counts(owner[inside], hashes[inside], len(texts))
+    around = _around(words, first, place)
+    found = []
+    for i in left.tolist():
+        other = right[right != i]
+        equal = (around[other] == around[i]) & (around[i] >= 0)
+        run = np.logical_and.accumulate(equal[:, LEAST:], axis=1).sum(axis=1)
+        run += np.logical_and.accumulate(equal[:, LEAST - 1 :: -1], axis=1).sum(axis=1)
+        one_run = (run < LEAST) & (runs.with_all(i, np.multiply)[other] <= np.maximum(run - K + 1, 0))
+        may = ~one_run & (alike.with_all(i, np.minimum)[other] >= ALIKE)
+        found.append((np.full(int(may.sum()), i), other[may]))
+    return tuple(np.concatenate([left[:0], *[pair[side] for pair in found]]) for side in (0, 1))
+
+
+def _rest(loose: DataFrame, met: DataFrame, stars: DataFrame, texts: DataFrame) -> DataFrame:
+    """Loose members with the texts of their keys, as (u, v), a pair once; without pairs of `stars`, and those
+    that surely share no passage. Keys with the same texts are one, and many texts are cut in cells."""
+    keys = loose.select("key").distinct()
+    marked = loose.select("key", "name", F.lit(True).alias("loose")).distinct()
+    group = met.join(keys, "key", "left_semi").join(marked, ["key", "name"], "left").withColumn("loose", F.coalesce("loose", F.lit(False)))
+    group = materialize(group, "groups")
+    prints = [F.bit_xor(F.xxhash64(F.lit(i), "name", "loose")).alias(f"print{i}") for i in (1, 2)]
+    sizes = group.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *prints)
+    one = sizes.groupBy("size", "print1", "print2").agg(F.min("key").alias("key"))
+    one = one.select("key", blocks_of(F.col("size"), CELL).alias("blocks")).hint("rebalance")
+    group = group.join(one, "key").join(texts, "name").select("key", "blocks", "name", "place", "loose", "words")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in whole_cells(batches):
+            alone, first, name, place, loose = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(2, 7))
+            for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                row = np.arange(z - a)
+                if alone[a]:
+                    sides = [(row[loose[a:z]], row)]
+                else:
+                    one, other = row[first[a:z]], row[~first[a:z]]
+                    sides = [(x[loose[a:z][x]], y) for x, y in ((one, other), (other, one))]
+                if not any(len(x) and len(y) for x, y in sides):
+                    continue
+                texts = rows.column(7).slice(a, z - a).to_pylist()
+                for x, y in sides:
+                    u, v = likely_pairs(texts, place[a:z], x, y)
+                    yield pa.RecordBatch.from_arrays([pa.array(name[a:z][u]), pa.array(name[a:z][v])], ["x", "y"])
+
+    pairs = dealt(group, "key", "name", "blocks").mapInArrow(sift, "x long, y long")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.select("a", "b", F.col("b").alias("u"), F.col("a").alias("v"))
+    return pairs.join(stars, ["a", "b"], "left_anti").select(F.col("b").alias("u"), F.col("a").alias("v"))
 
 
 def _loose(members: DataFrame, passages: DataFrame) -> DataFrame:
@@ -548,11 +686,12 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = materialize(keys.mapInArrow(_meetings, "key long, name long, place int"), "seed-pairs")
     members = materialize(_members(met), "members")
     stars = materialize(_with_centres(members), "stars")
-    passages = _passages(rows, classes, stars.select("u", "v"))
+    texts = _spelled(rows, classes, stars)  # each text of a key is its centre or has one
+    passages = _passages(texts, stars.select("u", "v"))
     loose = materialize(_loose(members, passages), "loose")
-    rest = materialize(_with_all(loose, met).join(stars, ["a", "b"], "left_anti"), "pairs")
+    rest = materialize(_rest(loose, met, stars, texts), "pairs")
     if not rest.isEmpty():
-        passages = passages.unionByName(_passages(rows, classes, rest.select("u", "v")))
+        passages = passages.unionByName(_passages(texts, rest))
 
     ids = materialize(classes.select("name", "id"), "classes")
     named = passages.join(ids.select(F.col("name").alias("b"), F.col("id").alias("doc_id")), "b").join(
