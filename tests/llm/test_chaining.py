@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_util import DOCS, docs_frame, messy, words_of
@@ -328,3 +329,23 @@ def test_texts_of_a_crowded_phrase_meet_in_cells(spark, monkeypatch, most):
     monkeypatch.setattr(chaining, "CELL", most)
     got = chaining.shared_passages(docs_frame(spark, rows)).collect()
     assert len(want) > 50 and sorted(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("most", [0, 1, 5, 1 << 18])
+def test_meetings_stream_over_batch_ends(most):
+    draw = random.Random(most)
+    keys = [k << chaining.LOW for k in range(-20, 20)] + [(k << chaining.LOW) + 5 for k in range(6)] + [7, 9]
+    names = [draw.randrange(-(1 << 40), 1 << 40) for _ in range(9)] + [3, (1 << chaining.LOW) + 3, (5 << chaining.LOW) + 3]
+    rows = [(draw.choice(keys), draw.choice(names), draw.randrange(50)) for _ in range(150)] + [(keys[3], n, p) for n in names for p in (4, 2)]
+    want = {}
+    for k, n, p in rows:
+        if len({x for q, x, _ in rows if q == k}) > 1:
+            want[k, n] = min(p, want.get((k, n), p))
+    low = (1 << chaining.LOW) - 1
+    rows.sort(key=lambda r: (r[0] & ~low) | (r[1] & low))
+    for size in (1, 2, 7, 1000):
+        cut = [rows[i : i + size] for i in range(0, len(rows), size)]
+        kinds = (pa.int64(), pa.int64(), pa.int32())
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], ["key", "name", "place"]) for part in cut]
+        got = [tuple(r.values()) for b in chaining._meetings(iter(batches), most) for r in b.to_pylist()]
+        assert sorted(got) == sorted((k, n, p) for (k, n), p in want.items()), size

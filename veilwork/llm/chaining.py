@@ -28,6 +28,7 @@ DISTANCE = 20  # words from one seed of a pair to the other
 LEAST = 50  # words of a passage
 EDITS = 0.2  # edits, as a part of its length
 CELL = 1 << 9  # texts of a block of a key
+LOW = 20  # bits of the name that keys are sorted by, in place of their own lowest ones
 ALIKE = 40  # words that a passage has in common, at least: LEAST less its edits
 GAP = 0.02  # cost of a skipped word on either side; a seed is worth 1
 PART = 1 << 19  # bytes of text per numpy step
@@ -168,28 +169,67 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(build, "key long, name long, place int")
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, name and place -> the first row of each (key, name) of keys with two names or more.
+def _ordered(keys: DataFrame) -> DataFrame:
+    """Rows of a key in one partition, sorted by the upper bits of the key and the lower ones of the name.
 
-    Rows stream by, and only the last one is held.
+    One number sorts several times faster than three columns.
     """
-    held = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)]
-    met = False  # whether the held row shares its key with the one before
+    low = F.lit((1 << LOW) - 1)
+    order = F.col("key").bitwiseAND(F.bitwise_not(low)).bitwiseOR(F.col("name").bitwiseAND(low))
+    return keys.repartition("key").sortWithinPartitions(order)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Rows as `_ordered` -> the row of the first place of each (key, name) of keys with two names or more.
+
+    Rows stream by. Held are those with the last one's upper bits, about `most` at most: beyond,
+    what has met is sent, and its keys are remembered.
+    """
+
+    def sent(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Rows in order of key, name and place, the first of each key and name; whether the key has met."""
+        order = np.lexsort(rows[::-1])
+        key, name, _ = rows = [r[order] for r in rows]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+        key, name, _ = rows = [r[new] for r in rows]
+        send = np.isin(key, met)
+        send[1:] |= key[1:] == key[:-1]
+        send[:-1] |= key[1:] == key[:-1]
+        return rows, send
+
+    def written(rows: list[np.ndarray], send: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(r[send]) for r in rows], ["key", "name", "place"])
+
+    low = (1 << LOW) - 1
+    met = np.zeros(0, dtype=np.int64)
+    held = [met, met, met.astype(np.int32)]
     for batch in batches:
         rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
-        if not len(rows[0]):
+        upper = rows[0] >> LOW
+        if not len(upper):
             continue
-        new = np.ones(len(rows[0]), dtype=bool)
-        new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
-        rows = [r[new] for r in rows]
-        same = rows[0][1:] == rows[0][:-1]
-        send = np.concatenate([[met], same])[:-1] | same
-        if send.any():
-            yield pa.RecordBatch.from_arrays([pa.array(r[:-1][send]) for r in rows], ["key", "name", "place"])
-        met = bool(same[-1]) if len(same) else met
-        held = [r[-1:] for r in rows]
-    if met:
-        yield pa.RecordBatch.from_arrays([pa.array(r) for r in held], ["key", "name", "place"])
+        cut = int(upper.searchsorted(upper[-1]))
+        # A key alone with its upper bits has met nothing, unless before.
+        same = upper[1:cut] == upper[: max(0, cut - 1)]
+        near = np.zeros(cut, dtype=bool)
+        near[1:] |= same
+        near[:-1] |= same
+        if len(met):
+            near |= upper[:cut] == met[0] >> LOW
+        if near.any():
+            yield written(*sent([r[:cut][near] for r in rows]))
+        if cut:
+            met = met[:0]
+        held = [r[cut:] for r in rows]
+        if len(held[0]) > most:
+            last = (held[1] & low) == (held[1][-1] & low)
+            rest, send = sent([r[~last] for r in held])
+            yield written(rest, send)
+            met = np.union1d(met, rest[0][send])
+            held = [np.concatenate([r[~send], h[last]]) for r, h in zip(rest, held, strict=True)]
+    if len(held[0]):
+        yield written(*sent(held))
 
 
 def pair_places(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -682,8 +722,7 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = materialize(_known(rows, kind).where(F.col("n") >= LEAST), "texts")
     classes = known.groupBy("name").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"))
 
-    keys = _keys(rows).repartition("key").sortWithinPartitions("key", "name", "place")
-    met = materialize(keys.mapInArrow(_meetings, "key long, name long, place int"), "seed-pairs")
+    met = materialize(_ordered(_keys(rows)).mapInArrow(_meetings, "key long, name long, place int"), "seed-pairs")
     members = materialize(_members(met), "members")
     stars = materialize(_with_centres(members), "stars")
     texts = _spelled(rows, classes, stars)  # each text of a key is its centre or has one
